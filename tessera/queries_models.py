@@ -1 +1,383 @@
-"""Evaluation, linear-algebra and model queries (registered into tessera.queries)."""
+"""Evaluation, feature, linear-algebra and model queries.
+
+Registered into ``tessera.queries.QUERIES`` / ``ORACLES``.  Model fits have
+no SQL oracle (rows-only); their pieces (features, metrics) do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import evaluate as ev
+from tessera.operators import features as feat
+from tessera.operators import keys, linalg, models, profile
+from tessera.queries import _duck_md5_unit, exact_sum, query, r
+from tessera.sources.fixtures import Views, duck_with
+from tessera.sources.readers import positional_fields
+
+# ============================================================== features
+_CLICK_FEATS_SQL = duck_with("clicks") + """,
+feats AS (SELECT id, CAST(i - 1 AS BIGINT) AS pos, parts[i + 1] AS value
+          FROM (SELECT id, unnest(range(1, len(parts))) AS i, parts
+                FROM (SELECT id, string_split(value, chr(9)) AS parts FROM clicks))),
+dict AS (SELECT pos, value, row_number() OVER (ORDER BY pos, value) - 1 AS ohe_id
+         FROM (SELECT DISTINCT pos, value FROM feats)),
+ohe AS (SELECT f.id, d.ohe_id AS "index", 1.0 AS weight FROM feats f JOIN dict d USING (pos, value)),
+hashed AS (SELECT id, "index", CAST(count(*) AS DOUBLE) AS weight
+           FROM (SELECT DISTINCT id, pos, value,
+                        CAST(('0x' || substr(md5(value || ':' || CAST(pos AS VARCHAR)), 29, 4))::BIGINT % 32768
+                             AS INTEGER) AS "index" FROM feats)
+           GROUP BY id, "index")
+"""
+
+
+def _click_records(spark, sf):
+    return positional_fields(Views(spark, sf).clicks, keep=["id"])
+
+
+@query("ohe_dictionary", _CLICK_FEATS_SQL + "SELECT pos, value, ohe_id FROM dict")
+def ohe_dictionary(spark, sf):
+    return feat.ohe_dictionary(_click_records(spark, sf))
+
+
+@query("ohe_encode_long", _CLICK_FEATS_SQL + 'SELECT id, "index", weight FROM ohe')
+def ohe_encode_long(spark, sf):
+    rec = _click_records(spark, sf)
+    return feat.ohe_encode(rec, feat.ohe_dictionary(rec))
+
+
+@query("hash_features_long", _CLICK_FEATS_SQL + 'SELECT id, "index", weight FROM hashed')
+def hash_features_long(spark, sf):
+    return feat.hash_features(_click_records(spark, sf), 1 << 15)
+
+
+@query("sparsity", _CLICK_FEATS_SQL + """
+SELECT round((SELECT avg(nnz / (SELECT count(*) FROM dict))
+              FROM (SELECT id, count(DISTINCT "index") AS nnz FROM ohe GROUP BY id)), 9) AS ohe_sparsity,
+       round((SELECT avg(nnz / 32768)
+              FROM (SELECT id, count(DISTINCT "index") AS nnz FROM hashed GROUP BY id)), 9) AS hash_sparsity""")
+def sparsity(spark, sf):
+    rec = _click_records(spark, sf)
+    d = feat.ohe_dictionary(rec)
+    width = d.agg(F.count(F.lit(1)).alias("w")).first()["w"]
+    o = feat.sparsity(feat.ohe_encode(rec, d), width).select(r(F.col("sparsity"), 9).alias("ohe_sparsity"))
+    h = feat.sparsity(feat.hash_features(rec, 1 << 15), 1 << 15).select(r(F.col("sparsity"), 9).alias("hash_sparsity"))
+    from tessera.plans.joins import attach_row
+    return attach_row(o, h)
+
+
+# ============================================================ evaluation
+@query("rmse_r2", duck_with("scored") + """
+SELECT round(sqrt(avg((label - p) * (label - p))), 9) AS rmse,
+       round(1 - sum((label - p) * (label - p)) / sum((label - m) * (label - m)), 9) AS r2,
+       count(*) AS n
+FROM scored, (SELECT avg(label) AS m FROM scored)""")
+def rmse_r2(spark, sf):
+    m = ev.regression_metrics(Views(spark, sf).scored, "label", "p")
+    return m.select(r(F.col("rmse"), 9).alias("rmse"), r(F.col("r2"), 9).alias("r2"), "n")
+
+
+@query("residual_share", duck_with("scored") + """,
+w AS (SELECT (label - p) / (SELECT sqrt(avg((label - p) * (label - p))) FROM scored) AS within_rmse FROM scored),
+g AS (SELECT CASE WHEN within_rmse >= -1.0 AND within_rmse <= 1.0 THEN 1
+                  WHEN within_rmse >= -2.0 AND within_rmse <= 2.0 THEN 2 ELSE 3 END AS rmse_range,
+             count(*) AS count FROM w GROUP BY 1)
+SELECT rmse_range, count, CAST(count AS DOUBLE) / (SELECT sum(count) FROM g) AS percent FROM g""")
+def residual_share(spark, sf):
+    return ev.residual_share(Views(spark, sf).scored, "label", "p")
+
+
+_LL = ("CASE WHEN label = 1 THEN -ln(q) ELSE -ln(1 - q) END")
+_CLAMP = ("CASE WHEN (CASE WHEN {p} = 0 THEN 1e-16 ELSE {p} END) = 1 THEN 1 - 1e-16 "
+          "ELSE (CASE WHEN {p} = 0 THEN 1e-16 ELSE {p} END) END")
+
+
+@query("log_loss_baseline", duck_with("scored") + f""",
+b AS (SELECT avg(label) AS baseline_p FROM scored),
+x AS (SELECT label, {_CLAMP.format(p='p')} AS q, {_CLAMP.format(p='baseline_p')} AS qb, baseline_p FROM scored, b)
+SELECT round(avg({_LL}), 9) AS log_loss_model, round(any_value(baseline_p), 9) AS baseline_p,
+       round(avg(CASE WHEN label = 1 THEN -ln(qb) ELSE -ln(1 - qb) END), 9) AS log_loss_baseline
+FROM x""")
+def log_loss_baseline(spark, sf):
+    out = ev.log_loss_vs_baseline(Views(spark, sf).scored)
+    return out.select(*[r(F.col(c), 9).alias(c) for c in ("log_loss_model", "baseline_p", "log_loss_baseline")])
+
+
+_ROC_SQL = duck_with("scored") + """,
+g AS (SELECT p AS threshold, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY p),
+c AS (SELECT threshold, pos, neg,
+             sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM g)
+"""
+
+
+@query("roc_points", _ROC_SQL + """
+SELECT threshold, CAST(tp AS DOUBLE) / NULLIF(P, 0) AS tpr, CAST(fp AS DOUBLE) / NULLIF(N, 0) AS fpr FROM c""")
+def roc_points(spark, sf):
+    return ev.roc_points(Views(spark, sf).scored)
+
+
+@query("roc_auc", _ROC_SQL + """
+SELECT round(sum(neg * (tp - pos / 2.0)) / (sum(pos) * sum(neg)), 9) AS auc FROM c""")
+def roc_auc(spark, sf):
+    return ev.roc_auc(Views(spark, sf).scored).select(r(F.col("auc"), 9).alias("auc"))
+
+
+# ================================================ plant profile
+_PLANT_F = ["f1", "f2", "f3", "f4"]
+
+
+@query("pair_relation", duck_with("plant") + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round(regr_slope(target, {f}), 4) AS slope, "
+    f"round(regr_intercept(target, {f}), 4) AS intercept, round(regr_r2(target, {f}), 9) AS r2, "
+    f"round(corr({f}, target), 9) AS corr FROM plant" for f in _PLANT_F))
+def pair_relation(spark, sf):
+    out = profile.pair_relation(Views(spark, sf).plant, _PLANT_F, "target")
+    return out.select("feature", r(F.col("slope"), 4).alias("slope"), r(F.col("intercept"), 4).alias("intercept"),
+                      r(F.col("r2"), 9).alias("r2"), r(F.col("corr"), 9).alias("corr"))
+
+
+@query("histogram", duck_with("plant") + """
+SELECT CAST(floor(target / 10000.0) AS BIGINT) AS bin, count(*) AS count,
+       CAST(floor(target / 10000.0) AS BIGINT) * 10000.0 AS lower
+FROM plant GROUP BY 1""")
+def histogram(spark, sf):
+    return profile.histogram(Views(spark, sf).plant, "target", 10000.0)
+
+
+# =================================================== linear algebra
+@query("mean_vector", """
+SELECT CAST(pos - 1 AS INTEGER) AS pos, round(avg(CAST(embedding[pos] AS DOUBLE)), 9) AS mean
+FROM embeddings, range(1, 65) t(pos) GROUP BY pos""")
+def mean_vector(spark, sf):
+    m = linalg.mean_vector(Views(spark, sf).embeddings, "embedding")
+    return m.select("pos", r(F.col("mean"), 9).alias("mean"))
+
+
+@query("covariance_long", """
+WITH x AS (SELECT vec_id, CAST(pos - 1 AS BIGINT) AS i, CAST(embedding[pos] AS DOUBLE) AS v
+           FROM embeddings, range(1, 65) t(pos))
+SELECT a.i, b.i AS j, round(covar_pop(a.v, b.v), 9) AS cov
+FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.i, b.i""")
+def covariance_long(spark, sf):
+    c = linalg.covariance_long(Views(spark, sf).embeddings, "embedding")
+    return c.select("i", "j", r(F.col("cov"), 9).alias("cov"))
+
+
+@query("pca_scores")
+def pca_scores(spark, sf, k: int = 2):
+    """M37 (rows-only; tested against numpy): uncentred projections on the top k components."""
+    e = Views(spark, sf).embeddings
+    comps, _ = linalg.pca(e, "embedding", k)
+    return linalg.pca_scores(e, "embedding", comps, keep=["vec_id"])
+
+
+@query("variance_explained")
+def variance_explained(spark, sf):
+    """M38 (rows-only): share of variance in the top k components, k = 1..5."""
+    e = Views(spark, sf).embeddings
+    _, vals = linalg.pca(e, "embedding", 1)
+    rows = [(k, float(linalg.variance_explained(vals, k))) for k in range(1, 6)]
+    return spark.createDataFrame(rows, "k int, explained double")
+
+
+# ============================================================ regression
+def _plant_split(spark, sf):
+    p = Views(spark, sf).plant
+    return keys.hash_split(p, "id", [0.8, 0.2], 1800009193, ["train", "test"])
+
+
+def _metrics_rows(spark, rows):
+    return spark.createDataFrame(rows, "model string, rmse double, r2 double")
+
+
+def _eval(model, df, name, label="target", pred="prediction"):
+    m = ev.regression_metrics(model.transform(df), label, pred).first()
+    return (name, float(m["rmse"]), float(m["r2"]))
+
+
+@query("linreg")
+def linreg(spark, sf):
+    """M1-M5: ridge (0.1, 100 iterations) on the training split, metrics on the test split."""
+    s = _plant_split(spark, sf)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    pipe, _ = models.linreg_pipeline(_PLANT_F, "target")
+    model = pipe.fit(train)
+    lr = model.stages[-1]
+    rows = [_eval(model, test, "ridge_test")]
+    out = _metrics_rows(spark, rows)
+    coef = spark.createDataFrame([(float(lr.intercept), [float(x) for x in lr.coefficients])],
+                                 "intercept double, coefficients array<double>")
+    from tessera.plans.joins import attach_row
+    return attach_row(out, coef)
+
+
+@query("linreg_cv")
+def linreg_cv(spark, sf):
+    """M6: 3-fold CV over regParam 0.01..0.10 (folds by key hash)."""
+    s = _plant_split(spark, sf)
+    train = models.fold_column(s.filter("split = 'train'"), "id", 3)
+    test = s.filter("split = 'test'")
+    pipe, lr = models.linreg_pipeline(_PLANT_F, "target")
+    cv = models.cross_validate(pipe, models.ridge_grid(lr), train, "target", "prediction")
+    best = cv.bestModel.stages[-1]
+    rows = [_eval(cv.bestModel, test, f"ridge_cv_reg={best.getRegParam()}")]
+    return _metrics_rows(spark, rows)
+
+
+@query("tree_cv")
+def tree_cv(spark, sf):
+    """M7: decision tree, depth in {2, 3}, 100 bins, 3-fold CV."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    s = _plant_split(spark, sf)
+    train = models.fold_column(s.filter("split = 'train'"), "id", 3)
+    test = s.filter("split = 'test'")
+    pipe, dt = models.tree_pipeline(_PLANT_F, "target")
+    grid = ParamGridBuilder().addGrid(dt.maxDepth, [2, 3]).build()
+    cv = models.cross_validate(pipe, grid, train, "target", "prediction")
+    return _metrics_rows(spark, [_eval(cv.bestModel, test, f"tree_depth={cv.bestModel.stages[-1].depth}")])
+
+
+@query("forest")
+def forest(spark, sf):
+    """M8: random forest (30 trees, depth 8, seeded), CV over its own grid (Q22)."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    s = _plant_split(spark, sf)
+    train = models.fold_column(s.filter("split = 'train'"), "id", 3)
+    test = s.filter("split = 'test'")
+    pipe, rf = models.forest_pipeline(_PLANT_F, "target")
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, [6, 8]).build()
+    cv = models.cross_validate(pipe, grid, train, "target", "prediction")
+    return _metrics_rows(spark, [_eval(cv.bestModel, test, "forest")])
+
+
+def _years_split(spark, sf):
+    y = Views(spark, sf).years
+    return keys.hash_split(y, "id", [0.8, 0.1, 0.1], 42, ["train", "validation", "test"])
+
+
+@query("poly_linreg")
+def poly_linreg(spark, sf):
+    """Degree-2 expansion + elastic-net regression, evaluated on validation (Q19)."""
+    s = _years_split(spark, sf)
+    model = models.poly_pipeline("label").fit(s.filter("split = 'train'"))
+    return _metrics_rows(spark, [_eval(model, s.filter("split = 'validation'"), "poly2", label="label")])
+
+
+@query("elastic_linreg")
+def elastic_linreg(spark, sf):
+    """Elastic net (0.1, mix 0.2, 50 iterations) on the song-year stand-in."""
+    from pyspark.ml.regression import LinearRegression
+    s = _years_split(spark, sf)
+    lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=50, regParam=0.1, elasticNetParam=0.2)
+    model = lr.fit(s.filter("split = 'train'"))
+    return _metrics_rows(spark, [_eval(model, s.filter("split = 'validation'"), "elastic", label="label")])
+
+
+@query("gd_linreg")
+def gd_linreg(spark, sf):
+    """30 full-batch gradient steps; training RMSE per iteration."""
+    s = _years_split(spark, sf)
+    _, errors = models.gradient_descent(s.filter("split = 'train'"), iters=30)
+    return spark.createDataFrame([(i, float(e)) for i, e in enumerate(errors)], "iteration int, train_rmse double")
+
+
+# ======================================================== recommendation
+def _ratings_split(spark, sf):
+    rt = models.int_ids(models.mean_pairs(Views(spark, sf).ratings), ["userId", "movieId"])
+    key = F.concat_ws("|", F.col("userId").cast("string"), F.col("movieId").cast("string"))
+    return keys.hash_split(rt, key, [0.6, 0.2, 0.2], 1800009193, ["train", "validation", "test"])
+
+
+_RATINGS_SPLIT_SQL = duck_with("ratings") + f""",
+pairs AS (SELECT userId, movieId, avg(rating) AS rating FROM ratings GROUP BY userId, movieId),
+s AS (SELECT *, CASE WHEN u < {keys.split_thresholds([0.6, 0.2, 0.2])[0]} THEN 'train'
+                     WHEN u < {keys.split_thresholds([0.6, 0.2, 0.2])[1]} THEN 'validation' ELSE 'test' END AS split
+      FROM (SELECT *, {_duck_md5_unit("CAST(userId AS VARCHAR) || '|' || CAST(movieId AS VARCHAR)", 1800009193)} AS u
+            FROM pairs))
+"""
+
+
+@query("mean_baseline", _RATINGS_SPLIT_SQL + """
+SELECT round(m, 9) AS train_mean, round(sqrt(avg((rating - m) * (rating - m))), 9) AS test_rmse
+FROM s, (SELECT avg(rating) AS m FROM s WHERE split = 'train') WHERE split = 'test' GROUP BY m""")
+def mean_baseline(spark, sf):
+    """RMSE on test of the training mean used as every prediction."""
+    s = _ratings_split(spark, sf)
+    m = s.filter("split = 'train'").agg(F.avg("rating").alias("train_mean"))
+    from tessera.plans.joins import attach_row
+    t = attach_row(s.filter("split = 'test'"), m)
+    out = t.agg(F.first("train_mean").alias("train_mean"),
+                F.sqrt(F.avg((F.col("rating") - F.col("train_mean")) ** 2)).alias("test_rmse"))
+    return out.select(r(F.col("train_mean"), 9).alias("train_mean"), r(F.col("test_rmse"), 9).alias("test_rmse"))
+
+
+@query("als_rank")
+def als_rank(spark, sf):
+    """Ranks 4, 8, 12 by validation RMSE; the best one's test RMSE."""
+    s = _ratings_split(spark, sf).persist()
+    train, valid, test = (s.filter(f"split = '{x}'").drop("split") for x in ("train", "validation", "test"))
+    best, results = models.choose_rank(train, valid, [4, 8, 12])
+    test_rmse = ev.regression_metrics(best[2].transform(test), "rating", "prediction").first()["rmse"]
+    rows = [(k, float(e), k == best[0], float(test_rmse) if k == best[0] else None) for k, e, _ in results]
+    return spark.createDataFrame(rows, "rank int, validation_rmse double, chosen boolean, test_rmse double")
+
+
+# The new user's own ratings (item id, rating).
+_MY_RATINGS = [(8, 5.0), (58, 5.0), (122, 5.0), (257, 5.0), (715, 5.0), (1499, 5.0)]
+
+
+@query("als_recommend")
+def als_recommend(spark, sf):
+    """A new user's top 20 unrated items among items with > 100 ratings."""
+    v = Views(spark, sf)
+    s = _ratings_split(spark, sf)
+    train = s.filter("split = 'train'").drop("split")
+    new_id = int(v.ratings.agg(F.max("userId")).first()[0]) + 1
+    mine = spark.createDataFrame([(new_id, m, x) for m, x in _MY_RATINGS], "userId int, movieId int, rating double")
+    items = models.int_ids(v.items.select(F.col("ID").alias("movieId"), "title"), ["movieId"])
+    stats = models.int_ids(profile.count_and_mean(v.ratings, "movieId", "rating"), ["movieId"])
+    top = models.recommend_new_user(lambda: models.als(rank=8), train, mine, items, stats, new_id,
+                                    min_count=30)
+    return top.select("movieId", "title", r(F.col("prediction"), 6).alias("prediction"), "count")
+
+
+# ========================================================= click-rate study
+def _click_sets(spark, sf):
+    rec = keys.hash_split(_click_records(spark, sf), "id", [0.8, 0.1, 0.1], 42, ["train", "validation", "test"])
+    return rec.persist()
+
+
+def _logit_report(spark, rec, encode, width, name, elastic):
+    labels = rec.select("id", "label", "split")
+    vecs = feat.to_vectors(encode(rec), labels, width).join(labels.select("id", "split"), "id")
+    train = vecs.filter("split = 'train'")
+    model = models.logistic_fit(train, reg=0.01, elastic=elastic)
+    base_p = train.agg(F.avg("label")).first()[0]
+    rows = []
+    for split in ("train", "validation", "test"):
+        part = models.add_probability(vecs.filter(f"split = '{split}'"), model)
+        ll = ev.log_loss_vs_baseline(part, baseline=base_p).first()
+        auc = ev.roc_auc(part).first()["auc"]
+        rows.append((name, split, float(ll["log_loss_model"]), float(ll["log_loss_baseline"]),
+                     None if auc is None else float(auc)))
+    return spark.createDataFrame(rows, "model string, split string, log_loss double, baseline_log_loss double, "
+                                       "auc double")
+
+
+@query("logit_ohe")
+def logit_ohe(spark, sf):
+    """One-hot (dictionary fitted on training rows) + ridge logistic regression."""
+    rec = _click_sets(spark, sf)
+    d = feat.ohe_dictionary(rec.filter("split = 'train'"))
+    width = d.agg(F.count(F.lit(1))).first()[0]
+    return _logit_report(spark, rec, lambda x: feat.ohe_encode(x, d), width, "ohe", 0.0)
+
+
+@query("logit_hashed")
+def logit_hashed(spark, sf):
+    """2^15 md5 buckets + elastic-net (mix 0.7) logistic regression."""
+    rec = _click_sets(spark, sf)
+    return _logit_report(spark, rec, lambda x: feat.hash_features(x, 1 << 15), 1 << 15, "hashed", 0.7)
