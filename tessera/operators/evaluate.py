@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.keys import running_sums
+from tessera.operators.keys import running_sums, running_sums_totals
 from tessera.operators.relational import bucket
-from tessera.plans.joins import attach_row
+from tessera.plans.joins import one_row
 
 # Fixed value: probability clamp used before taking logarithms.
 EPSILON = 1e-16
@@ -24,9 +24,10 @@ def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
         F.col(label).cast("double").alias("y"), F.col(pred).cast("double").alias("p"))
     moments = m.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
                     F.sum((F.col("y") - F.col("p")) ** 2).alias("sse"))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    return moments.select(F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-                          (F.lit(1.0) - F.col("sse") / sst).alias("r2"), "n")
+    # r2 is null when the labels are constant, rmse when there are no rows
+    sst = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), F.col("n"))
+    return moments.select(F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("rmse"),
+                          (F.lit(1.0) - F.try_divide(F.col("sse"), sst)).alias("r2"), "n")
 
 
 def rmse(df: DataFrame, label: str, pred: str) -> float:
@@ -43,16 +44,15 @@ def residuals(df: DataFrame, label: str, pred: str, rmse_value: float | Column)
 def residual_share(df: DataFrame, label: str, pred: str) -> DataFrame:
     """M5 + A11 + A12: share of rows within 1, 2 or more RMSE of the truth.
 
-    The RMSE is a one-row aggregate attached by broadcast, not pasted into SQL text.
+    The RMSE is a scalar (one aggregate row) used unrounded as a literal,
+    not formatted into SQL text.
     """
     sq = (F.col(label) - F.col(pred)) ** 2
-    rm = df.agg(F.sqrt(F.avg(sq)).alias("__rmse"))
-    w = attach_row(df, rm).withColumn("within_rmse", (F.col(label) - F.col(pred)) / F.col("__rmse"))
+    rm = one_row(df.agg(F.sqrt(F.avg(sq)).alias("rmse"), F.count(F.lit(1)).alias("n")))
+    w = df.withColumn("within_rmse", (F.col(label) - F.col(pred)) / F.lit(rm["rmse"]))
     b = bucket("within_rmse", [(-1.0, 1.0, 1), (-2.0, 2.0, 2)], 3).alias("rmse_range")
     grouped = w.groupBy(b).agg(F.count(F.lit(1)).alias("count"))
-    total = grouped.agg(F.sum("count").alias("__t"))
-    return attach_row(grouped, total).select("rmse_range", "count",
-                                              (F.col("count").cast("double") / F.col("__t")).alias("percent"))
+    return grouped.select("rmse_range", "count", (F.col("count").cast("double") / F.lit(rm["n"])).alias("percent"))
 
 
 def clamp_probability(p: Column) -> Column:
@@ -79,12 +79,12 @@ def mean_log_loss(df: DataFrame, p: str = "p", label: str = "label") -> DataFram
 def log_loss_vs_baseline(df: DataFrame, p: str = "p", label: str = "label",
                          baseline: float | None = None) -> DataFrame:
     """Model log loss and the constant baseline's (baseline p defaults to the mean label)."""
-    base = (df.agg(F.avg(label).alias("baseline_p")) if baseline is None
-            else df.sparkSession.range(1).select(F.lit(float(baseline)).alias("baseline_p")))
-    j = attach_row(df, base)
-    return j.agg(F.avg(log_loss(F.col(p), F.col(label))).alias("log_loss_model"),
-                 F.first("baseline_p").alias("baseline_p"),
-                 F.avg(log_loss(F.col("baseline_p"), F.col(label))).alias("log_loss_baseline"))
+    if baseline is None:
+        baseline = one_row(df.agg(F.avg(label).alias("b")))["b"]
+    b = F.lit(float(baseline))
+    return df.agg(F.avg(log_loss(F.col(p), F.col(label))).alias("log_loss_model"),
+                  b.alias("baseline_p"),
+                  F.avg(log_loss(b, F.col(label))).alias("log_loss_baseline"))
 
 
 def roc_points(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame:
@@ -96,12 +96,12 @@ def roc_points(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame:
     per_score = (df.groupBy(F.col(p).alias("threshold"))
                  .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                       F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
-    cum = running_sums(per_score, [F.desc("threshold")], {"tp": "pos", "fp": "neg"})
-    totals = per_score.agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    return attach_row(cum, totals).select(
+    cum, totals = running_sums_totals(per_score, [F.desc("threshold")], {"tp": "pos", "fp": "neg"})
+    n_pos, n_neg = totals["tp"], totals["fp"]
+    return cum.select(
         "threshold",
-        (F.col("tp") / F.nullif(F.col("__P"), F.lit(0))).alias("tpr"),
-        (F.col("fp") / F.nullif(F.col("__N"), F.lit(0))).alias("fpr"))
+        (F.col("tp") / F.lit(n_pos) if n_pos else F.lit(None).cast("double")).alias("tpr"),
+        (F.col("fp") / F.lit(n_neg) if n_neg else F.lit(None).cast("double")).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame:

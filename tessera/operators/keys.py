@@ -26,7 +26,13 @@ def _order_cols(order) -> list[Column]:
 
 
 def running_sums(df: DataFrame, order, values: dict[str, str], partitions: int | None = None) -> DataFrame:
-    """Cumulative sums along a global order.
+    """Cumulative sums along a global order (see ``running_sums_totals``)."""
+    return running_sums_totals(df, order, values, partitions)[0]
+
+
+def running_sums_totals(df: DataFrame, order, values: dict[str, str],
+                        partitions: int | None = None) -> tuple[DataFrame, dict]:
+    """Cumulative sums along a global order, and the grand totals (driver dict).
 
     ``values`` maps output column -> input column (numeric, non-null).  Rows
     tied on the order key are summed in arbitrary but deterministic order, so
@@ -64,7 +70,7 @@ def running_sums(df: DataFrame, order, values: dict[str, str], partitions: int |
                 pdf[out] = cs
             yield pdf
 
-    return ranged.mapInPandas(scan, schema)
+    return ranged.mapInPandas(scan, schema), dict(zip(values, run))
 
 
 def row_index(df: DataFrame, order, name: str = "idx", partitions: int | None = None) -> DataFrame:

@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.joins import attach_row
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -66,9 +65,9 @@ def covariance_long(df: DataFrame, col: str) -> DataFrame:
 
     schema = "i long, j long, s double, n long"
     parts = df.select(as_doubles(df, col).alias("x")).mapInPandas(gram, schema)
-    total_n = df.agg(F.count(F.lit(1)).alias("__n"))
-    sums = parts.groupBy("i", "j").agg(F.sum("s").alias("s"))
-    return attach_row(sums, total_n).select("i", "j", (F.col("s") / F.col("__n")).alias("cov"))
+    # every partition reports its row count on each (i, j) row, so sum(n) is the total n
+    return (parts.groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+            .select("i", "j", (F.col("s") / F.col("n")).alias("cov")))
 
 
 def covariance_matrix(df: DataFrame, col: str) -> np.ndarray:

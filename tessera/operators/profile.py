@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.joins import attach_row
+from tessera.plans.joins import one_row
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -75,13 +75,11 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def share_of_total(grouped: DataFrame, count_col: str = "count", out: str = "percent") -> DataFrame:
     """Each group's share of the total.
 
-    The input is an already-grouped (small) frame; the total is one more
-    aggregate over it, attached without a cross product by a one-row
-    broadcast join on a constant key.
+    The total is one more aggregate over the grouped frame, brought to the
+    driver as a scalar (one row) and applied as a literal.
     """
-    total = grouped.agg(F.sum(count_col).alias("__total"))
-    return (attach_row(grouped, total)
-            .select(*grouped.columns, (F.col(count_col).cast("double") / F.col("__total")).alias(out)))
+    total = one_row(grouped.agg(F.sum(count_col).alias("t")))["t"]
+    return grouped.select(*grouped.columns, (F.col(count_col).cast("double") / F.lit(total)).alias(out))
 
 
 def distinct_count(df: DataFrame, *cols: str) -> DataFrame:

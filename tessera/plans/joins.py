@@ -32,13 +32,14 @@ def replicated(df: DataFrame, salts: int, salt_col: str = "__salt") -> DataFrame
     return df.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row of ``df``.
+def one_row(agg: DataFrame):
+    """The single row of a global aggregate, on the driver (a bounded result).
 
-    An equi-join on a constant key with the single row broadcast: no cross
-    product, no shuffle of ``df``.  ``one_row`` must be a global aggregate.
+    Scalars such as a total, a mean or a record count are brought back this
+    way and used as literals, so no keyless join (cross product) appears in
+    any plan.
     """
-    key = "__one_row_key"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key)
-            .drop(key))
+    rows = agg.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected a one-row aggregate, got {len(rows)} rows")
+    return rows[0]

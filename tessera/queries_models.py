@@ -12,6 +12,7 @@ from tessera.operators import evaluate as ev
 from tessera.operators import features as feat
 from tessera.operators import keys, linalg, models, profile
 from tessera.queries import _duck_md5_unit, exact_sum, query, r
+from tessera.plans.joins import one_row
 from tessera.sources.fixtures import Views, duck_with
 from tessera.sources.readers import positional_fields
 
@@ -60,10 +61,10 @@ def sparsity(spark, sf):
     rec = _click_records(spark, sf)
     d = feat.ohe_dictionary(rec)
     width = d.agg(F.count(F.lit(1)).alias("w")).first()["w"]
-    o = feat.sparsity(feat.ohe_encode(rec, d), width).select(r(F.col("sparsity"), 9).alias("ohe_sparsity"))
-    h = feat.sparsity(feat.hash_features(rec, 1 << 15), 1 << 15).select(r(F.col("sparsity"), 9).alias("hash_sparsity"))
-    from tessera.plans.joins import attach_row
-    return attach_row(o, h)
+    o = one_row(feat.sparsity(feat.ohe_encode(rec, d), width).select(r(F.col("sparsity"), 9).alias("s")))["s"]
+    h = one_row(feat.sparsity(feat.hash_features(rec, 1 << 15), 1 << 15)
+                .select(r(F.col("sparsity"), 9).alias("s")))["s"]
+    return spark.createDataFrame([(o, h)], "ohe_sparsity double, hash_sparsity double")
 
 
 # ============================================================ evaluation
@@ -206,12 +207,9 @@ def linreg(spark, sf):
     pipe, _ = models.linreg_pipeline(_PLANT_F, "target")
     model = pipe.fit(train)
     lr = model.stages[-1]
-    rows = [_eval(model, test, "ridge_test")]
-    out = _metrics_rows(spark, rows)
-    coef = spark.createDataFrame([(float(lr.intercept), [float(x) for x in lr.coefficients])],
-                                 "intercept double, coefficients array<double>")
-    from tessera.plans.joins import attach_row
-    return attach_row(out, coef)
+    name, rmse, r2 = _eval(model, test, "ridge_test")
+    return spark.createDataFrame([(name, rmse, r2, float(lr.intercept), [float(x) for x in lr.coefficients])],
+                                 "model string, rmse double, r2 double, intercept double, coefficients array<double>")
 
 
 @query("linreg_cv")
@@ -306,12 +304,9 @@ FROM s, (SELECT avg(rating) AS m FROM s WHERE split = 'train') WHERE split = 'te
 def mean_baseline(spark, sf):
     """RMSE on test of the training mean used as every prediction."""
     s = _ratings_split(spark, sf)
-    m = s.filter("split = 'train'").agg(F.avg("rating").alias("train_mean"))
-    from tessera.plans.joins import attach_row
-    t = attach_row(s.filter("split = 'test'"), m)
-    out = t.agg(F.first("train_mean").alias("train_mean"),
-                F.sqrt(F.avg((F.col("rating") - F.col("train_mean")) ** 2)).alias("test_rmse"))
-    return out.select(r(F.col("train_mean"), 9).alias("train_mean"), r(F.col("test_rmse"), 9).alias("test_rmse"))
+    m = F.lit(one_row(s.filter("split = 'train'").agg(F.avg("rating").alias("m")))["m"])
+    out = s.filter("split = 'test'").agg(F.sqrt(F.avg((F.col("rating") - m) ** 2)).alias("test_rmse"))
+    return out.select(r(m, 9).alias("train_mean"), r(F.col("test_rmse"), 9).alias("test_rmse"))
 
 
 @query("als_rank")
