@@ -41,9 +41,12 @@ def simple_tokens(c: str | Column) -> Column:
 
 
 def tokens_without(c: str | Column, stop_words: list[str] | None = None) -> Column:
-    """X7 minus stop words; order and repeats kept."""
-    stops = F.array(*[F.lit(w) for w in (STOP_WORDS if stop_words is None else stop_words)])
-    return F.filter(simple_tokens(c), lambda t: ~F.array_contains(stops, t))
+    """X7 minus stop words; order and repeats kept.
+
+    ``isin`` over literals becomes a hash-set lookup (InSet) per token.
+    """
+    stops = STOP_WORDS if stop_words is None else stop_words
+    return F.filter(simple_tokens(c), lambda t: ~t.isin(stops))
 
 
 def plural(c: str | Column) -> Column:

@@ -58,11 +58,17 @@ def ohe_encode(records: DataFrame, dictionary: DataFrame, id_col: str = "id", co
 def hash_features(records: DataFrame, num_buckets: int = 1 << 15, id_col: str = "id",
                   col: str = "features") -> DataFrame:
     """(id, index, weight) where index = md5('value:pos') mod num_buckets and the
-    weight counts the record's features falling in that bucket."""
-    lf = long_features(records, id_col, col).distinct()
-    b = md5_bucket(F.concat(F.col("value"), F.lit(":"), F.col("pos").cast("string")), num_buckets)
-    return (lf.select(id_col, b.alias("index"))
-            .groupBy(id_col, "index").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    weight counts the record's distinct features falling in that bucket.
+
+    Buckets are counted inside each record's own (short) array, so no shuffle
+    is needed: the work is a narrow map over the records.
+    """
+    feats = F.array_distinct(F.col(col))
+    buckets = F.transform(feats, lambda f: md5_bucket(F.concat(f["value"], F.lit(":"), f["pos"].cast("string")),
+                                                      num_buckets))
+    entries = F.transform(F.array_distinct(F.col("__b")), lambda b: F.struct(
+        b.alias("index"), F.size(F.filter(F.col("__b"), lambda x: x == b)).cast("double").alias("weight")))
+    return records.select(id_col, buckets.alias("__b")).select(id_col, F.inline(entries))
 
 
 def sparsity(encoded: DataFrame, width: int | F.Column, id_col: str = "id") -> DataFrame:

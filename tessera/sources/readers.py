@@ -52,10 +52,14 @@ def positional_fields(lines: DataFrame, col: str = "value", sep: str = "\t",
     """S7: 'label<TAB>v0<TAB>v1...' to (label double, features array<struct<pos,value>>).
 
     Newlines are removed first (X18); positions start at 0 after the label.
+    The (pos, value) pairs are zipped natively (no per-element lambda).
     """
     parts = F.split(F.replace(F.col(col), F.lit("\n"), F.lit("")), sep)
     fields = F.slice(parts, 2, F.size(parts) - 1)
-    feats = F.transform(fields, lambda v, i: F.struct(i.cast("long").alias("pos"), v.alias("value")))
+    positions = F.sequence(F.lit(0).cast("long"), (F.size(fields) - 1).cast("long"))
+    feats = F.when(F.size(fields) > 0, F.arrays_zip(positions, fields)) \
+             .cast("array<struct<pos:bigint,value:string>>")
+    feats = F.coalesce(feats, F.array().cast("array<struct<pos:bigint,value:string>>"))
     return lines.select(*(keep or []), F.element_at(parts, 1).try_cast("double").alias("label"),
                         feats.alias("features"))
 
