@@ -588,8 +588,10 @@ sims AS (SELECT wa.id AS id_a, wb.id AS id_b, sum(wa.w * wb.w) / (any_value(na.n
 
 
 def _tokens_ab(spark, sf):
+    from pyspark import StorageLevel
     v = Views(spark, sf)
-    return sim.tokens(v.rec_a), sim.tokens(v.rec_b)
+    return (sim.tokens(v.rec_a).persist(StorageLevel.MEMORY_AND_DISK),
+            sim.tokens(v.rec_b).persist(StorageLevel.MEMORY_AND_DISK))
 
 
 @query("tf", _CORPUS_SQL + "SELECT id, token, tf FROM tf_a UNION ALL SELECT id, token, tf FROM tf_b")
@@ -628,3 +630,38 @@ def gold_match(spark, sf):
     v = Views(spark, sf)
     out = sim.gold_summary(sim.cosine_pairs(v.rec_a, v.rec_b), v.gold)
     return out.withColumn("avg_cs_gold", r(F.col("avg_cs_gold"))).withColumn("avg_cs_other", r(F.col("avg_cs_other")))
+
+
+# ============================================ small pair / list operators
+@query("blank_lines", """
+SELECT count_if(line = '') AS blank_lines, count(*) AS lines
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""")
+def blank_lines(spark, sf):
+    """Empty lines counted by an aggregate (not an accumulator side effect)."""
+    lines = text.lines_of(Views(spark, sf).documents)
+    return lines.agg(F.count_if(F.col("value") == "").alias("blank_lines"), F.count(F.lit(1)).alias("lines"))
+
+
+@query("top_values", """
+SELECT value FROM events ORDER BY value DESC LIMIT 5""")
+def top_values(spark, sf):
+    """The k largest values in natural order, duplicates kept (top(k))."""
+    return rel.top_k(Views(spark, sf).events.select("value"), 5, F.desc("value"))
+
+
+@query("sample_hash", f"""
+SELECT event_id FROM events WHERE {_duck_md5_unit('event_id', 42)} < {int(0.1 * (1 << 32))}""")
+def sample_hash(spark, sf):
+    """R2: a 10% Bernoulli sample decided by md5(seed:key), stable under re-partitioning."""
+    return keys.hash_sample(Views(spark, sf).events.select("event_id"), "event_id", 0.1, 42)
+
+
+@query("kv_map", """
+SELECT event_type AS key, value * 2 AS doubled, length(event_type) AS key_len,
+       event_type || 's' AS plural, 1 AS one FROM events""")
+def kv_map(spark, sf):
+    """Row maps on (key, value) pairs: mapValues(x * 2), len, pluralise, pair with 1."""
+    e = Views(spark, sf).events
+    return e.select(F.col("event_type").alias("key"), (F.col("value") * 2).alias("doubled"),
+                    F.length("event_type").cast("long").alias("key_len"), ftext.plural("event_type").alias("plural"),
+                    F.lit(1).alias("one"))
