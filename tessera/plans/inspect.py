@@ -46,6 +46,11 @@ def single_partition_window(df: DataFrame) -> bool:
 
 
 def exchanges(df: DataFrame) -> int:
-    """Number of shuffle exchanges in the physical plan."""
-    return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)",
-                          physical_plan(df)))
+    """Number of shuffle exchanges (broadcasts not counted) in the physical plan tree."""
+    tree = physical_plan(df).split("\n\n")[0]
+    return len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree))
+
+
+def codegen_stages(df: DataFrame) -> int:
+    """Number of whole-stage-codegen spans (``*(n)`` markers of the simple plan)."""
+    return len(set(re.findall(r"\*\((\d+)\)", plan_text(df, "simple"))))
