@@ -7,7 +7,6 @@ the whole base tables, so the work grows with the scale factor.
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +16,27 @@ BASE_TABLES = ("region nation customer supplier part orders lineitem events docu
                "embeddings pages benchmark labels conversations").split()
 
 
-def md5_key(*cols) -> F.Column:
-    """A 60-bit bigint from md5 of the '|'-joined key columns (same rule in DuckDB)."""
+def md5_key(*cols: str) -> F.Column:
+    """A 60-bit bigint from md5 of the '|'-joined key columns (same rule in DuckDB).
+
+    Key columns must be integers or strings so both engines render them alike.
+    """
     joined = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
 
 
-def duck_md5_key(*cols) -> str:
+def duck_md5_key(*cols: str) -> str:
     joined = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
     return f"('0x' || substr(md5({joined}), 1, 15))::BIGINT"
 
 
-LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+# lineitem has no declared key; these columns are unique at every test scale
+# (orderkey..linenumber alone repeat at sf0.001).  Quantity is integral.
+LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qty_int", "l_returnflag", "l_linestatus")
+
+
+def _with_line_key_cols(li: DataFrame) -> DataFrame:
+    return li.withColumn("l_qty_int", F.col("l_quantity").cast("bigint"))
 
 
 class Views:
@@ -81,7 +89,8 @@ class Views:
     # -- power plant stand-in
     @property
     def plant(self) -> DataFrame:
-        li = self.table("lineitem").select(*LINE_KEY, "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+        li = _with_line_key_cols(self.table("lineitem")).select(
+            *LINE_KEY, "l_quantity", "l_discount", "l_tax", "l_extendedprice")
         p = self.table("part").select("p_partkey", "p_retailprice")
         return (li.join(p, li.l_partkey == p.p_partkey)
                 .select(md5_key(*LINE_KEY).alias("id"),
@@ -92,7 +101,7 @@ class Views:
     # -- click log stand-in: id + tab-separated label and five categorical fields
     @property
     def clicks(self) -> DataFrame:
-        li = self.table("lineitem").select(*LINE_KEY, "l_returnflag", "l_linestatus")
+        li = _with_line_key_cols(self.table("lineitem")).select(*LINE_KEY)
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
         c = self.table("customer").select("c_custkey", "c_mktsegment")
@@ -138,6 +147,7 @@ class Views:
 
 
 # DuckDB twins of the views above: same rule, used by the oracle SQL.
+_DUCK_LINE_KEY = [c if c != "l_qty_int" else "CAST(l_quantity AS BIGINT)" for c in LINE_KEY]
 _STATUS = ("CASE WHEN event_id % 20 = 3 THEN 404 WHEN event_id % 20 = 7 THEN 500 "
            "WHEN event_id % 10 = 1 THEN 304 ELSE 200 END")
 DUCK_VIEWS: dict[str, str] = {
@@ -152,10 +162,10 @@ DUCK_VIEWS: dict[str, str] = {
         "'.html HTTP/1.0\" ' || CAST(" + _STATUS + " AS VARCHAR) || ' ' || "
         "CASE WHEN event_id % 17 = 0 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END "
         "AS value FROM events"),
-    "plant": (f"SELECT {duck_md5_key(*LINE_KEY)} AS id, l_quantity AS f1, l_discount AS f2, "
+    "plant": (f"SELECT {duck_md5_key(*_DUCK_LINE_KEY)} AS id, l_quantity AS f1, l_discount AS f2, "
               "l_tax AS f3, p_retailprice AS f4, l_extendedprice AS target "
               "FROM lineitem JOIN part ON l_partkey = p_partkey"),
-    "clicks": (f"SELECT {duck_md5_key(*LINE_KEY)} AS id, concat_ws(chr(9), "
+    "clicks": (f"SELECT {duck_md5_key(*_DUCK_LINE_KEY)} AS id, concat_ws(chr(9), "
                "CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END, l_linestatus, o_orderpriority, "
                "p_brand, p_type, c_mktsegment) AS value "
                "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
