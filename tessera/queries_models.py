@@ -346,18 +346,30 @@ def _click_sets(spark, sf):
 
 
 def _logit_report(spark, rec, encode, width, name, elastic):
+    """Fit on the training split; log loss (model and constant baseline) and AUC per split.
+
+    The encoded vectors and the scores are persisted once: the fit iterates
+    over them and every split's metrics read them again.
+    """
+    from pyspark import StorageLevel
     labels = rec.select("id", "label", "split")
-    vecs = feat.to_vectors(encode(rec), labels, width).join(labels.select("id", "split"), "id")
+    vecs = (feat.to_vectors(encode(rec), labels, width).join(labels.select("id", "split"), "id")
+            .persist(StorageLevel.MEMORY_AND_DISK))
     train = vecs.filter("split = 'train'")
     model = models.logistic_fit(train, reg=0.01, elastic=elastic)
-    base_p = train.agg(F.avg("label")).first()[0]
+    base_p = one_row(train.agg(F.avg("label").alias("b")))["b"]
+    scored = models.add_probability(vecs, model).select("split", "label", "p").persist(StorageLevel.MEMORY_AND_DISK)
+    losses = {r["split"]: r for r in scored.groupBy("split").agg(
+        F.avg(ev.log_loss(F.col("p"), F.col("label"))).alias("model"),
+        F.avg(ev.log_loss(F.lit(base_p), F.col("label"))).alias("baseline")).collect()}      # <= 3 rows
     rows = []
     for split in ("train", "validation", "test"):
-        part = models.add_probability(vecs.filter(f"split = '{split}'"), model)
-        ll = ev.log_loss_vs_baseline(part, baseline=base_p).first()
-        auc = ev.roc_auc(part).first()["auc"]
-        rows.append((name, split, float(ll["log_loss_model"]), float(ll["log_loss_baseline"]),
-                     None if auc is None else float(auc)))
+        auc = one_row(ev.roc_auc(scored.filter(F.col("split") == split)))["auc"]
+        ll = losses.get(split)
+        rows.append((name, split, None if ll is None else float(ll["model"]),
+                     None if ll is None else float(ll["baseline"]), None if auc is None else float(auc)))
+    scored.unpersist()
+    vecs.unpersist()
     return spark.createDataFrame(rows, "model string, split string, log_loss double, baseline_log_loss double, "
                                        "auc double")
 
