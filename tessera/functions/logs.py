@@ -15,6 +15,10 @@ PATH_RE = r"^.*\"\w+\s+(\S+)\s+HTTP.*\""
 STATUS_RE = r"^.*\"\s+(\S+)"
 SIZE_RE = r"^.*\s+(\d+)$"
 CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
+CLF_TIME_SHAPE = r"^\d\d/[A-Za-z]{3}/\d{4}:\d\d:\d\d:\d\d"
+
+# English month abbreviations of the log format, in calendar order.
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
 def extract(c: Column, pattern: str) -> Column:
@@ -23,5 +27,14 @@ def extract(c: Column, pattern: str) -> Column:
 
 
 def clf_time(text: Column) -> Column:
-    """X9: 'dd/MMM/yyyy:HH:mm:ss' to timestamp; bad text gives null; zone ignored."""
-    return F.try_to_timestamp(F.substring(text, 1, 20), F.lit(CLF_TIME_FORMAT))
+    """X9: 'dd/MMM/yyyy:HH:mm:ss' to a wall-clock timestamp (timestamp_ntz).
+
+    The zone offset is ignored, as in the reference.  Parts are assembled with
+    ``try_make_timestamp_ntz``, so an impossible date or time, or an unknown
+    month, gives null, and the result does not depend on the session time zone.
+    """
+    t = F.substring(text, 1, 20)
+    part = lambda start, n: F.substring(t, start, n).try_cast("int")
+    month = F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.substring(t, 4, 3)), F.lit(0))
+    ts = F.try_make_timestamp_ntz(part(8, 4), month.cast("int"), part(1, 2), part(13, 2), part(16, 2), part(19, 2))
+    return F.when(t.rlike(CLF_TIME_SHAPE), ts)

@@ -84,3 +84,16 @@ def test_blank_lines_is_an_aggregate(spark):
     from tessera.operators.profile import blank_lines
     df = spark.createDataFrame([("a",), ("",), ("",)], "value string")
     assert blank_lines(df).collect()[0][0] == 2
+
+
+def test_log_time_independent_of_session_zone(spark):
+    # 02:30 on 12 Mar 2023 does not exist in Los Angeles; the log's wall clock must survive
+    line = 'h - - [12/Mar/2023:02:30:00 -0800] "GET /a HTTP/1.0" 200 1'
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(line,)], "value string")
+        t = logs.parse(df).select(F.date_format("time", "yyyy-MM-dd HH:mm:ss")).collect()[0][0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert t == "2023-03-12 02:30:00"
