@@ -438,7 +438,8 @@ def category_counts(spark, sf):
 SELECT host, path, status, content_size, strftime(time, '%Y-%m-%d %H:%M:%S') AS time FROM logs"""))
 def log_parse(spark, sf):
     p = _parsed_logs(spark, sf)
-    return p.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss"))
+    # a timestamp_ntz renders as its wall clock; date_format would pass through the session zone
+    return p.withColumn("time", F.col("time").cast("string"))
 
 
 @query("log_quality", _log_sql("""

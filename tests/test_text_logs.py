@@ -58,7 +58,7 @@ BROKEN = 'bad.host - - [01/Xyz/1995:25:00:07 +0200] "GET /x HTTP/1.0" 200 12'
 def test_log_parse(spark):
     lines = spark.createDataFrame([(GOOD,), (DASH,), (BROKEN,)], "value string")
     rows = logs.parse(lines).select("host", "path", "status", "content_size",
-                                    F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("t")).collect()
+                                    F.col("time").cast("string").alias("t")).collect()
     assert tuple(rows[0]) == ("in24.inetnebr.com", "/shuttle/missions/sts-68/news/sts-68-mcc-05.txt", 200, 1839,
                               "1995-08-01 00:00:01")
     assert tuple(rows[1]) == ("uplherc.upl.com", "/", 304, 0, "1995-08-01 00:00:07")
@@ -93,7 +93,7 @@ def test_log_time_independent_of_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
         df = spark.createDataFrame([(line,)], "value string")
-        t = logs.parse(df).select(F.date_format("time", "yyyy-MM-dd HH:mm:ss")).collect()[0][0]
+        t = logs.parse(df).select(F.col("time").cast("string")).collect()[0][0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert t == "2023-03-12 02:30:00"
