@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector
 
+from tessera.functions.logs import MONTHS
+
 BASE_TABLES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
 
@@ -71,8 +73,12 @@ class Views:
     @property
     def access_log(self) -> DataFrame:
         e = self.table("events")
-        ts_text = F.when(F.col("event_id") % 101 == 0, F.lit("01/Xyz/2024:25:61:61")) \
-                   .otherwise(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"))
+        # built from date parts: exact for a timestamp_ntz whatever the session zone
+        ts = F.col("ts")
+        clf = F.format_string("%02d/%s/%04d:%02d:%02d:%02d", F.dayofmonth(ts),
+                              F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts)),
+                              F.year(ts), F.hour(ts), F.minute(ts), F.second(ts))
+        ts_text = F.when(F.col("event_id") % 101 == 0, F.lit("01/Xyz/2024:25:61:61")).otherwise(clf)
         status = (F.when(F.col("event_id") % 20 == 3, F.lit(404))
                   .when(F.col("event_id") % 20 == 7, F.lit(500))
                   .when(F.col("event_id") % 10 == 1, F.lit(304))
