@@ -117,11 +117,17 @@ def gradient_descent(train: DataFrame, iters: int = 30, alpha: float = 1.0, feat
                 cnt += len(r)
             yield pd.DataFrame({"g": [g.tolist()], "sse": [sse], "n": [cnt]})
 
-        parts = data.mapInPandas(partial, "g array<double>, sse double, n long")
-        tot = parts.agg(F.array(*[F.sum(F.col("g")[j]) for j in range(d)]).alias("g"),
-                        F.sum("sse").alias("sse")).first()
-        errors.append(float(np.sqrt(tot["sse"] / n)))
-        w = w - alpha / (n * np.sqrt(i + 1)) * np.array(tot["g"])
+        parts = data.mapInPandas(partial, "g array<double>, sse double, n long").persist()
+        # sum the partial gradients by position: d rows per partition cross the shuffle
+        g_rows = (parts.select(F.posexplode("g").alias("j", "v"))
+                  .groupBy("j").agg(F.sum("v").alias("v")).collect())          # d rows
+        sse = parts.agg(F.sum("sse")).first()[0]
+        parts.unpersist()
+        g = np.zeros(d)
+        for r in g_rows:
+            g[r["j"]] = r["v"]
+        errors.append(float(np.sqrt(sse / n)))
+        w = w - alpha / (n * np.sqrt(i + 1)) * g
     data.unpersist()
     return w, errors
 
