@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as ftext
-from tessera.functions.hashing import md5_bucket, md5_unit
 from tessera.operators import keys, logs, profile, relational as rel, similarity as sim, text
 from tessera.sources.fixtures import Views, duck_with
 

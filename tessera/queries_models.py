@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators import evaluate as ev
 from tessera.operators import features as feat
 from tessera.operators import keys, linalg, models, profile
-from tessera.queries import _duck_md5_unit, exact_sum, query, r
+from tessera.queries import _duck_md5_unit, query, r
 from tessera.plans.joins import one_row
 from tessera.sources.fixtures import Views, duck_with
 from tessera.sources.readers import positional_fields
