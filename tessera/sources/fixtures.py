@@ -75,9 +75,11 @@ class Views:
         e = self.table("events")
         # built from date parts: exact for a timestamp_ntz whatever the session zone
         ts = F.col("ts")
-        clf = F.format_string("%02d/%s/%04d:%02d:%02d:%02d", F.dayofmonth(ts),
-                              F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts)),
-                              F.year(ts), F.hour(ts), F.minute(ts), F.second(ts))
+        two = lambda c: F.lpad(c.cast("string"), 2, "0")
+        clf = F.concat(two(F.dayofmonth(ts)), F.lit("/"),
+                       F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(ts)), F.lit("/"),
+                       F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit(":"), two(F.hour(ts)), F.lit(":"),
+                       two(F.minute(ts)), F.lit(":"), two(F.second(ts)))
         ts_text = F.when(F.col("event_id") % 101 == 0, F.lit("01/Xyz/2024:25:61:61")).otherwise(clf)
         status = (F.when(F.col("event_id") % 20 == 3, F.lit(404))
                   .when(F.col("event_id") % 20 == 7, F.lit(500))
