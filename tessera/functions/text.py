@@ -45,8 +45,13 @@ def tokens_without(c: str | Column, stop_words: list[str] | None = None) -> Colu
 
     ``isin`` over literals becomes a hash-set lookup (InSet) per token.
     """
+    return drop_stop_words(simple_tokens(c), stop_words)
+
+
+def drop_stop_words(tokens: str | Column, stop_words: list[str] | None = None) -> Column:
+    """F10 on an existing token array (order and repeats kept)."""
     stops = STOP_WORDS if stop_words is None else stop_words
-    return F.filter(simple_tokens(c), lambda t: ~t.isin(stops))
+    return F.filter(_c(tokens), lambda t: ~t.isin(stops))
 
 
 def plural(c: str | Column) -> Column:

@@ -160,8 +160,10 @@ SELECT doc_id, CAST(len({_duck_simple_tokens('text')}) AS BIGINT) AS n_tokens,
 FROM documents""")
 def filter_stopwords(spark, sf):
     d = Views(spark, sf).documents
-    return d.select("doc_id", F.size(ftext.simple_tokens("text")).cast("long").alias("n_tokens"),
-                    F.size(ftext.tokens_without("text")).cast("long").alias("n_kept"))
+    # tokenise once; the projection is kept separate so the token array is not recomputed
+    t = d.select("doc_id", ftext.simple_tokens("text").alias("t"))
+    return t.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
+                    F.size(ftext.drop_stop_words("t")).cast("long").alias("n_kept"))
 
 
 # ======================================================= scalar functions
