@@ -72,7 +72,7 @@ def covariance_long(df: DataFrame, col: str) -> DataFrame:
 
 def covariance_matrix(df: DataFrame, col: str) -> np.ndarray:
     """M36 on the driver: the d x d matrix (bounded by d, not by rows)."""
-    rows = covariance_long(df, col).collect()
+    rows = covariance_long(df, col).collect()                # d * d rows
     d = int(max(r["i"] for r in rows)) + 1
     m = np.zeros((d, d))
     for r in rows:

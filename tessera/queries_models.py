@@ -151,7 +151,7 @@ def histogram(spark, sf):
 # =================================================== linear algebra
 @query("mean_vector", """
 SELECT CAST(pos - 1 AS INTEGER) AS pos, round(avg(CAST(embedding[pos] AS DOUBLE)), 9) AS mean
-FROM embeddings, range(1, 65) t(pos) GROUP BY pos""")
+FROM (SELECT unnest(range(1, len(embedding) + 1)) AS pos, embedding FROM embeddings) GROUP BY pos""")
 def mean_vector(spark, sf):
     m = linalg.mean_vector(Views(spark, sf).embeddings, "embedding")
     return m.select("pos", r(F.col("mean"), 9).alias("mean"))
@@ -159,7 +159,7 @@ def mean_vector(spark, sf):
 
 @query("covariance_long", """
 WITH x AS (SELECT vec_id, CAST(pos - 1 AS BIGINT) AS i, CAST(embedding[pos] AS DOUBLE) AS v
-           FROM embeddings, range(1, 65) t(pos))
+           FROM (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS pos, embedding FROM embeddings))
 SELECT a.i, b.i AS j, round(covar_pop(a.v, b.v), 9) AS cov
 FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.i, b.i""")
 def covariance_long(spark, sf):
