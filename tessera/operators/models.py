@@ -35,7 +35,7 @@ def assembler(features: list[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="skip")
 
 
-def linreg_pipeline(features: list[str], label: str, pred: str = "prediction", reg: float = 0.1,
+def linreg_estimator(features: list[str], label: str, pred: str = "prediction", reg: float = 0.1,
                     max_iter: int = 100, elastic: float = 0.0) -> tuple[Pipeline, LinearRegression]:
     """M2/M3 (M16 with ``elastic`` > 0): assemble then linear regression."""
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol=pred,
@@ -43,7 +43,7 @@ def linreg_pipeline(features: list[str], label: str, pred: str = "prediction", r
     return Pipeline(stages=[assembler(features), lr]), lr
 
 
-def poly_pipeline(label: str, degree: int = 2, reg: float = 1e-10, elastic: float = 0.2,
+def poly_estimator(label: str, degree: int = 2, reg: float = 1e-10, elastic: float = 0.2,
                   max_iter: int = 50, features_col: str = "features") -> Pipeline:
     """Polynomial expansion then linear regression."""
     pe = PolynomialExpansion(degree=degree, inputCol=features_col, outputCol="poly")
@@ -71,14 +71,14 @@ def ridge_grid(lr: LinearRegression, values: list[float] | None = None) -> list:
     return ParamGridBuilder().addGrid(lr.regParam, values or [i / 100 for i in range(1, 11)]).build()
 
 
-def tree_pipeline(features: list[str], label: str, pred: str = "prediction",
+def tree_estimator(features: list[str], label: str, pred: str = "prediction",
                   max_bins: int = 100) -> tuple[Pipeline, DecisionTreeRegressor]:
     """M7."""
     dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, predictionCol=pred, maxBins=max_bins)
     return Pipeline(stages=[assembler(features), dt]), dt
 
 
-def forest_pipeline(features: list[str], label: str, pred: str = "prediction", trees: int = 30,
+def forest_estimator(features: list[str], label: str, pred: str = "prediction", trees: int = 30,
                     depth: int = 8, seed: int = 100088121) -> tuple[Pipeline, RandomForestRegressor]:
     """M8."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=pred,

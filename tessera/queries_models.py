@@ -204,7 +204,7 @@ def linreg(spark, sf):
     """M1-M5: ridge (0.1, 100 iterations) on the training split, metrics on the test split."""
     s = _plant_split(spark, sf)
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
-    pipe, _ = models.linreg_pipeline(_PLANT_F, "target")
+    pipe, _ = models.linreg_estimator(_PLANT_F, "target")
     model = pipe.fit(train)
     lr = model.stages[-1]
     name, rmse, r2 = _eval(model, test, "ridge_test")
@@ -218,7 +218,7 @@ def linreg_cv(spark, sf):
     s = _plant_split(spark, sf)
     train = models.fold_column(s.filter("split = 'train'"), "id", 3)
     test = s.filter("split = 'test'")
-    pipe, lr = models.linreg_pipeline(_PLANT_F, "target")
+    pipe, lr = models.linreg_estimator(_PLANT_F, "target")
     cv = models.cross_validate(pipe, models.ridge_grid(lr), train, "target", "prediction")
     best = cv.bestModel.stages[-1]
     rows = [_eval(cv.bestModel, test, f"ridge_cv_reg={best.getRegParam()}")]
@@ -232,7 +232,7 @@ def tree_cv(spark, sf):
     s = _plant_split(spark, sf)
     train = models.fold_column(s.filter("split = 'train'"), "id", 3)
     test = s.filter("split = 'test'")
-    pipe, dt = models.tree_pipeline(_PLANT_F, "target")
+    pipe, dt = models.tree_estimator(_PLANT_F, "target")
     grid = ParamGridBuilder().addGrid(dt.maxDepth, [2, 3]).build()
     cv = models.cross_validate(pipe, grid, train, "target", "prediction")
     return _metrics_rows(spark, [_eval(cv.bestModel, test, f"tree_depth={cv.bestModel.stages[-1].depth}")])
@@ -245,7 +245,7 @@ def forest(spark, sf):
     s = _plant_split(spark, sf)
     train = models.fold_column(s.filter("split = 'train'"), "id", 3)
     test = s.filter("split = 'test'")
-    pipe, rf = models.forest_pipeline(_PLANT_F, "target")
+    pipe, rf = models.forest_estimator(_PLANT_F, "target")
     grid = ParamGridBuilder().addGrid(rf.maxDepth, [6, 8]).build()
     cv = models.cross_validate(pipe, grid, train, "target", "prediction")
     return _metrics_rows(spark, [_eval(cv.bestModel, test, "forest")])
@@ -260,7 +260,7 @@ def _years_split(spark, sf):
 def poly_linreg(spark, sf):
     """Degree-2 expansion + elastic-net regression, evaluated on validation (Q19)."""
     s = _years_split(spark, sf)
-    model = models.poly_pipeline("label").fit(s.filter("split = 'train'"))
+    model = models.poly_estimator("label").fit(s.filter("split = 'train'"))
     return _metrics_rows(spark, [_eval(model, s.filter("split = 'validation'"), "poly2", label="label")])
 
 

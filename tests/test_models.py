@@ -31,7 +31,7 @@ def test_linear_regression_recovers_coefficients(spark):
     x = rng.normal(size=(300, 2))
     y = 3.0 + x @ np.array([1.5, -2.0])
     df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
-    pipe, _ = models.linreg_pipeline(["a", "b"], "y", reg=0.0)
+    pipe, _ = models.linreg_estimator(["a", "b"], "y", reg=0.0)
     lr = pipe.fit(df).stages[-1]
     assert lr.intercept == pytest.approx(3.0, abs=1e-6)
     assert np.allclose(lr.coefficients.toArray(), [1.5, -2.0], atol=1e-6)
@@ -47,16 +47,16 @@ def test_model_beats_mean_baseline(spark):
     from tessera.operators import keys
     p = keys.hash_split(df, "id", [0.8, 0.2], 3, ["train", "test"])
     train, test = p.filter("split = 'train'"), p.filter("split = 'test'")
-    pipe, _ = models.linreg_pipeline(["f1", "f2", "f3", "f4"], "target")
+    pipe, _ = models.linreg_estimator(["f1", "f2", "f3", "f4"], "target")
     model_rmse = ev.regression_metrics(pipe.fit(train).transform(test), "target", "prediction").collect()[0].rmse
     mean = train.agg(F.avg("target")).collect()[0][0]
     base = ev.regression_metrics(test.withColumn("prediction", F.lit(mean)), "target", "prediction").collect()[0].rmse
     assert model_rmse < 0.5 * base
 
 
-def test_plant_pipeline_runs(spark):
+def test_plant_regression_runs(spark):
     from tessera.sources.fixtures import Views
-    pipe, _ = models.linreg_pipeline(["f1", "f2", "f3", "f4"], "target")
+    pipe, _ = models.linreg_estimator(["f1", "f2", "f3", "f4"], "target")
     out = pipe.fit(Views(spark, SF0001).plant).transform(Views(spark, SF0001).plant)
     assert out.filter(F.col("prediction").isNull()).count() == 0
 
