@@ -56,7 +56,7 @@ class Views:
             return self.table(name)
         raise AttributeError(name)
 
-    # -- ratings / items (cs110 week 2 stand-ins)
+    # -- ratings / items (recommendation stand-ins)
     @property
     def ratings(self) -> DataFrame:
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity")
