@@ -39,3 +39,11 @@ def test_dimension_broadcast_is_size_checked(spark):
     big = spark.range(1000)
     # over the bound no hint is added; the choice is left to Catalyst / AQE
     assert sized_broadcast(big, 100) is big
+
+
+def test_tfidf_similarity_stays_in_jvm(spark):
+    from tessera.operators import similarity as sim
+    v = Views(spark, SF0001)
+    df = sim.cosine_pairs(v.rec_a, v.rec_b)
+    assert not pi.runs_python(df)
+    assert not pi.has_cartesian(df)
