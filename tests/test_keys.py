@@ -44,3 +44,15 @@ def test_hash_sample_fraction(spark):
     n = keys.hash_sample(df, "key", 0.1).count()
     assert 400 < n < 600
     assert keys.bernoulli_sample(df, 0.1, seed=3).count() > 0
+
+
+def test_row_index_more_partitions_than_rows(spark):
+    df = spark.createDataFrame([(30,), (10,), (20,)], "k long")
+    out = sorted((r.k, r.idx) for r in keys.row_index(df, "k", partitions=8).collect())
+    assert out == [(10, 0), (20, 1), (30, 2)]
+
+
+def test_running_sums_empty_input(spark):
+    df = spark.createDataFrame([], "k long, v long")
+    out, totals = keys.running_sums_totals(df, "k", {"cum": "v"}, partitions=4)
+    assert out.count() == 0 and totals == {"cum": 0}
