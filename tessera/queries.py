@@ -367,8 +367,8 @@ def _parsed_logs(spark, sf):
 
 
 @query("null_profile", _log_sql("""
-SELECT count_if(host IS NULL) AS host, count_if(path IS NULL) AS path, count_if(status IS NULL) AS status,
-       count_if(content_size IS NULL) AS content_size, count_if(time IS NULL) AS time FROM logs"""))
+SELECT CAST(count_if(host IS NULL) AS BIGINT) AS host, CAST(count_if(path IS NULL) AS BIGINT) AS path, CAST(count_if(status IS NULL) AS BIGINT) AS status,
+       CAST(count_if(content_size IS NULL) AS BIGINT) AS content_size, CAST(count_if(time IS NULL) AS BIGINT) AS time FROM logs"""))
 def null_profile(spark, sf):
     return profile.null_counts(_parsed_logs(spark, sf))
 
@@ -445,11 +445,11 @@ def log_parse(spark, sf):
 
 @query("log_quality", _log_sql("""
 SELECT count(*) AS lines,
-       count_if(host IS NULL OR ts_text IS NULL OR path IS NULL OR status IS NULL OR content_size IS NULL) AS bad_rows,
-       count_if(host IS NULL) AS null_host, count_if(ts_text IS NULL) AS null_timestamp,
-       count_if(path IS NULL) AS null_path, count_if(status IS NULL) AS null_status,
-       count_if(content_size IS NULL) AS null_content_size,
-       count_if(NOT regexp_matches(value, '\\d+$')) AS bad_size_lines
+       CAST(count_if(host IS NULL OR ts_text IS NULL OR path IS NULL OR status IS NULL OR content_size IS NULL) AS BIGINT) AS bad_rows,
+       CAST(count_if(host IS NULL) AS BIGINT) AS null_host, CAST(count_if(ts_text IS NULL) AS BIGINT) AS null_timestamp,
+       CAST(count_if(path IS NULL) AS BIGINT) AS null_path, CAST(count_if(status IS NULL) AS BIGINT) AS null_status,
+       CAST(count_if(content_size IS NULL) AS BIGINT) AS null_content_size,
+       CAST(count_if(NOT regexp_matches(value, '\\d+$')) AS BIGINT) AS bad_size_lines
 FROM parsed"""))
 def log_quality(spark, sf):
     return logs.quality(Views(spark, sf).access_log)
@@ -623,7 +623,7 @@ def cosine_pairs(spark, sf):
 
 @query("gold_match", _CORPUS_SQL.rstrip() + """,
 gold AS (SELECT a.id AS id_a, b.id AS id_b FROM rec_a a JOIN rec_b b ON a.text = b.text)
-SELECT count(*) AS n_pairs, count_if(g.id_a IS NOT NULL) AS n_gold_found,
+SELECT count(*) AS n_pairs, CAST(count_if(g.id_a IS NOT NULL) AS BIGINT) AS n_gold_found,
        round(avg(CASE WHEN g.id_a IS NOT NULL THEN cs END), 6) AS avg_cs_gold,
        round(avg(CASE WHEN g.id_a IS NULL THEN cs END), 6) AS avg_cs_other,
        (SELECT count(*) FROM gold) AS n_gold
@@ -636,7 +636,7 @@ def gold_match(spark, sf):
 
 # ============================================ small pair / list operators
 @query("blank_lines", """
-SELECT count_if(line = '') AS blank_lines, count(*) AS lines
+SELECT CAST(count_if(line = '') AS BIGINT) AS blank_lines, count(*) AS lines
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""")
 def blank_lines(spark, sf):
     """Empty lines counted by an aggregate (not an accumulator side effect)."""
