@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import simhash_dedup, toxicity
+from tessera.llm import decontaminate, simhash_dedup, toxicity
 from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def decided(scores: DataFrame, threshold: float, mod: int, rest: int) -> DataFra
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+@query("op2_benchmark_decontamination")
+def op2_benchmark_decontamination(spark, sf):
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark, sf):
     return simhash_dedup.near_duplicates(table(spark, sf, "documents"), shingle=3, radius=2)
