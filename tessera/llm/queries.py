@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, simhash_dedup, toxicity
+from tessera.llm import decontaminate, sentencepiece_stream, simhash_dedup, toxicity
 from tessera.llm.common import fold, table
 
+#: Files of public tokenizers; the operators take any path.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,6 +43,12 @@ def op2_benchmark_decontamination(spark, sf):
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark, sf):
+    """Ids of every text, their checksum, and whether decoding them gives the text back."""
+    return sentencepiece_stream.round_trip(table(spark, sf, "documents"), PIECES)
+
+
 @query("op9_simhash_near_dedup")
 def op9_simhash_near_dedup(spark, sf):
     return simhash_dedup.near_duplicates(table(spark, sf, "documents"), shingle=3, radius=2)
