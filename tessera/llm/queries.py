@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, sentencepiece_stream, simhash_dedup, toxicity
+from tessera.llm import decontaminate, secrets, sentencepiece_stream, simhash_dedup, toxicity
 from tessera.llm.common import fold, table
 
 #: Files of public tokenizers; the operators take any path.
@@ -43,6 +43,16 @@ def op2_benchmark_decontamination(spark, sf):
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def secret_model(spark) -> secrets.SecretModel:
+    words = secrets.vocabulary(spark, BYTE_BPE)
+    return secrets.train(secrets.seed_findings(spark, words), words)
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf):
+    return secret_model(spark).findings(table(spark, sf, "documents"), path_col="source")
+
+
 @query("op8_sentencepiece")
 def op8_sentencepiece(spark, sf):
     """Ids of every text, their checksum, and whether decoding them gives the text back."""
