@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, secrets, sentencepiece_stream, simhash_dedup, toxicity
-from tessera.llm.common import fold, table
+from tessera.llm import decontaminate, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
+from tessera.llm.common import fold, shared_path, table
 
 #: Files of public tokenizers; the operators take any path.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,6 +38,13 @@ def decided(scores: DataFrame, threshold: float, mod: int, rest: int) -> DataFra
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+@query("op1_token_output")
+def op1_token_output(spark, sf):
+    path = shared_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf, "documents"), path, BYTE_BPE, end_id=2)
+    return token_files.catalogue(spark, path).drop("file", "row")
+
+
 @query("op2_benchmark_decontamination")
 def op2_benchmark_decontamination(spark, sf):
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
