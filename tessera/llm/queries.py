@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
+from tessera.llm import decontaminate, language, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
 from tessera.llm.common import fold, shared_path, table
 
 #: Files of public tokenizers; the operators take any path.
@@ -60,6 +60,13 @@ def op3_secret_scan(spark, sf):
     return secret_model(spark).findings(table(spark, sf, "documents"), path_col="source")
 
 
+@query("op5_language_id")
+def op5_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language.fit(docs.filter(fold("doc_id", 4) != 2))
+    return language.identify(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
+
+
 @query("op8_sentencepiece")
 def op8_sentencepiece(spark, sf):
     """Ids of every text, their checksum, and whether decoding them gives the text back."""

@@ -94,7 +94,7 @@ class ToxicityModel:
 
 def train(bags: list, labels: np.ndarray, bits: int = BITS, dim: int = 4, epochs: int = 8, rate: float = 3.0,
           batch: int = 64, seed: int = 7) -> ToxicityModel:
-    """Joint training of embeddings and softmax over (buckets, counts) bags."""
+    """Joint training of embeddings and softmax over (buckets, counts) bags; empties the list of bags."""
     size = 1 << bits
     n = len(bags)
     share = float(labels.mean()) if n else 0.5
@@ -109,17 +109,19 @@ def train(bags: list, labels: np.ndarray, bits: int = BITS, dim: int = 4, epochs
     weight[0] = 0
     rng = np.random.default_rng(seed)
     seen = np.flatnonzero(df > min(LEAST, n // 50))
-    row = np.full(size, -1, np.int64)
-    row[seen] = np.arange(len(seen))
+    row = np.full(size, -1, np.int32)
+    row[seen] = np.arange(len(seen), dtype=np.int32)
     emb = np.zeros((len(seen), dim), np.float32)
     soft = rng.normal(0, 1, (dim, 2)).astype(np.float32)
     bias = np.log(np.array([1 - share, share], np.float32))
     g_emb, g_soft, g_bias = np.full(emb.shape, 1e-8, np.float32), np.full(soft.shape, 1e-8, np.float32), np.full(2, 1e-8, np.float32)
     parts = []
-    for b, c in bags:
+    while bags:  # each bag is let go as soon as it is weighted
+        b, c = bags.pop()
         w = weight[b] * c
         keep = row[b] >= 0
         parts.append((row[b][keep], (w / max(float(w.sum()), 1e-9))[keep].astype(np.float32)))
+    parts.reverse()
     onehot = np.eye(2, dtype=np.float32)[labels]
     for _ in range(epochs):
         order = rng.permutation(n)
@@ -149,7 +151,7 @@ def train(bags: list, labels: np.ndarray, bits: int = BITS, dim: int = 4, epochs
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
-        per_class: int = 2048, **options) -> ToxicityModel:
+        per_class: int = 1536, **options) -> ToxicityModel:
     """Train on at most ``per_class`` labelled documents of each class.
 
     Spark chooses the sample and turns its whole texts into bags; the driver gets these bags,
@@ -168,7 +170,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = rows.mapInArrow(bags, "id long, label int, buckets binary, counts binary").toArrow().sort_by("id")
     pairs = [(np.frombuffer(b.as_py(), np.int32), np.frombuffer(c.as_py(), np.int32))
              for b, c in zip(got["buckets"], got["counts"], strict=True)]
-    return train(pairs, np.array(got["label"].to_pylist(), np.int64), **options)
+    marks = np.array(got["label"].to_pylist(), np.int64)
+    del got
+    return train(pairs, marks, **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
