@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
+from tessera.llm import decontaminate, language, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
 from tessera.llm.common import fold, shared_path, table
 
 #: Files of public tokenizers; the operators take any path.
@@ -60,6 +60,13 @@ def op3_secret_scan(spark, sf):
     return secret_model(spark).findings(table(spark, sf, "documents"), path_col="source")
 
 
+@query("op4_quality")
+def op4_quality(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.fit(docs, labels.filter(fold("doc_id", 3) != 1))
+    return decided(quality.score(docs, model), 0.5, 3, 1)
+
+
 @query("op5_language_id")
 def op5_language_id(spark, sf):
     docs = table(spark, sf, "documents")
