@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
+from tessera.llm import decontaminate, language, licenses, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
 from tessera.llm.common import fold, shared_path, table
 
 #: Files of public tokenizers; the operators take any path.
@@ -74,6 +74,11 @@ def op5_language_id(spark, sf):
     return language.identify(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
+@query("op6_license_scan", licenses.ORACLE)
+def op6_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 @query("op8_sentencepiece")
 def op8_sentencepiece(spark, sf):
     """Ids of every text, their checksum, and whether decoding them gives the text back."""
