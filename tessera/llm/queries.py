@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language, licenses, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, toxicity
+from tessera.llm import decontaminate, language, licenses, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, topk, toxicity
 from tessera.llm.common import fold, shared_path, table
 
 #: Files of public tokenizers; the operators take any path.
@@ -79,6 +79,20 @@ def op6_license_scan(spark, sf):
     return licenses.scan(table(spark, sf, "documents"))
 
 
+@query("op7_exact_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20""")
+def op7_exact_top_k(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 @query("op8_sentencepiece")
 def op8_sentencepiece(spark, sf):
     """Ids of every text, their checksum, and whether decoding them gives the text back."""
