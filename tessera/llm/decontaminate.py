@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_BYTES, packed, scored
+from tessera.llm.common import WORD_BYTES, kept, packed, scored
 
 SHINGLE = 5
 BLOCKS = 4
@@ -232,7 +232,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return out.select(id_col, F.inline("found"))
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Documents, all columns, that leak no item.  Rows are told apart by their id."""
-    bad = leaks(docs, items, id_col, text_col, **options).select(id_col).distinct()
-    return docs.join(bad, id_col, "left_anti").select(docs.columns)
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
+          item_text: str = "text", similarity: float = 0.8, radius: int = 15, item_block: int = 2048) -> DataFrame:
+    """Rows of ``docs``, all columns, that leak no item; one pass over what is left for each block of items."""
+    for block in item_blocks(items, item_id, item_text, item_block):
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, radius))
+
+        def keep(texts, index=index):
+            words, offsets = word_hashes(texts)
+            return [b <= a or not index.value.leaks(t, words[a:b], similarity)
+                    for t, a, b in zip(texts, offsets[:-1], offsets[1:])]
+
+        docs = kept(docs, text_col, keep, 1 << 17)
+    return docs

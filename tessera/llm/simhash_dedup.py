@@ -163,13 +163,15 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   radius: int = 2) -> DataFrame:
     """Rows of ``docs``, all columns: of each component the one with the smallest id.
 
-    Of rows that share that id one stays, the first by the hash of its columns; rows without an
-    id are no group's first unless the whole component has none, and then they all stay.
+    Of rows that share that id one stays, the first by the hash of its columns.  Rows without an
+    id all stay: nothing tells which of them a decision is about.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    firsts = found.select(F.col("component_id").alias("__id")).filter("__id IS NOT NULL").distinct()
-    bare = found.filter(F.col("component_id").isNull()).limit(1).count()
-    kept = docs.join(firsts, docs[id_col] == firsts["__id"], "left_semi")
+    found = written(near_duplicates(docs, id_col, text_col, shingle, radius).select(id_col, "component_id"), "groups")
+    others = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
+    firsts = docs.join(others, id_col, "left_anti")
+    # only rows of repeated ids are ranked; all others pass without a shuffle of their texts
     order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-    kept = kept.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
-    return kept.unionByName(docs.filter(F.col(id_col).isNull())) if bare else kept
+    ranked = firsts.join(again, id_col, "left_semi").withColumn("__n", F.row_number().over(order))
+    return (firsts.join(again, id_col, "left_anti").select(docs.columns)
+            .unionByName(ranked.filter("__n = 1").select(docs.columns)))
