@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash_dedup, toxicity
+from tessera.llm import decontaminate, secrets, sentencepiece_stream, simhash_dedup, toxicity
 from tessera.llm.common import fold, table, written
+from tessera.llm.queries import PIECES, secret_model
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +24,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_dedup.first_of_each(docs, shingle=3, radius=2)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts; every document stays."""
+    return secrets.redacted(docs, secret_model(spark), path_col="source", length_col="n_chars")
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and the SentencePiece ids of the text."""
+    return sentencepiece_stream.encode(docs, PIECES)
+
+
 STAGES = [
     ("toxicity", toxic),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("secret_scan", without_secrets),
+    ("sentencepiece", encoded),
 ]
 
 
