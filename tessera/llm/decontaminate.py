@@ -77,11 +77,11 @@ def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return _mix((total[ends] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """Hash of every run of SHINGLE words of one text (fewer words: of the whole sequence)."""
+def shingle_hashes(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """Hash of every run of k words of one text (fewer words: of the whole sequence)."""
     if not len(words):
         return words
-    k = min(SHINGLE, len(words))
+    k = min(k, len(words))
     out = np.zeros(len(words) - k + 1, np.uint64)
     for i in range(k):
         out = out * _STEP + words[i:len(words) - k + 1 + i]
@@ -122,12 +122,12 @@ class ItemIndex:
         for n, (_, w) in enumerate(self.items):
             by_size.setdefault(len(w), []).append(n)
         self.sizes: dict[int, tuple] = {}
-        shingles = []
+        shingles: dict[int, list] = {}  # by their number of words: items of under SHINGLE words have shorter ones
         for size, members in sorted(by_size.items()):
             prints = []
             for n in members:
                 s = shingle_hashes(word_hashes([" ".join(self.items[n][1])])[0])
-                shingles.append(s)
+                shingles.setdefault(min(size, SHINGLE), []).append(s)
                 prints.append(simhashes(s, np.zeros(1, np.int64), len(s))[0])
             prints = np.array(prints, np.uint64)
             blocks = []
@@ -137,17 +137,17 @@ class ItemIndex:
                 order = np.argsort(near, kind="stable")
                 blocks.append((near[order], np.repeat(np.arange(len(members)), len(masks))[order]))
             self.sizes[size] = (np.array(members), prints, blocks)
-        self.shingles = np.unique(np.concatenate(shingles)) if shingles else np.zeros(0, np.uint64)
-        self.table = np.zeros(1 << _TABLE_BITS, bool)
-        self.table[(self.shingles >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-
-    def holds(self, shingles: np.ndarray) -> np.ndarray:
-        """Positions of shingles that some item has."""
-        if not len(self.shingles):
-            return np.zeros(0, np.int64)
-        at = np.flatnonzero(self.table[(shingles >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-        where = np.minimum(np.searchsorted(self.shingles, shingles[at]), len(self.shingles) - 1)
-        return at[self.shingles[where] == shingles[at]]
+        self.shingles = {k: np.unique(np.concatenate(v)) for k, v in shingles.items()}
+        self.tables = {k: np.zeros(1 << _TABLE_BITS, bool) for k in self.shingles}
+        for k, v in self.shingles.items():
+            self.tables[k][(v >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
+
+    def holds(self, shingles: np.ndarray, k: int) -> np.ndarray:
+        """Positions of shingles of k words that some item has."""
+        known = self.shingles[k]
+        at = np.flatnonzero(self.tables[k][(shingles >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
+        where = np.minimum(np.searchsorted(known, shingles[at]), len(known) - 1)
+        return at[known[where] == shingles[at]]
 
     def near(self, prints: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) of all items of this size within the radius of each fingerprint."""
@@ -168,18 +168,19 @@ class ItemIndex:
 
     def leaks(self, text: str, words: np.ndarray, similarity: float) -> list[tuple]:
         """(item_id, similarity, distance, first word) of the best window for each leaked item."""
-        shingles = shingle_hashes(words)
-        hits = self.holds(shingles)
-        if not len(hits):
-            return []
+        runs = {k: shingle_hashes(words, k) for k in self.shingles}
+        hits = {k: self.holds(v, k) for k, v in runs.items()}
         spelt, best = None, {}
-        for size in self.sizes:
-            n = min(size, len(words))
-            span = max(n - SHINGLE + 1, 1)  # shingles of a window
+        for size in self.sizes if any(map(len, hits.values())) else ():
+            n, k = min(size, len(words)), min(size, SHINGLE)
+            shingles, found = runs[k], hits[k]
+            if not len(found):
+                continue
+            span = max(n - k + 1, 1)  # shingles of a window
             last = len(shingles) - span
             mark = np.zeros(last + 2, np.int32)  # windows that hold a hit: starts hit - span + 1 .. hit
-            np.add.at(mark, np.clip(hits - span + 1, 0, last + 1), 1)
-            np.add.at(mark, np.minimum(hits + 1, last + 1), -1)
+            np.add.at(mark, np.clip(found - span + 1, 0, last + 1), 1)
+            np.add.at(mark, np.minimum(found + 1, last + 1), -1)
             starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             if not len(starts):
                 continue

@@ -122,7 +122,7 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node reachable, for every node of an edge, by alternating star steps."""
+    """(node, root): the smallest node reachable, for every node but the roots, by alternating star steps."""
     checkpoint_dir(edges.sparkSession)
     pairs = edges.select("a", "b").checkpoint()
     while True:
