@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, language, licenses, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, topk, toxicity
-from tessera.llm.common import fold, shared_path, table
+from tessera.llm.common import fold, shared_path, table, written
 
 #: Files of public tokenizers; the operators take any path.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -51,7 +51,7 @@ def op2_benchmark_decontamination(spark, sf):
 
 
 def secret_model(spark) -> secrets.SecretModel:
-    words = secrets.vocabulary(spark, BYTE_BPE)
+    words = written(secrets.vocabulary(spark, BYTE_BPE), "words")
     return secrets.train(secrets.seed_findings(spark, words), words)
 
 

@@ -27,6 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import written
+
 _CLASS = r"A-Za-z0-9+/=_\-"
 CANDIDATE = rf"(?<![{_CLASS}])[{_CLASS}]{{16,}}+"
 #: Characters kept on either side of a candidate.
@@ -156,10 +158,11 @@ class SecretModel:
             (score >= threshold).cast("int").alias("secret"))
 
 
-def train(findings: DataFrame, dictionary: DataFrame, trees: int = 30, depth: int = 8, seed: int = 11) -> SecretModel:
-    """Fit on labelled findings; they are reviewed by people, so few, and the forest reads them from a cache."""
-    odds = transition_odds(findings).cache()
-    rows = _vectors(features(findings, odds, dictionary)).select("features", F.col("label").cast("double").alias("label"))
+def train(findings: DataFrame, dictionary: DataFrame, trees: int = 20, depth: int = 8, seed: int = 11) -> SecretModel:
+    """Fit on labelled findings; they are reviewed by people, so few, and their features are written once."""
+    odds = written(transition_odds(findings), "transitions")
+    rows = written(features(findings, odds, dictionary).withColumn("label", F.col("label").cast("double")), "findings")
+    rows = _vectors(rows).select("features", "label")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird",
                                     probabilityCol="probability").fit(rows)
     return SecretModel(forest, odds, dictionary)
@@ -175,12 +178,8 @@ def seed_findings(spark: SparkSession, dictionary: DataFrame, n: int = 4096) ->
     def pick(salt: int, values: list[str]):
         return F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(values))) + 1).cast("int"))
 
-    ranked = dictionary.select("word", (F.rank().over(_by_hash()) - 1).alias("n")).filter(F.col("n") < 2048)
-    size = F.broadcast(ranked.agg(F.count("*").alias("words")))  # one row
-    base = spark.range(n).join(size)
-    for k in range(5):
-        base = base.join(F.broadcast(ranked.select(F.col("word").alias(f"w{k}"), F.col("n").alias(f"n{k}"))),  # 2048 rows
-                         F.pmod(F.xxhash64("id", F.lit(40 + k)), F.col("words")) == F.col(f"n{k}"))
+    some = dictionary.orderBy(F.xxhash64("word"), "word").limit(2048).agg(F.sort_array(F.collect_list("word")).alias("words"))
+    base = spark.range(n).join(F.broadcast(some))  # one row of 2048 words
     raw = F.concat(F.sha2(F.concat(F.lit("a"), F.col("id")), 256), F.sha2(F.concat(F.lit("b"), F.col("id")), 256))
     mixed = F.translate(F.base64(F.unhex(raw)), "\r\n", "")
     hexes = F.substr(raw, F.lit(1), pick(1, ["20", "24", "32", "32", "40", "40", "40", "48", "64"]).cast("int"))
@@ -191,7 +190,7 @@ def seed_findings(spark: SparkSession, dictionary: DataFrame, n: int = 4096) ->
                     "credential", "bearer", "client_secret", "private_key", "pwd"])
     sign = pick(5, [" = ", "=", ": ", " := ", " "])
     quote = pick(6, ['"', "'", '"', ""])
-    words = [F.col(f"w{k}") for k in range(5)]
+    words = [F.element_at("words", (F.pmod(F.xxhash64("id", F.lit(40 + k)), F.size("words")) + 1).cast("int")) for k in range(5)]
     digits = F.regexp_replace(F.translate(raw, "abcdef", "012345"), "^0+", "1")
     benign = (F.when(F.col("id") % 16 < 5, F.concat(*words[:4]))
               .when(F.col("id") % 16 == 5, F.concat(F.initcap(words[0]), F.initcap(words[1]), F.initcap(words[2]), F.initcap(words[3])))
@@ -208,17 +207,12 @@ def seed_findings(spark: SparkSession, dictionary: DataFrame, n: int = 4096) ->
     lead = F.when(hashed, F.concat(words[4], F.lit(" "), told, pick(11, [" ", ": ", "=", " is "]))).when(
         assigned, F.concat(name, sign, quote)).otherwise(F.concat(words[4], F.lit(" ")))
     secret = F.xxhash64("id") % 2 == 0
-    return base.select(
+    return written(base.select(
         F.when(secret, key).otherwise(benign).alias("candidate"),
         F.when(secret, F.concat(words[4], F.lit(" "), name, sign, quote)).otherwise(lead).alias("before"),
         F.when(secret | assigned, F.concat(quote, F.lit(" "), words[3])).otherwise(F.concat(F.lit(" "), words[3])).alias("after"),
         pick(12, ["src/app/main", "src0", "config/settings", "docs/readme", "tests/fixtures/data", ""]).alias("path"),
-        secret.cast("int").alias("label")).filter(F.col("candidate").rlike(rf"^{CANDIDATE}$"))
-
-
-def _by_hash():
-    from pyspark.sql import Window
-    return Window.orderBy(F.xxhash64("word"), "word")  # a vocabulary file's words, some ten thousand
+        secret.cast("int").alias("label")).filter(F.col("candidate").rlike(rf"^{CANDIDATE}$")), "seed-findings")
 
 
 def redacted(docs: DataFrame, model: SecretModel, id_col: str = "doc_id", text_col: str = "text",
