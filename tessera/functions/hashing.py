@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 
 def md5_bucket(text: Column, num_buckets: int) -> Column:
-    """int(md5(text), 16) mod num_buckets, for num_buckets a power of two <= 2^16.
+    """int(md5(text), 16) mod num_buckets, for any 1 <= num_buckets <= 2^31.
 
-    For a power of two the remainder only depends on the last hex digits of the
-    digest, so four hex digits (16 bits) give the same value as the big integer.
+    The digest is read as four 32-bit digits, most significant first; the
+    remainder is carried from one to the next, below 2^63 throughout.
     """
-    if num_buckets & (num_buckets - 1) or num_buckets > 1 << 16:
-        raise ValueError("num_buckets must be a power of two up to 2^16")
-    low16 = F.conv(F.substring(F.md5(text), 29, 4), 16, 10).cast("bigint")
-    return (low16 % num_buckets).cast("int")
+    if not 1 <= num_buckets <= 1 << 31:
+        raise ValueError("num_buckets must be from 1 to 2^31")
+    digest = F.md5(text)
+    rest = F.lit(0).cast("bigint")
+    for start in (1, 9, 17, 25):
+        digit = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
+        rest = (rest * F.lit(1 << 32) + digit) % F.lit(num_buckets)
+    return rest.cast("int")
 
 
 def md5_unit(key: Column, seed: int | str) -> Column:

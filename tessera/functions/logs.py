@@ -1,6 +1,9 @@
 """Access-log column expressions.
 
-Patterns below are fixed values: they define the common log format fields.
+The line pattern is written from the definition of the common log format: host, identity,
+user, bracketed time, quoted request, status and size, one space between them.  It is
+anchored at the line's start and each part may be missing with all that follow, so a line
+that breaks off keeps the fields before the break.  It is matched once per line.
 """
 
 from __future__ import annotations
@@ -8,22 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Common-log-format field patterns (group 1 is the field).
-HOST_RE = r"^(\S+)\s"
-TIME_RE = r"^.*\[(\d\d/\w{3}/\d{4}:\d{2}:\d{2}:\d{2}) [+-]\d{4}\]"
-PATH_RE = r"^.*\"\w+\s+(\S+)\s+HTTP.*\""
-STATUS_RE = r"^.*\"\s+(\S+)"
-SIZE_RE = r"^.*\s+(\d+)$"
-CLF_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss"
+LINE_RE = r'^(\S+) (?:\S+ \S+(?: \[([^\]]*)\](?: "(.*)"(?: (\S+)(?: (\S+))?)?)?)?)?.*$'
+_SEP = "\x1f"
 CLF_TIME_SHAPE = r"^\d\d/[A-Za-z]{3}/\d{4}:\d\d:\d\d:\d\d"
 
 # English month abbreviations of the log format, in calendar order.
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
-def extract(c: Column, pattern: str) -> Column:
-    """Regex group 1, null (not '') when the line does not match."""
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+def line_parts(line: Column) -> Column:
+    """Array of host, time, request, status, size as text; '' where missing; one element if nothing matches."""
+    return F.split(F.regexp_replace(line, LINE_RE, _SEP.join(f"${i}" for i in range(1, 6))), _SEP)
+
+
+def part(parts: Column, n: int) -> Column:
+    """Field ``n`` (from 1) of ``line_parts``, null when missing."""
+    return F.when(F.size(parts) == 5, F.nullif(F.element_at(parts, n), F.lit("")))
+
+
+def request_path(request: Column) -> Column:
+    """The path of a request of three words: method, path, protocol (HTTP...)."""
+    words = F.split(request, " ")
+    return F.when((F.size(words) == 3) & F.try_element_at(words, F.lit(3)).startswith("HTTP"),
+                  F.nullif(F.try_element_at(words, F.lit(2)), F.lit("")))
 
 
 def clf_time(text: Column) -> Column:

@@ -1,14 +1,13 @@
-"""The user-defined-function surface.
+"""The user-defined-function surface.
 
-D2, D3 and D5 of the reference are replaced by native expressions
-(``functions.logs.clf_time``, ``sources.readers.positional_fields`` and
-``pyspark.ml.functions.vector_to_array``).
+D2 to D5 of the reference are replaced by native expressions
+(``functions.logs.clf_time``, ``sources.readers.positional_fields``,
+``operators.features.sparse_vector`` and ``pyspark.ml.functions.vector_to_array``).
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,18 +20,3 @@ def less_than(bound: float):
         return s < bound
 
     return _lt
-
-
-def sparse_vector(width: int):
-    """Sorted (index, weight) entries of one record to an ml SparseVector.
-
-    A small per-record builder: Spark has no native expression that produces
-    the vector type, and each call sees only that record's entries.
-    """
-
-    def build(entries):
-        idx = [int(e[0]) for e in entries]
-        val = [float(e[1]) for e in entries]
-        return SparseVector(width, idx, val)
-
-    return F.udf(build, VectorUDT())

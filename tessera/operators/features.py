@@ -4,71 +4,113 @@ Records carry ``features: array<struct<pos bigint, value string>>`` (see
 ``sources.readers.positional_fields``).  The one-hot dictionary stays a table
 and encoding is a join: nothing proportional to the vocabulary goes through
 the driver.  Vectors are assembled per record from that record's own few
-entries.
+entries, in the JVM; labels and other columns travel with the record.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tessera.functions.hashing import md5_bucket
 from tessera.operators.keys import row_index
-from tessera.plans.joins import sized_broadcast
 
 
 def long_features(records: DataFrame, id_col: str = "id", col: str = "features") -> DataFrame:
-    """(id, pos, value) rows, one per feature of each record."""
-    return records.select(id_col, F.inline(col))
+    """(id, pos, value) rows, one per feature of each record.
+
+    The outer generator adds no size test that the optimiser would push below the split.
+    """
+    return records.select(id_col, F.inline_outer(col)).filter(F.col("pos").isNotNull())
+
+
+def _distinct_features(records: DataFrame, col: str) -> DataFrame:
+    return records.select(F.inline_outer(col)).filter(F.col("pos").isNotNull()).distinct()
 
 
 def category_counts(records: DataFrame, col: str = "features") -> DataFrame:
     """Distinct values per feature position (the reference's Q7 defect fixed)."""
-    return (records.select(F.inline(col)).distinct()
-            .groupBy(F.col("pos").alias("featureNumber"))
+    return (_distinct_features(records, col).groupBy(F.col("pos").alias("featureNumber"))
             .agg(F.count(F.lit(1)).alias("n_categories")))
 
 
 def sparse_to_row(records: DataFrame, col: str, width: int, keep: list[str] | None = None,
                   prefix: str = "f") -> DataFrame:
-    """Sparse (pos, value) entries to fixed columns f0..f{width-1}; missing is null."""
-    m = F.map_from_entries(F.transform(col, lambda e: F.struct(e["pos"], e["value"])))
-    return records.select(*(keep or []), *[F.try_element_at(m, F.lit(i).cast("long")).alias(f"{prefix}{i}")
-                                           for i in range(width)])
+    """Sparse (pos, value) entries to fixed columns f0..f{width-1}; missing is null.
+
+    Of a repeated position the last entry counts; a position outside the width is an error.
+    """
+    beyond = F.exists(col, lambda e: (e["pos"] < 0) | (e["pos"] >= width))
+    checked = F.when(beyond, F.raise_error(F.lit(f"feature position outside 0..{width - 1}"))
+                     .cast("array<struct<pos:bigint,value:string>>")).otherwise(F.col(col))
+    held = records.select(*(keep or []), checked.alias("__entries"))
+
+    def last(i):
+        return F.try_element_at(F.filter("__entries", lambda e: e["pos"] == i), F.lit(-1))["value"]
+
+    return held.select(*(keep or []), *[last(i).alias(f"{prefix}{i}") for i in range(width)])
 
 
 def ohe_dictionary(records: DataFrame, col: str = "features") -> DataFrame:
     """(pos, value, ohe_id) with dense ids ordered by (pos, value), as a table."""
-    distinct = records.select(F.inline(col)).distinct()
-    return row_index(distinct, ["pos", "value"], name="ohe_id")
+    return row_index(_distinct_features(records, col), ["pos", "value"], name="ohe_id")
 
 
-def ohe_encode(records: DataFrame, dictionary: DataFrame, id_col: str = "id", col: str = "features",
-               max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def ohe_encode(records: DataFrame, dictionary: DataFrame, id_col: str = "id", col: str = "features") -> DataFrame:
     """(id, index, weight=1.0) for every feature found in the dictionary.
 
     Categories absent from the dictionary (fitted on other rows) are dropped,
     so the vector width stays the dictionary size.
     """
-    lf = long_features(records, id_col, col)
-    d = sized_broadcast(dictionary.select("pos", "value", F.col("ohe_id").alias("index")), max_broadcast_rows)
-    return lf.join(d, ["pos", "value"]).select(id_col, "index", F.lit(1.0).alias("weight"))
+    d = dictionary.select("pos", "value", F.col("ohe_id").alias("index"))
+    return long_features(records, id_col, col).join(d, ["pos", "value"]).select(id_col, "index", F.lit(1.0).alias("weight"))
+
+
+def _entries(buckets: Column) -> Column:
+    """(index, weight) of each distinct bucket and its count, from a sorted array: one step over its runs."""
+    starts = F.filter(F.sequence(F.lit(1), F.size(buckets)),
+                      lambda i: (i == 1) | (F.element_at(buckets, i) != F.element_at(buckets, F.greatest(i - 1, F.lit(1)))))
+    held = F.struct(buckets.alias("b"), starts.alias("s"))
+    runs = F.transform(F.array(held), lambda h: F.transform(h["s"], lambda i, k: F.struct(
+        F.element_at(h["b"], i).alias("index"),
+        (F.coalesce(F.try_element_at(h["s"], k + 2), F.size(h["b"]) + 1) - i).cast("double").alias("weight"))))
+    none = F.array().cast("array<struct<index:int,weight:double>>")
+    return F.when(F.size(buckets) > 0, F.element_at(runs, 1)).otherwise(none)
+
+
+def with_hashed(records: DataFrame, num_buckets: int = 1 << 15, col: str = "features", out: str = "entries") -> DataFrame:
+    """``records`` with an array of (index, weight): index = md5('value:pos') mod num_buckets,
+    weight = the record's distinct features in that bucket.  A narrow map: no shuffle."""
+    buckets = F.array_sort(F.transform(F.array_distinct(F.col(col)), lambda f: md5_bucket(
+        F.concat(f["value"], F.lit(":"), f["pos"].cast("string")), num_buckets)))
+    return records.withColumn("__b", buckets).withColumn(out, _entries(F.col("__b"))).drop("__b")
 
 
 def hash_features(records: DataFrame, num_buckets: int = 1 << 15, id_col: str = "id",
                   col: str = "features") -> DataFrame:
-    """(id, index, weight) where index = md5('value:pos') mod num_buckets and the
-    weight counts the record's distinct features falling in that bucket.
+    """(id, index, weight) rows of ``with_hashed``."""
+    rows = with_hashed(records.select(id_col, col), num_buckets, col).select(id_col, F.inline_outer("entries"))
+    return rows.filter(F.col("index").isNotNull())
+
 
-    Buckets are counted inside each record's own (short) array, so no shuffle
-    is needed: the work is a narrow map over the records.
+def with_one_hot(records: DataFrame, dictionary: DataFrame, positions: list[int], col: str = "features",
+                 out: str = "entries") -> DataFrame:
+    """``records`` with a sorted array of (index, weight = 1.0) of the features in the dictionary.
+
+    One lookup join per field position; the record stays whole, so nothing is grouped back together.
     """
-    feats = F.array_distinct(F.col(col))
-    buckets = F.transform(feats, lambda f: md5_bucket(F.concat(f["value"], F.lit(":"), f["pos"].cast("string")),
-                                                      num_buckets))
-    entries = F.transform(F.array_distinct(F.col("__b")), lambda b: F.struct(
-        b.alias("index"), F.size(F.filter(F.col("__b"), lambda x: x == b)).cast("double").alias("weight")))
-    return records.select(id_col, buckets.alias("__b")).select(id_col, F.inline(entries))
+    def value_at(p):
+        return F.try_element_at(F.filter(col, lambda e: e["pos"] == p), F.lit(-1))["value"]
+
+    wide = records
+    for p in positions:
+        ids = dictionary.filter(F.col("pos") == p).select(F.col("value").alias("__v"), F.col("ohe_id").cast("int").alias(f"__i{p}"))
+        wide = wide.withColumn("__f", value_at(p)).join(ids, F.col("__f") == F.col("__v"), "left").drop("__f", "__v")
+    found = F.array_sort(F.array_compact(F.array(*[F.col(f"__i{p}") for p in positions])))
+    entries = F.transform(found, lambda i: F.struct(i.alias("index"), F.lit(1.0).alias("weight")))
+    return wide.withColumn(out, entries).select(*records.columns, out)
 
 
 def sparsity(encoded: DataFrame, width: int | F.Column, id_col: str = "id") -> DataFrame:
@@ -78,13 +120,18 @@ def sparsity(encoded: DataFrame, width: int | F.Column, id_col: str = "id") -> D
     return per.agg(F.avg(F.col("__nnz") / w).alias("sparsity"))
 
 
-def to_vectors(encoded: DataFrame, labels: DataFrame, width: int, id_col: str = "id",
-               label_col: str = "label") -> DataFrame:
-    """(id, label, features vector) from long-form entries; records without
-    entries get an all-zero vector.  Only the record's own entries are grouped."""
-    from tessera.functions.udf import sparse_vector
-    grouped = encoded.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("__e"))
-    j = labels.select(id_col, label_col).join(grouped, id_col, "left")
-    entries = F.coalesce(F.col("__e"), F.array().cast("array<struct<index:int,weight:double>>"))
-    return j.select(id_col, label_col, sparse_vector(width)(entries).alias("features"))
+def sparse_vector(entries: Column, width: int) -> Column:
+    """Sorted (index, weight) entries to an ml sparse vector, without Python.
+
+    Spark has no expression from arrays to a sparse vector; the JSON reader makes one from
+    the vector type's own fields (type 0: sparse; size, indices, values).
+    """
+    fields = F.struct(F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"),
+                               F.transform(entries, lambda e: e["index"]).alias("indices"),
+                               F.transform(entries, lambda e: e["weight"]).alias("values")).alias("v"))
+    return F.from_json(F.to_json(fields), StructType([StructField("v", VectorUDT())]))["v"]
+
+
+def to_vectors(records: DataFrame, width: int, col: str = "entries", out: str = "features") -> DataFrame:
+    """``records`` with the vector of their entries; records without entries get an all-zero vector."""
+    return records.withColumn(out, sparse_vector(F.col(col), width))

@@ -3,81 +3,115 @@
 P16 row index, W1 running sums, R1-R3 splits and samples, A14 deterministic
 de-duplication.
 
-Global order is built the distributed way: range-partition on the order key,
-sort inside partitions, total each partition (one small row per partition),
-turn the totals into offsets on the driver (bounded by the partition count)
-and add them inside each partition with an Arrow batch scan.
+Global order is built from explicit cut points: a bounded hash sample of the
+order keys is sorted on the driver and every k-th key becomes a literal.  The
+bucket of a row is a pure function of its order key, so a window inside each
+bucket plus the totals of the buckets before it gives the same answer however
+often, and on whatever executors, the plan is run again.  Nothing is cached
+and nothing depends on partition numbers.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.hashing import md5_unit
 
 _TWO32 = float(1 << 32)
+#: Rows of one bucket, most buckets, sampled keys per bucket and cut points compared at each of two levels.
+ROWS_PER_BUCKET = 200_000
+MAX_BUCKETS = 1024
+SAMPLE_PER_BUCKET = 32
+_FAN = 32
 
 
-def _order_cols(order) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in (order if isinstance(order, (list, tuple)) else [order])]
+def _order(order: str | list[str]) -> list[tuple[str, bool]]:
+    """``"a"`` orders ascending, ``"-a"`` descending."""
+    names = [order] if isinstance(order, str) else list(order)
+    return [(n.removeprefix("-"), not n.startswith("-")) for n in names]
 
 
-def running_sums(df: DataFrame, order, values: dict[str, str], partitions: int | None = None) -> DataFrame:
-    """Cumulative sums along a global order (see ``running_sums_totals``)."""
-    return running_sums_totals(df, order, values, partitions)[0]
+def _sort_cols(keys: list[tuple[str, bool]]) -> list[Column]:
+    return [F.asc(c) if up else F.desc(c) for c, up in keys]
 
 
-def running_sums_totals(df: DataFrame, order, values: dict[str, str],
-                        partitions: int | None = None) -> tuple[DataFrame, dict]:
-    """Cumulative sums along a global order, and the grand totals (driver dict).
+def _not_after(cut: Column, row: Column, keys: list[tuple[str, bool]]) -> Column:
+    """Whether a cut point stands at or before the row; nulls are least, as in Spark's sort."""
+    before, same = F.lit(False), F.lit(True)
+    for c, up in keys:
+        x, y = (cut[c], row[c]) if up else (row[c], cut[c])
+        less = F.coalesce(x < y, x.isNull() & y.isNotNull())
+        before = before | (same & less)
+        same = same & x.eqNullSafe(y)
+    return before | same
 
-    ``values`` maps output column -> input column (numeric, non-null).  Rows
-    tied on the order key are summed in arbitrary but deterministic order, so
-    give a unique order key (or pre-aggregate ties, as ROC does).
+
+def _cut_points(df: DataFrame, keys: list[tuple[str, bool]], buckets: int) -> list:
+    """At most ``buckets`` - 1 order keys that cut the rows into about equal parts.
+
+    The sample is the rows with the smallest key hashes: at most
+    SAMPLE_PER_BUCKET * MAX_BUCKETS keys reach the driver.
+    """
+    names = [c for c, _ in keys]
+    sample = (df.select(*names).orderBy(F.xxhash64(*names), *names).limit(buckets * SAMPLE_PER_BUCKET))
+    rows = sample.orderBy(*_sort_cols(keys)).collect()
+    picked = [rows[len(rows) * i // buckets] for i in range(1, buckets)] if len(rows) >= buckets else []
+    return list(dict.fromkeys(tuple(r) for r in picked))
+
+
+def _bucket(df: DataFrame, keys: list[tuple[str, bool]], cuts: list) -> Column:
+    """The number of cut points at or before the row, found in two steps of at most _FAN comparisons each."""
+    if not cuts:
+        return F.lit(0)
+    kind = df.select(*[c for c, _ in keys]).schema
+
+    def literal(values):
+        return F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, kind)]) for cut in values])
+
+    row = F.struct(*[F.col(c) for c, _ in keys])
+    groups = [cuts[i:i + _FAN] for i in range(0, len(cuts), _FAN)]
+    place = F.size(F.filter(literal([g[0] for g in groups]), lambda c: _not_after(c, row, keys)))
+    inside = F.element_at(F.array(*[literal(g) for g in groups]), F.greatest(place, F.lit(1)))
+    return F.greatest(place - 1, F.lit(0)) * _FAN + F.size(F.filter(inside, lambda c: _not_after(c, row, keys)))
+
+
+def running_sums(df: DataFrame, order: str | list[str], values: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """Cumulative sums along a global order.
+
+    ``values`` maps output column -> input column (numeric; a null adds nothing).  Rows tied
+    on the whole order key are summed in arbitrary order, so give a unique key (or
+    pre-aggregate ties, as ROC does).  The number of buckets follows the row count; the
+    totals of the buckets before a row's own are literals, like the cut points.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = _order_cols(order)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    inputs = list(values.values())
-    totals = (ranged.groupBy(F.spark_partition_id().alias("__pid"))
-              .agg(*[F.sum(c).alias(c) for c in inputs]).collect())          # <= n rows
-    by_pid = {r["__pid"]: [r[c] or 0 for c in inputs] for r in totals}
-    offsets: dict[int, list] = {}
-    run = [0] * len(inputs)
-    for pid in range(n):
-        offsets[pid] = list(run)
-        run = [a + b for a, b in zip(run, by_pid.get(pid, [0] * len(inputs)))]
-
-    out_fields = list(ranged.schema.fields)
-    for out, src in values.items():
-        out_fields.append(T.StructField(out, ranged.schema[src].dataType, True))
-    schema = T.StructType(out_fields)
-    pairs = list(values.items())
-
-    def scan(batches):
-        start = offsets.get(TaskContext.get().partitionId(), [0] * len(pairs))
-        acc = list(start)
-        for pdf in batches:
-            for i, (out, src) in enumerate(pairs):
-                cs = pdf[src].cumsum() + acc[i]
-                if len(cs):
-                    acc[i] = cs.iloc[-1]
-                pdf[out] = cs
-            yield pdf
-
-    return ranged.mapInPandas(scan, schema), dict(zip(values, run))
-
-
-def row_index(df: DataFrame, order, name: str = "idx", partitions: int | None = None) -> DataFrame:
+    keys = _order(order)
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, max(2, -(-df.count() // ROWS_PER_BUCKET)))
+    cuts = _cut_points(df, keys, buckets) if buckets > 1 else []
+    placed = df.withColumn("__bucket", _bucket(df, keys, cuts))
+    names = [f"__total_{i}" for i in range(len(values))]
+    totals = placed.groupBy("__bucket").agg(*[F.sum(c).alias(n) for n, c in zip(names, values.values())])
+    kinds = totals.schema
+    found = {row["__bucket"]: row for row in totals.collect()}               # at most MAX_BUCKETS rows
+    offsets = {n: [] for n in names}
+    for n in names:
+        run = 0
+        for i in range(len(cuts) + 1):
+            offsets[n].append(run)
+            run += (found[i][n] or 0) if i in found else 0
+    so_far = Window.partitionBy("__bucket").orderBy(*_sort_cols(keys)).rowsBetween(Window.unboundedPreceding, 0)
+    sums = []
+    for (out, c), n in zip(values.items(), names):
+        kind = kinds[n].dataType
+        offset = F.element_at(F.array(*[F.lit(x).cast(kind) for x in offsets[n]]), F.col("__bucket") + 1)
+        sums.append((F.coalesce(F.sum(c).over(so_far), F.lit(0).cast(kind)) + offset).alias(out))
+    return placed.select(*[F.col(c) for c in df.columns], *sums)
+
+
+def row_index(df: DataFrame, order: str | list[str], name: str = "idx", buckets: int | None = None) -> DataFrame:
     """0-based position along a global order (zipWithIndex on a sorted frame)."""
     with_one = df.withColumn("__one", F.lit(1).cast("long"))
-    out = running_sums(with_one, order, {name: "__one"}, partitions)
-    return out.withColumn(name, F.col(name) - 1).drop("__one")
+    return running_sums(with_one, order, {name: "__one"}, buckets).withColumn(name, F.col(name) - 1).drop("__one")
 
 
 def split_thresholds(weights: list[float]) -> list[int]:
@@ -126,12 +160,15 @@ def sample_exact(df: DataFrame, key: str, n: int, seed: int = 11) -> DataFrame:
             .orderBy("__u", key).limit(n).drop("__u"))
 
 
-def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the one first in ``order`` (deterministic dropDuplicates).
+def dedupe_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per key, the one with the least ``order`` (deterministic dropDuplicates).
 
-    ``min(struct(order..., rest...))`` is an ordinary partial/final aggregate,
-    so a hot key is combined map-side rather than gathered in one task.
+    ``order`` is a unique numeric or date column.  Keys are grouped by a 256-bit digest
+    (their texts, with lengths and nulls told apart), so the aggregate is a hash aggregate
+    over short fixed-size rows, combined map-side; the other columns of the chosen rows are
+    fetched by ``order`` afterwards.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    best = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("__best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in order + rest])
+    text = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-"))
+            for k in keys]
+    best = df.select(F.sha2(F.concat_ws("|", *text), 256).alias("__key"), order).groupBy("__key").agg(F.min(order).alias(order))
+    return df.join(best.select(order), order, "left_semi")

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def dot(a: Column, b: Column) -> Column:
     """sum(a_i * b_i) of two equal-length double arrays."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
@@ -31,9 +32,9 @@ def as_doubles(df: DataFrame, col: str) -> Column:
 
 
 def mean_vector(df: DataFrame, col: str) -> DataFrame:
-    """(pos, mean) per vector position; combined map-side per position."""
-    return (df.select(F.posexplode(as_doubles(df, col)).alias("pos", "x"))
-            .groupBy("pos").agg(F.avg("x").alias("mean")))
+    """(pos, mean) per vector position; one summary row per partition, merged in the JVM."""
+    mean = Summarizer.mean(array_to_vector(as_doubles(df, col))).alias("m")
+    return df.filter(F.col(col).isNotNull()).agg(mean).select(F.posexplode(vector_to_array("m")).alias("pos", "mean"))
 
 
 def _mean_array(df: DataFrame, col: str) -> np.ndarray:
@@ -44,6 +45,11 @@ def _mean_array(df: DataFrame, col: str) -> np.ndarray:
     return out
 
 
+def dimensions(df: DataFrame, col: str) -> int:
+    """Length of the vectors (0 without rows)."""
+    return df.agg(F.max(F.size(col)).alias("d")).first()["d"] or 0
+
+
 def covariance_long(df: DataFrame, col: str) -> DataFrame:
     """(i, j, cov) with divisor n, from centred per-partition Gram matrices."""
     mu = _mean_array(df, col)
@@ -70,13 +76,14 @@ def covariance_long(df: DataFrame, col: str) -> DataFrame:
             .select("i", "j", (F.col("s") / F.col("n")).alias("cov")))
 
 
-def covariance_matrix(df: DataFrame, col: str) -> np.ndarray:
-    """M36 on the driver: the d x d matrix (bounded by d, not by rows)."""
-    rows = covariance_long(df, col).collect()                # d * d rows
-    d = int(max(r["i"] for r in rows)) + 1
+def covariance_matrix(df: DataFrame, col: str, max_dims: int = 4096) -> np.ndarray:
+    """M36 on the driver, as columns of d * d numbers; more than ``max_dims`` dimensions are refused."""
+    d = len(_mean_array(df, col))
+    if d > max_dims:
+        raise ValueError(f"{d} dimensions: a {d} x {d} matrix does not belong on the driver")
+    got = covariance_long(df, col).toArrow()
     m = np.zeros((d, d))
-    for r in rows:
-        m[r["i"], r["j"]] = r["cov"]
+    m[np.asarray(got["i"]), np.asarray(got["j"])] = np.asarray(got["cov"])
     return m
 
 

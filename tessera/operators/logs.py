@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.logs import (HOST_RE, PATH_RE, SIZE_RE, STATUS_RE, TIME_RE, clf_time, extract)
+from tessera.functions.logs import clf_time, line_parts, part, request_path
 from tessera.operators.relational import any_null
 
 FIELDS = ["host", "timestamp", "path", "status", "content_size"]
@@ -17,14 +17,10 @@ FIELDS = ["host", "timestamp", "path", "status", "content_size"]
 
 def split_fields(lines: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """C1 step 1: raw fields; unmatched text is null, bad numbers are null."""
-    v = F.col(col)
-    return lines.select(*(keep or []),
-        extract(v, HOST_RE).alias("host"),
-        extract(v, TIME_RE).alias("timestamp"),
-        extract(v, PATH_RE).alias("path"),
-        extract(v, STATUS_RE).try_cast("int").alias("status"),
-        extract(v, SIZE_RE).try_cast("int").alias("content_size"),
-    )
+    cut = lines.select(*(keep or []), line_parts(F.col(col)).alias("__parts"))
+    p = lambda n: part(F.col("__parts"), n)
+    return cut.select(*(keep or []), p(1).alias("host"), p(2).alias("timestamp"), request_path(p(3)).alias("path"),
+                      p(4).try_cast("int").alias("status"), p(5).try_cast("bigint").alias("content_size"))
 
 
 def parse(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -35,19 +31,23 @@ def parse(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def quality(lines: DataFrame, col: str = "value") -> DataFrame:
     """One row, one pass: lines, bad rows, nulls per field, lines without a trailing size."""
-    v = F.col(col)
     raw = split_fields(lines, col, keep=[col])
     return raw.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(any_null(FIELDS)).alias("bad_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in FIELDS],
-        F.count_if(~v.rlike(r"\d+$")).alias("bad_size_lines"),
+        F.count_if(_no_size(F.col(col))).alias("bad_size_lines"),
     )
 
 
-def null_profile(parsed: DataFrame) -> DataFrame:
-    """A10 on parsed logs: nulls per column in one pass."""
-    return parsed.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in parsed.columns])
+def _no_size(line):
+    """Whether a line does not end in a digit."""
+    return ~F.right(line, F.lit(1)).between("0", "9")
+
+
+def bad_lines(lines: DataFrame, col: str = "value", mark: str = "*") -> DataFrame:
+    """The lines without a trailing size, each with a mark at its end."""
+    return lines.filter(_no_size(F.col(col))).select(F.concat(F.col(col), F.lit(mark)).alias("line"))
 
 
 def status_counts(parsed: DataFrame) -> DataFrame:

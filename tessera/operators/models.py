@@ -31,8 +31,18 @@ from tessera.operators.linalg import logistic
 # ------------------------------------------------------------ regression
 
 def assembler(features: list[str], out: str = "features") -> VectorAssembler:
-    """M1."""
-    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="skip")
+    """M1: a row with a null or NaN feature is an error, never dropped in silence."""
+    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error")
+
+
+def params_text(estimator) -> str:
+    """M2: every parameter of an estimator with its meaning and value."""
+    return estimator.explainParams()
+
+
+def model_text(model) -> str:
+    """M7: a tree or forest as nested rules; other models as their summary line."""
+    return getattr(model, "toDebugString", None) or str(model)
 
 
 def linreg_estimator(features: list[str], label: str, pred: str = "prediction", reg: float = 0.1,
@@ -79,7 +89,7 @@ def tree_estimator(features: list[str], label: str, pred: str = "prediction",
 
 
 def forest_estimator(features: list[str], label: str, pred: str = "prediction", trees: int = 30,
-                    depth: int = 8, seed: int = 100088121) -> tuple[Pipeline, RandomForestRegressor]:
+                    depth: int = 8, seed: int = 17) -> tuple[Pipeline, RandomForestRegressor]:
     """M8."""
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=pred,
                                numTrees=trees, maxDepth=depth, seed=seed)
@@ -96,45 +106,37 @@ def gradient_descent(train: DataFrame, iters: int = 30, alpha: float = 1.0, feat
     """
     data = train.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    first = data.first()
-    d = len(first["x"])
-    n = data.count()
+    size = data.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
+    n, d = size["n"], size["d"] or 0
     w = np.zeros(d)
     errors: list[float] = []
-    for i in range(iters):
+    for i in range(iters if n else 0):
         wi = w.copy()
 
         def partial(batches, wi=wi):
-            g = np.zeros(d)
-            sse, cnt = 0.0, 0
+            g = np.zeros(d + 1)   # the gradient, and the squared error in the last place
             for pdf in batches:
                 if len(pdf) == 0:
                     continue
                 x = np.vstack(pdf["x"].to_numpy())
                 r = x @ wi - pdf["y"].to_numpy()
-                g += x.T @ r
-                sse += float(r @ r)
-                cnt += len(r)
-            yield pd.DataFrame({"g": [g.tolist()], "sse": [sse], "n": [cnt]})
-
-        parts = data.mapInPandas(partial, "g array<double>, sse double, n long").persist()
-        # sum the partial gradients by position: d rows per partition cross the shuffle
-        g_rows = (parts.select(F.posexplode("g").alias("j", "v"))
-                  .groupBy("j").agg(F.sum("v").alias("v")).collect())          # d rows
-        sse = parts.agg(F.sum("sse")).first()[0]
-        parts.unpersist()
-        g = np.zeros(d)
-        for r in g_rows:
+                g[:d] += x.T @ r
+                g[d] += float(r @ r)
+            yield pd.DataFrame({"j": np.arange(d + 1), "v": g})
+
+        # one job a step: d + 1 numbers per partition cross the shuffle
+        g = np.zeros(d + 1)
+        for r in data.mapInPandas(partial, "j long, v double").groupBy("j").agg(F.sum("v").alias("v")).collect():
             g[r["j"]] = r["v"]
-        errors.append(float(np.sqrt(sse / n)))
-        w = w - alpha / (n * np.sqrt(i + 1)) * g
+        errors.append(float(np.sqrt(g[d] / n)))
+        w = w - alpha / (n * np.sqrt(i + 1)) * g[:d]
     data.unpersist()
     return w, errors
 
 
 # --------------------------------------------------------- recommendation
 
-def als(rank: int = 4, reg: float = 0.1, iters: int = 10, seed: int = 1800009193,
+def als(rank: int = 4, reg: float = 0.1, iters: int = 10, seed: int = 23,
         user: str = "userId", item: str = "movieId", rating: str = "rating") -> ALS:
     """ALS with cold-start rows dropped."""
     return ALS(rank=rank, maxIter=iters, regParam=reg, seed=seed, userCol=user, itemCol=item,
@@ -142,7 +144,10 @@ def als(rank: int = 4, reg: float = 0.1, iters: int = 10, seed: int = 1800009193
 
 
 def int_ids(df: DataFrame, cols: list[str]) -> DataFrame:
-    """ALS needs int ids: cast, failing loudly on overflow (ANSI cast)."""
+    """ALS takes 32-bit ids: cast, failing loudly beyond 2^31 (ANSI cast).
+
+    Larger ids need a table of dense ones first: ``keys.row_index`` over the distinct ids.
+    """
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("int"))
     return df

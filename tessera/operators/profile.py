@@ -36,34 +36,24 @@ def sum_all(df: DataFrame) -> DataFrame:
     return df.agg(*[F.sum(c).alias(f"sum({c})") for c in numeric_columns(df)])
 
 
-def stats(df: DataFrame, col: str) -> DataFrame:
-    """Count, avg, min, max of one column in one pass."""
-    return df.agg(F.count(col).alias("n"), F.avg(col).alias("avg"),
-                  F.min(col).alias("min"), F.max(col).alias("max"))
-
-
 def describe_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample stddev, min, max per numeric column, typed long form.
+    """Count, mean, sample stddev, min, max per column, in long form with text values.
 
-    One aggregation pass computes all statistics of all columns; the result
-    (5 x columns values) is unpivoted with ``stack``.
+    Numbers and texts alike, as a user expects of ``describe``: min and max keep the column's
+    own type until they are printed (a bigint beyond 2^53 stays exact), mean and stddev are null
+    for texts.  One aggregation pass computes all statistics; the result (5 rows a column) is
+    unpivoted with ``inline``.
     """
-    cols = cols or numeric_columns(df)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__stddev"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    pieces = []
-    for c in cols:
-        for s in ("count", "mean", "stddev", "min", "max"):
-            pieces += [F.lit(c), F.lit(s), F.col(f"`{c}__{s}`")]
-    n = len(cols) * 5
-    return wide.select(F.inline(F.array(*[F.struct(pieces[i].alias("column"), pieces[i + 1].alias("summary"),
-                                                    pieces[i + 2].alias("value"))
-                                          for i in range(0, 3 * n, 3)])))
+    numeric = set(numeric_columns(df))
+    cols = cols or [f.name for f in df.schema.fields if f.name in numeric or isinstance(f.dataType, T.StringType)]
+    none = F.lit(None).cast("double")
+    wide = df.agg(*[a for c in cols for a in (
+        F.count(c).alias(f"{c}__count"), (F.avg(F.col(c).cast("double")) if c in numeric else F.max(none)).alias(f"{c}__mean"),
+        (F.stddev_samp(F.col(c).cast("double")) if c in numeric else F.max(none)).alias(f"{c}__stddev"),
+        F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"))])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(s).alias("summary"), F.col(f"`{c}__{s}`").cast("string").alias("value"))
+        for c in cols for s in ("count", "mean", "stddev", "min", "max")])))
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -82,23 +72,23 @@ def share_of_total(grouped: DataFrame, count_col: str = "count", out: str = "per
     return grouped.select(*grouped.columns, (F.col(count_col).cast("double") / F.lit(total)).alias(out))
 
 
-def distinct_count(df: DataFrame, *cols: str) -> DataFrame:
-    """Number of distinct (cols) rows."""
-    return df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
-
-
 def reduce_by_key(df: DataFrame, key: str, value: str, out: str = "sum") -> DataFrame:
     """reduceByKey(+) is a map-side combined sum per key."""
     return df.groupBy(key).agg(F.sum(value).alias(out))
 
 
-def grouped_values(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Values grouped by key, in long form and ordered by (key, value).
+def grouped_values(df: DataFrame, key: str, value: str, tie: str) -> DataFrame:
+    """The values of each group in order: (key, value, pos), pos from 0 within the group.
 
-    A hot key is not gathered into one row or one task: the global sort is
-    range-partitioned on (key, value), so a large group spans many tasks.
+    A group's list is kept as rows.  Positions come from one global order on
+    (key, value, tie), cut into buckets, less the rows of the groups before, so
+    a hot group spans many tasks and is never gathered into one row or task.
     """
-    return df.select(key, value).orderBy(key, value)
+    from tessera.operators.keys import row_index
+    ordered = row_index(df.select(key, value, tie), [key, value, tie], name="__at")
+    firsts = ordered.groupBy(F.col(key).alias("__key")).agg(F.min("__at").alias("__first"))   # one row a group
+    return (ordered.join(firsts, F.col(key).eqNullSafe(F.col("__key")))
+            .select(key, value, tie, (F.col("__at") - F.col("__first")).alias("pos")))
 
 
 def count_via_grouping(df: DataFrame, key: str) -> DataFrame:

@@ -11,8 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.joins import sized_broadcast
-
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -114,10 +112,9 @@ def join_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return left.join(right, left[left_key] == right[right_key], JOIN_KINDS[how]).drop(right[right_key])
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str | list[str], how: str = "inner",
-                max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Enrich facts from a dimension; broadcast only when its row count is under the bound."""
-    return fact.join(sized_broadcast(dim, max_broadcast_rows), key, JOIN_KINDS[how])
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """Enrich facts from a dimension; Catalyst and AQE choose the join by size in bytes."""
+    return fact.join(dim, key, JOIN_KINDS[how])
 
 
 def with_group_stats(rows: DataFrame, stats: DataFrame, key: str) -> DataFrame:

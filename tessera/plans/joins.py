@@ -1,35 +1,12 @@
-"""Join strategy helpers: broadcast only behind a size check, salting for hot keys."""
+"""Join helpers: scalars without keyless joins.
+
+Which side of a join is broadcast is left to Catalyst and AQE, which go by bytes; AQE also
+splits the partitions of a hot key.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (stops reading after bound + 1)."""
-    return df.limit(bound + 1).count() <= bound
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when the side is proven small; otherwise leave the
-    choice to Catalyst/AQE (sort-merge join, or runtime broadcast conversion
-    under ``spark.sql.autoBroadcastJoinThreshold``)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def salted(df: DataFrame, salts: int, by: str, salt_col: str = "__salt") -> DataFrame:
-    """Spread rows of a hot key over ``salts`` buckets by a hash of ``by``.
-
-    The salt is a pure function of the row, so a recomputed task (lost
-    executor) puts every row in the same bucket again.
-    """
-    return df.withColumn(salt_col, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-
-
-def replicated(df: DataFrame, salts: int, salt_col: str = "__salt") -> DataFrame:
-    """The other side of a salted join: each row once per salt."""
-    return df.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
 def one_row(agg: DataFrame):

@@ -133,7 +133,7 @@ def filter_lookup(spark, sf):
     return rel.lookup_one(c, "c_name", "Customer#000000007").select("c_custkey", "c_name", "c_mktsegment")
 
 
-_NOT_IN = [858, 1221, 2571, 7153, 4993, 79132, 3, 5, 8, 13]
+_NOT_IN = list(range(2, 200, 18))
 
 
 @query("filter_not_in", f"""
@@ -237,17 +237,16 @@ def sort_limit(spark, sf):
 
 
 # ================================================================== joins
-_JL = "SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 200000"
-_JR = "SELECT c_custkey AS custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0"
+# a third of the customer keys is moved out of range, so that both sides have unmatched keys
+_JL = "SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders"
+_JR = "SELECT CASE WHEN c_custkey % 3 = 0 THEN -c_custkey ELSE c_custkey END AS custkey, c_name, c_acctbal FROM customer"
 
 
 def _join_sides(spark, sf):
     v = Views(spark, sf)
-    left = v.orders.filter(F.col("o_totalprice") > 200000).select(
-        F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
-    right = v.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("custkey"), "c_name",
-                                                              "c_acctbal")
-    return left, right
+    left = v.orders.select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    key = F.when(F.col("c_custkey") % 3 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    return left, v.customer.select(key.alias("custkey"), "c_name", "c_acctbal")
 
 
 def _join_query(how: str, sql: str):
@@ -329,28 +328,44 @@ def agg_sum_all(spark, sf):
     return out.withColumn("sum(c_acctbal)", F.col("`sum(c_acctbal)`").cast("double"))
 
 
-_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+_DESC_NUM = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"]
+_DESC_COLS = [*_DESC_NUM, "l_returnflag"]
 
 
-@query("agg_describe", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", s AS summary, round(v, 6) AS value FROM (SELECT "
-    f"CAST(count({c}) AS DOUBLE) AS count, avg({c}) AS mean, stddev_samp({c}) AS stddev, "
-    f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem) "
-    f"UNPIVOT (v FOR s IN (count, mean, stddev, min, max))" for c in _DESC_COLS))
+def _describe_sql() -> str:
+    parts = []
+    for c in _DESC_COLS:
+        num = c in _DESC_NUM
+        # mean and stddev as rounded numbers; count, min and max compared exactly
+        none = "max(NULL)"
+        for summary, value, text in (("count", f"count({c})", none), ("mean", f"avg({c})" if num else none, none),
+                                     ("stddev", f"stddev_samp({c})" if num else none, none),
+                                     ("min", f"min({c})" if num else none, none if num else f"min({c})"),
+                                     ("max", f"max({c})" if num else none, none if num else f"max({c})")):
+            parts.append(f"SELECT '{c}' AS \"column\", '{summary}' AS summary, round(CAST({value} AS DOUBLE), 6) AS number, "
+                         f"CAST({text} AS VARCHAR) AS text FROM lineitem")
+    return " UNION ALL ".join(parts)
+
+
+@query("agg_describe", _describe_sql())
 def agg_describe(spark, sf):
     d = profile.describe_long(Views(spark, sf).lineitem, _DESC_COLS)
-    return d.select("column", "summary", r(F.col("value")).alias("value"))
+    number = F.col("value").try_cast("double")
+    return d.select("column", "summary", r(number).alias("number"),
+                    F.when(number.isNull(), F.col("value")).alias("text"))
 
 
 _LOG_PARSED_SQL = r"""
-parsed AS (
-  SELECT NULLIF(regexp_extract(value, '^(\S+)\s', 1), '') AS host,
-         NULLIF(regexp_extract(value, '^.*\[(\d\d/\w{3}/\d{4}:\d{2}:\d{2}:\d{2}) [+-]\d{4}\]', 1), '') AS ts_text,
-         NULLIF(regexp_extract(value, '^.*"\w+\s+(\S+)\s+HTTP.*"', 1), '') AS path,
-         TRY_CAST(NULLIF(regexp_extract(value, '^.*"\s+(\S+)', 1), '') AS INTEGER) AS status,
-         TRY_CAST(NULLIF(regexp_extract(value, '^.*\s+(\d+)$', 1), '') AS INTEGER) AS content_size,
-         value
+fields AS (
+  SELECT value, regexp_extract(value, '^(\S+) (?:\S+ \S+(?: \[([^\]]*)\](?: "(.*)"(?: (\S+)(?: (\S+))?)?)?)?)?.*$',
+                               ['host', 'time', 'request', 'status', 'size']) AS f
   FROM access_log),
+parsed AS (
+  SELECT value, NULLIF(f.host, '') AS host, NULLIF(f.time, '') AS ts_text,
+         CASE WHEN len(string_split(f.request, ' ')) = 3 AND string_split(f.request, ' ')[3] LIKE 'HTTP%'
+              THEN NULLIF(string_split(f.request, ' ')[2], '') END AS path,
+         TRY_CAST(NULLIF(f.status, '') AS INTEGER) AS status, TRY_CAST(NULLIF(f.size, '') AS BIGINT) AS content_size
+  FROM fields),
 logs AS (
   SELECT host, path, COALESCE(status, 0) AS status, COALESCE(content_size, 0) AS content_size,
          try_strptime(substr(ts_text, 1, 20), '%d/%b/%Y:%H:%M:%S') AS time
@@ -388,7 +403,7 @@ SELECT min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(n_chars, do
 FROM documents GROUP BY text""")
 def dedupe_latest(spark, sf):
     d = Views(spark, sf).documents.select("doc_id", "text", "lang", "n_chars")
-    return keys.dedupe_first(d, ["text"], ["doc_id"]).select("doc_id", "lang", "n_chars")
+    return keys.dedupe_first(d, ["text"], "doc_id").select("doc_id", "lang", "n_chars")
 
 
 @query("distinct_rows", """
@@ -418,9 +433,10 @@ def kv_reduce(spark, sf):
 
 
 @query("kv_group", """
-SELECT event_type, value FROM events""")
+SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) - 1 AS pos FROM events""")
 def kv_group(spark, sf):
-    return profile.grouped_values(Views(spark, sf).events, "event_type", "value")
+    e = Views(spark, sf).events
+    return profile.grouped_values(e, "event_type", "value", "event_id").select("event_type", "value", "pos")
 
 
 @query("category_counts", duck_with("clicks") + """
@@ -455,6 +471,12 @@ def log_quality(spark, sf):
     return logs.quality(Views(spark, sf).access_log)
 
 
+@query("log_bad_lines", _log_sql("""
+SELECT value || '*' AS line FROM access_log WHERE NOT regexp_matches(value, '[0-9]$')"""))
+def log_bad_lines(spark, sf):
+    return logs.bad_lines(Views(spark, sf).access_log)
+
+
 @query("log_status", _log_sql("""
 SELECT status, count(*) AS count, round(ln(count(*)), 9) AS log_count FROM logs GROUP BY status"""))
 def log_status(spark, sf):
@@ -520,16 +542,16 @@ def longest_record(spark, sf):
 SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS idx FROM documents""")
 def row_index(spark, sf):
     d = Views(spark, sf).documents.select("doc_id", "n_chars")
-    return keys.row_index(d, [F.desc("n_chars"), F.asc("doc_id")]).select("doc_id", "idx")
+    return keys.row_index(d, ["-n_chars", "doc_id"]).select("doc_id", "idx")
 
 
 _SPLIT_W = [0.6, 0.2, 0.2]
 
 
 def _split_sql() -> str:
-    t = keys.split_thresholds(_SPLIT_W)
+    # 0.6 and 0.8 of 2^32, rounded down
     u = _duck_md5_unit("event_id", 42)
-    return (f"SELECT event_id, CASE WHEN {u} < {t[0]} THEN 'train' WHEN {u} < {t[1]} THEN 'validation' "
+    return (f"SELECT event_id, CASE WHEN {u} < 2576980377 THEN 'train' WHEN {u} < 3435973836 THEN 'validation' "
             f"ELSE 'test' END AS split FROM events")
 
 
@@ -590,51 +612,59 @@ sims AS (SELECT wa.id AS id_a, wb.id AS id_b, sum(wa.w * wb.w) / (any_value(na.n
 
 
 def _tokens_ab(spark, sf):
-    from pyspark import StorageLevel
     v = Views(spark, sf)
-    return (sim.tokens(v.rec_a).persist(StorageLevel.MEMORY_AND_DISK),
-            sim.tokens(v.rec_b).persist(StorageLevel.MEMORY_AND_DISK))
+    return sim.tokens(v.rec_a).unionByName(sim.tokens(v.rec_b))
 
 
 @query("tf", _CORPUS_SQL + "SELECT id, token, tf FROM tf_a UNION ALL SELECT id, token, tf FROM tf_b")
 def tf(spark, sf):
-    ta, tb = _tokens_ab(spark, sf)
-    return sim.term_frequency(ta.unionByName(tb))
+    return sim.term_frequency(_tokens_ab(spark, sf))
 
 
 @query("idf", _CORPUS_SQL + "SELECT token, df, idf FROM idf")
 def idf(spark, sf):
-    ta, tb = _tokens_ab(spark, sf)
-    return sim.inverse_document_frequency(ta.unionByName(tb))
+    return sim.inverse_document_frequency(_tokens_ab(spark, sf))
 
 
 @query("tfidf", _CORPUS_SQL + "SELECT id, token, w FROM wa UNION ALL SELECT id, token, w FROM wb")
 def tfidf(spark, sf):
-    ta, tb = _tokens_ab(spark, sf)
-    i = sim.inverse_document_frequency(ta.unionByName(tb))
-    return sim.tfidf(ta.unionByName(tb), i).select("id", "token", "w")
+    tok = _tokens_ab(spark, sf)
+    return sim.tfidf(tok, sim.inverse_document_frequency(tok)).select("id", "token", "w")
 
 
-@query("cosine_pairs", _CORPUS_SQL + "SELECT id_a, id_b, round(cs, 6) AS cs FROM sims")
+# records with the same tokens are one class; the oracle names a class by its smallest id
+@query("cosine_pairs", _CORPUS_SQL.rstrip() + """,
+ca AS (SELECT min(id) AS id, count(*) AS n FROM ta WHERE len(tokens) > 0 GROUP BY list_sort(tokens)),
+cb AS (SELECT min(id) AS id, count(*) AS n FROM tb WHERE len(tokens) > 0 GROUP BY list_sort(tokens))
+SELECT id_a, id_b, round(cs, 6) AS cs, ca.n AS copies_a, cb.n AS copies_b
+FROM sims JOIN ca ON ca.id = id_a JOIN cb ON cb.id = id_b WHERE cs >= 0.3""")
 def cosine_pairs(spark, sf):
     v = Views(spark, sf)
-    return sim.cosine_pairs(v.rec_a, v.rec_b).withColumn("cs", r(F.col("cs")))
+    return sim.similar_pairs(v.rec_a, v.rec_b, 0.3).withColumn("cs", r(F.col("cs")))
 
 
 @query("gold_match", _CORPUS_SQL.rstrip() + """,
-gold AS (SELECT a.id AS id_a, b.id AS id_b FROM rec_a a JOIN rec_b b ON a.text = b.text)
-SELECT count(*) AS n_pairs, CAST(count_if(g.id_a IS NOT NULL) AS BIGINT) AS n_gold_found,
-       round(avg(CASE WHEN g.id_a IS NOT NULL THEN cs END), 6) AS avg_cs_gold,
-       round(avg(CASE WHEN g.id_a IS NULL THEN cs END), 6) AS avg_cs_other,
-       (SELECT count(*) FROM gold) AS n_gold
-FROM sims s LEFT JOIN gold g ON s.id_a = g.id_a AND s.id_b = g.id_b""")
+gold AS (SELECT a.id AS id_a, b.id AS id_b FROM rec_a a JOIN rec_b b ON a.text = b.text),
+found AS (SELECT count(cs) AS n, sum(cs) AS total FROM gold LEFT JOIN sims USING (id_a, id_b)),
+every AS (SELECT sum(cs) AS total, (SELECT count(*) FROM ta) * (SELECT count(*) FROM tb) AS n FROM sims)
+SELECT e.n AS n_pairs, (SELECT count(*) FROM gold) AS n_gold, f.n AS n_gold_found,
+       round(f.total / (SELECT count(*) FROM gold), 6) AS avg_cs_gold,
+       round((e.total - f.total) / (e.n - (SELECT count(*) FROM gold)), 6) AS avg_cs_other
+FROM every e, found f""")
 def gold_match(spark, sf):
     v = Views(spark, sf)
-    out = sim.gold_summary(sim.cosine_pairs(v.rec_a, v.rec_b), v.gold)
+    out = sim.gold_summary(v.rec_a, v.rec_b, v.gold)
     return out.withColumn("avg_cs_gold", r(F.col("avg_cs_gold"))).withColumn("avg_cs_other", r(F.col("avg_cs_other")))
 
 
 # ============================================ small pair / list operators
+@query("idf_histogram", _CORPUS_SQL + """
+SELECT CAST(floor(idf / 50.0) AS BIGINT) AS bin, count(*) AS count, CAST(floor(idf / 50.0) AS BIGINT) * 50.0 AS lower
+FROM idf GROUP BY 1""")
+def idf_histogram(spark, sf):
+    return profile.histogram(sim.inverse_document_frequency(_tokens_ab(spark, sf)), "idf", 50.0)
+
+
 @query("blank_lines", """
 SELECT CAST(count_if(line = '') AS BIGINT) AS blank_lines, count(*) AS lines
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import contextlib
 import io
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.ml.functions import array_to_vector
@@ -41,10 +41,18 @@ def read_tsv_doubles(spark: SparkSession, path: str, names: list[str]) -> DataFr
 def labeled_points(lines: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
     """S6: 'label,f1,f2,...' lines to (label double, features vector)."""
     nums = F.transform(F.split(F.col(col), sep), lambda x: F.trim(x).try_cast("double"))
-    return lines.select(
-        F.element_at(nums, 1).alias("label"),
-        array_to_vector(F.slice(nums, 2, F.size(nums) - 1)).alias("features"),
-    )
+    cut = lines.select(nums.alias("__n")).select(F.element_at("__n", 1).alias("label"),
+                                                 F.slice("__n", 2, F.size("__n") - 1).alias("__x"))
+    # a row with an unreadable cell has no vector; ``unreadable_points`` counts such rows
+    whole = ~F.exists("__x", lambda x: x.isNull())
+    return cut.select("label", F.when(whole, array_to_vector(F.when(whole, F.col("__x")).otherwise(F.array().cast("array<double>"))))
+                      .alias("features"))
+
+
+def unreadable_points(points: DataFrame) -> DataFrame:
+    """One row: how many rows lack a label or a vector because a cell could not be read."""
+    return points.agg(F.count_if(F.col("label").isNull()).alias("bad_labels"),
+                      F.count_if(F.col("features").isNull()).alias("bad_vectors"))
 
 
 def positional_fields(lines: DataFrame, col: str = "value", sep: str = "\t",
@@ -52,16 +60,12 @@ def positional_fields(lines: DataFrame, col: str = "value", sep: str = "\t",
     """S7: 'label<TAB>v0<TAB>v1...' to (label double, features array<struct<pos,value>>).
 
     Newlines are removed first (X18); positions start at 0 after the label.
-    The (pos, value) pairs are zipped natively (no per-element lambda).
+    The text is split once, in a projection of its own.
     """
-    parts = F.split(F.replace(F.col(col), F.lit("\n"), F.lit("")), sep)
-    fields = F.slice(parts, 2, F.size(parts) - 1)
-    positions = F.sequence(F.lit(0).cast("long"), (F.size(fields) - 1).cast("long"))
-    feats = F.when(F.size(fields) > 0, F.arrays_zip(positions, fields)) \
-             .cast("array<struct<pos:bigint,value:string>>")
-    feats = F.coalesce(feats, F.array().cast("array<struct<pos:bigint,value:string>>"))
-    return lines.select(*(keep or []), F.element_at(parts, 1).try_cast("double").alias("label"),
-                        feats.alias("features"))
+    cut = lines.select(*(keep or []), F.split(F.replace(F.col(col), F.lit("\n"), F.lit("")), sep).alias("__parts"))
+    fields = F.transform(F.slice("__parts", 2, F.greatest(F.size("__parts") - 1, F.lit(0))),
+                         lambda v, i: F.struct(i.cast("long").alias("pos"), v.alias("value")))
+    return cut.select(*(keep or []), F.element_at("__parts", 1).try_cast("double").alias("label"), fields.alias("features"))
 
 
 def from_rows(spark: SparkSession, rows: list, schema: str | T.StructType,
@@ -71,6 +75,23 @@ def from_rows(spark: SparkSession, rows: list, schema: str | T.StructType,
     return df.repartition(partitions) if partitions else df
 
 
+def named_table(spark: SparkSession, name: str) -> DataFrame:
+    """A table or view of the catalog by name."""
+    return spark.table(name)
+
+
+def select_text(df: DataFrame, *expressions: str) -> DataFrame:
+    """Columns given as SQL expression strings."""
+    return df.selectExpr(*expressions)
+
+
+def sql_over(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """A SQL text over frames, each named as a view first."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(text)
+
+
 def keyed_text(df: DataFrame, id_col: str, text_cols: list[str], out: str = "text") -> DataFrame:
     """(id, text) with the text fields joined by one space; null fields skipped."""
     return df.select(F.col(id_col).alias("id"), F.concat_ws(" ", *[F.col(c) for c in text_cols]).alias(out))
@@ -144,5 +165,6 @@ def cached(df: DataFrame) -> bool:
     return df.is_cached
 
 
-def col_or_name(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def release(df: DataFrame) -> DataFrame:
+    """K8: drop a frame's cached blocks."""
+    return df.unpersist()

@@ -94,3 +94,30 @@ def test_mean_vector(spark):
 def test_dot(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0], [4.0, 5.0, 6.0])], "a array<double>, b array<double>")
     assert df.select(linalg.dot(F.col("a"), F.col("b"))).collect()[0][0] == 32.0
+
+
+def test_r2_of_labels_far_from_zero(spark):
+    rows = [(1e9 + i, 1e9 + 4.5) for i in range(10)]
+    m = ev.regression_metrics(spark.createDataFrame(rows, "label double, prediction double"), "label", "prediction").first()
+    assert m.r2 == pytest.approx(0.0, abs=1e-9)
+
+
+def test_perfect_fit_and_missing_predictions(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, None), (4.0, float("nan"))], "label double, prediction double")
+    rows = ev.residual_share(df, "label", "prediction").collect()
+    assert [(r.rmse_range, r["count"], r.percent) for r in rows] == [(1, 2, 1.0)]
+    assert {r.within_rmse for r in ev.residuals(df.limit(2), "label", "prediction", 0.0).collect()} == {0.0}
+
+
+def test_auc_of_one_class_is_null(spark):
+    df = spark.createDataFrame([(0.1, 1.0), (0.4, 1.0)], "p double, label double")
+    assert ev.roc_auc(df).first().auc is None
+    assert {(r.tpr, r.fpr) for r in ev.roc_points(df).collect()} == {(0.5, None), (1.0, None)}
+
+
+def test_auc_of_more_pairs_than_64_bits(spark, monkeypatch):
+    # two scores whose class counts are 5e9 each: P * N is 1e20
+    counts = spark.createDataFrame([(0.9, 4_000_000_000, 1_000_000_000), (0.1, 1_000_000_000, 4_000_000_000)],
+                                   "threshold double, pos long, neg long")
+    monkeypatch.setattr(ev, "_per_score", lambda df, p, label: counts)
+    assert ev.roc_auc(counts).first().auc == pytest.approx(0.8)

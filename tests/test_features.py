@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -31,12 +32,40 @@ def test_ohe_unseen_dropped_width_fixed(spark):
     enc = feat.ohe_encode(rec, d)
     per = {r.id: r.n for r in enc.groupBy("id").agg(F.count("*").alias("n")).collect()}
     assert per == {0: 2, 1: 3, 2: 1}          # bear and salmon unseen; black known
-    vecs = {r.id: r.features for r in feat.to_vectors(enc, rec.withColumn("label", F.lit(1.0)), 5).collect()}
+    rows = feat.to_vectors(feat.with_one_hot(rec, d, [0, 1, 2]), 5).withColumnRenamed("features", "v").collect()
+    vecs = {r.id: r.v for r in rows}
     assert all(v.size == 5 for v in vecs.values())
     assert sorted(vecs[0].indices.tolist()) == sorted(
         r.ohe_id for r in d.filter("(pos = 0 AND value = 'mouse') OR (pos = 1 AND value = 'black')").collect())
 
 
+def test_vectors_of_repeated_ids_and_empty_records(spark):
+    rec = spark.createDataFrame(SAMPLES + [(0, [(0, "cat")]), (9, [])], SCHEMA)
+    hashed = feat.to_vectors(feat.with_hashed(rec, 1 << 15), 1 << 15, out="v").collect()
+    assert len(hashed) == 5 and all(r.v.size == 1 << 15 for r in hashed)
+    assert [r.v.numNonzeros() for r in hashed if r.id == 9] == [0]
+    one_hot = feat.with_one_hot(rec, feat.ohe_dictionary(rec), [0, 1, 2]).collect()
+    assert sorted(len(r.entries) for r in one_hot) == [0, 1, 2, 3, 3]
+
+
+def test_hashed_counts_of_colliding_features(spark):
+    rec = spark.createDataFrame([(1, [(i, "v") for i in range(20)] + [(0, "v")])], SCHEMA)
+    got = {r["index"]: r["weight"] for r in feat.hash_features(rec, 3).collect()}
+    want = {}
+    for i in range(20):
+        b = int(hashlib.md5(f"v:{i}".encode()).hexdigest(), 16) % 3
+        want[b] = want.get(b, 0.0) + 1.0
+    assert got == want
+
+
+def test_sparse_to_row_repeated_and_outside_positions(spark):
+    rec = spark.createDataFrame([(1, [(0, "a"), (1, "b"), (0, "c")])], SCHEMA)
+    row = feat.sparse_to_row(rec, "features", 2, keep=["id"]).first()
+    assert (row.f0, row.f1) == ("c", "b")
+    with pytest.raises(Exception, match="outside 0..0"):
+        feat.sparse_to_row(rec, "features", 1, keep=["id"]).collect()
+
+
 def test_sparse_to_row(spark):
     rec = spark.createDataFrame(SAMPLES, SCHEMA)
     rows = {r.id: (r.f0, r.f1, r.f2) for r in feat.sparse_to_row(rec, "features", 3, keep=["id"]).collect()}
@@ -48,9 +77,9 @@ def test_sparse_to_row(spark):
 @given(st.lists(st.text(min_size=0, max_size=12), min_size=1, max_size=8))
 def test_md5_bucket_matches_big_integer(spark, words):
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [r[0] for r in df.select(md5_bucket(F.col("w"), 1 << 15)).collect()]
-    want = [int(hashlib.md5(w.encode("utf-8")).hexdigest(), 16) % (1 << 15) for w in words]
-    assert got == want
+    for buckets in (1 << 15, 1 << 20, 1_000_003, 7, 1):
+        got = [r[0] for r in df.select(md5_bucket(F.col("w"), buckets)).collect()]
+        assert got == [int(hashlib.md5(w.encode("utf-8")).hexdigest(), 16) % buckets for w in words]
 
 
 def test_hash_features_counts(spark):

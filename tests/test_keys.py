@@ -1,21 +1,27 @@
 """Global order without one partition; stable splits and samples."""
 
+import datetime
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from tessera import queries as q
 from tessera.operators import keys
+from tessera.plans import inspect as pi
 
 
-def test_row_index_many_partitions(spark):
+def test_row_index_many_buckets(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(7)
-    out = keys.row_index(df, "k", partitions=6).collect()
-    got = sorted((r.k, r.idx) for r in out)
-    assert [i for _, i in got] == list(range(5000))
+    out = keys.row_index(df, "k", buckets=6).collect()
+    assert [i for _, i in sorted((r.k, r.idx) for r in out)] == list(range(5000))
+    assert [r.k for r in sorted(out, key=lambda r: r.idx)] == sorted(r.k for r in out)
 
 
 def test_running_sums_descending(spark):
     vals = [(i, i % 3) for i in range(100)]
     df = spark.createDataFrame(vals, "k long, v long").repartition(5)
-    out = {r.k: r.cum for r in keys.running_sums(df, [F.desc("k")], {"cum": "v"}, partitions=4).collect()}
+    out = {r.k: r.cum for r in keys.running_sums(df, "-k", {"cum": "v"}, buckets=4).collect()}
     acc, want = 0, {}
     for k, v in sorted(vals, reverse=True):
         acc += v
@@ -23,6 +29,67 @@ def test_running_sums_descending(spark):
     assert out == want
 
 
+def test_mixed_directions_nulls_texts_and_dates(spark):
+    day = datetime.date(2024, 1, 1)
+    rows = [(None if i % 7 == 0 else f"s{i % 5}", None if i % 11 == 0 else day + datetime.timedelta(i % 13), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "s string, d date, i long")
+    for order in (["s", "-d", "i"], ["-s", "d", "-i"], ["-d", "-i"]):
+        want = df.orderBy(*[F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in order]).collect()
+        got = sorted(keys.row_index(df, order, buckets=9).collect(), key=lambda r: r.idx)
+        assert [r.i for r in got] == [r.i for r in want] and [r.idx for r in got] == list(range(400))
+
+
+def test_a_value_of_a_third_of_the_rows_is_cut_by_the_rest_of_the_key(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), "id")
+    cuts = keys._cut_points(df, keys._order(["k", "id"]), 12)
+    assert sum(c[0] == 5 for c in cuts) > 1
+    got = sorted(keys.row_index(df, ["k", "id"], buckets=12).collect(), key=lambda r: r.idx)
+    assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
+
+
+def test_two_level_bucket_search(spark):
+    df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_011).alias("k"))
+    cuts = [(i * 200,) for i in range(1, 100)]
+    got = df.select("k", keys._bucket(df, [("k", True)], cuts).alias("b")).collect()
+    assert all(r.b == sum(c[0] <= r.k for c in cuts) for r in got)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_index_survives_a_cleared_cache(spark, sf):
+    path = f"/root/testdata/{sf}"
+    li = spark.read.parquet(f"{path}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    df = keys.row_index(li, ["l_orderkey", "-l_linenumber", "l_partkey", "l_suppkey"])
+    spark.catalog.clearCache()
+    got = df.agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx"), F.sum(F.col("idx") * F.col("l_partkey"))).first()
+    want = duckdb.sql(f"""SELECT count(*), count(DISTINCT i), min(i), max(i), CAST(sum(i * l_partkey) AS BIGINT) FROM (
+        SELECT l_partkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber DESC, l_partkey, l_suppkey) - 1 AS i
+        FROM '{path}/lineitem.parquet')""").df().iloc[0].tolist()
+    assert list(got) == want
+
+
+def test_no_python_and_no_cached_copy(spark):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    df = q.QUERIES["row_index"](spark, "/root/testdata/sf0.001")
+    assert not pi.runs_python(df) and df.count() > 0
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_grouped_values_positions(spark):
+    rows = [("a", 3, 1), ("b", 1, 2), ("a", 1, 3), ("a", 1, 4), (None, 9, 5)]
+    from tessera.operators.profile import grouped_values
+    got = sorted((r.k or "", r.pos, r.v, r.t) for r in
+                 grouped_values(spark.createDataFrame(rows, "k string, v int, t int"), "k", "v", "t").collect())
+    assert got == [("", 0, 9, 5), ("a", 0, 1, 3), ("a", 1, 1, 4), ("a", 2, 3, 1), ("b", 0, 1, 2)]
+
+
+def test_dedupe_is_a_hash_aggregate_over_digests(spark):
+    df = q.QUERIES["dedupe_latest"](spark, "/root/testdata/sf0.001")
+    plan = pi.physical_plan(df)
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    rows = spark.createDataFrame([("x", None, 3), ("x", None, 1), ("x", "", 2), ("x|", "y", 4)], "a string, b string, i int")
+    assert sorted(r.i for r in keys.dedupe_first(rows, ["a", "b"], "i").collect()) == [1, 2, 4]
+
+
 def test_hash_split_stable_under_layout(spark):
     df = spark.range(0, 2000).withColumnRenamed("id", "key")
     a = {r.key: r.split for r in keys.hash_split(df, "key", [0.6, 0.2, 0.2], 5).collect()}
@@ -46,13 +113,12 @@ def test_hash_sample_fraction(spark):
     assert keys.bernoulli_sample(df, 0.1, seed=3).count() > 0
 
 
-def test_row_index_more_partitions_than_rows(spark):
+def test_row_index_more_buckets_than_rows(spark):
     df = spark.createDataFrame([(30,), (10,), (20,)], "k long")
-    out = sorted((r.k, r.idx) for r in keys.row_index(df, "k", partitions=8).collect())
+    out = sorted((r.k, r.idx) for r in keys.row_index(df, "k", buckets=8).collect())
     assert out == [(10, 0), (20, 1), (30, 2)]
 
 
 def test_running_sums_empty_input(spark):
     df = spark.createDataFrame([], "k long, v long")
-    out, totals = keys.running_sums_totals(df, "k", {"cum": "v"}, partitions=4)
-    assert out.count() == 0 and totals == {"cum": 0}
+    assert keys.running_sums(df, "k", {"cum": "v"}).count() == 0

@@ -102,3 +102,19 @@ def test_fold_column_deterministic(spark):
     a = {r.key: r.fold for r in models.fold_column(df, "key", 3).collect()}
     b = {r.key: r.fold for r in models.fold_column(df.repartition(5), "key", 3).collect()}
     assert a == b and set(a.values()) == {0, 1, 2}
+
+
+def test_null_features_are_an_error_not_a_loss(spark):
+    rows = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, None)], "y double, f double")
+    pipe, lr = models.linreg_estimator(["f"], "y")
+    with pytest.raises(Exception, match="(?i)null"):
+        pipe.fit(rows)
+    model = pipe.fit(rows.filter("f is not null"))
+    assert model.transform(rows.filter("f is not null")).count() == 2
+    assert "regParam" in models.params_text(lr)
+
+
+def test_tree_as_rules(spark):
+    rows = spark.createDataFrame([(float(i > 5), float(i)) for i in range(12)], "y double, f double")
+    pipe, _ = models.tree_estimator(["f"], "y")
+    assert "If (feature 0 <=" in models.model_text(pipe.fit(rows).stages[-1])

@@ -32,18 +32,37 @@ def test_popular_items_plan(spark):
     assert not pi.has_cartesian(df)
 
 
-def test_dimension_broadcast_is_size_checked(spark):
-    from tessera.plans.joins import sized_broadcast
-    small = spark.range(10)
-    assert "BroadcastHashJoin" in pi.physical_plan(spark.range(1000).join(sized_broadcast(small, 100), "id"))
-    big = spark.range(1000)
-    # over the bound no hint is added; the choice is left to Catalyst / AQE
-    assert sized_broadcast(big, 100) is big
+def test_join_choice_is_left_to_size_in_bytes(spark):
+    from tessera.operators.relational import lookup_join
+    plan = pi.physical_plan(lookup_join(spark.range(1000), spark.range(10), "id"))
+    assert "BroadcastHashJoin" in plan
+    assert "hint" not in lookup_join(spark.range(1000), spark.range(10), "id")._jdf.queryExecution().logical().toString().lower()
 
 
 def test_tfidf_similarity_stays_in_jvm(spark):
     from tessera.operators import similarity as sim
     v = Views(spark, SF0001)
-    df = sim.cosine_pairs(v.rec_a, v.rec_b)
+    df = sim.similar_pairs(v.rec_a, v.rec_b, 0.3)
     assert not pi.runs_python(df)
     assert not pi.has_cartesian(df)
+
+
+def test_click_fields_are_split_once_and_vectors_stay_in_jvm(spark):
+    from tessera.operators import features as feat
+    from tessera.sources.readers import positional_fields
+    rec = positional_fields(Views(spark, SF0001).clicks, keep=["id"])
+    plan = pi.physical_plan(feat.category_counts(rec))
+    assert plan.count("split(") == 1
+    vectors = feat.to_vectors(feat.with_hashed(rec, 1 << 15), 1 << 15)
+    assert not pi.runs_python(vectors) and "Exchange" not in pi.physical_plan(vectors.select("features")).split("Join")[0]
+
+
+def test_queries_leave_nothing_cached(spark):
+    for name in ("tf", "cosine_pairs", "gold_match", "roc_auc", "logit_ohe", "logit_hashed", "gd_linreg"):
+        before = len(spark.sparkContext._jsc.getPersistentRDDs())
+        fn = q.QUERIES.get(name)
+        if fn is None:
+            import tessera.queries_models  # noqa: F401  (registers the model queries)
+            fn = q.QUERIES[name]
+        fn(spark, SF0001).collect()
+        assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before, name

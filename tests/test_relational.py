@@ -49,7 +49,7 @@ def test_distinct_and_dedupe(spark):
     df = spark.createDataFrame([("Joe", 1), ("Joe", 1), ("Anna", 15), ("Anna", 12), ("Ravi", 5)],
                                "name string, score long")
     assert df.distinct().count() == 4
-    first = {r["name"]: r["score"] for r in keys.dedupe_first(df, ["name"], ["score"]).collect()}
+    first = {r["name"]: r["score"] for r in keys.dedupe_first(df, ["name"], "score").collect()}
     assert first == {"Joe": 1, "Anna": 12, "Ravi": 5}
 
 
@@ -100,8 +100,15 @@ def test_describe_long_matches_describe(spark):
     long = {(r.column, r.summary): r.value for r in profile.describe_long(df).collect()}
     ref = {r.summary: r for r in df.describe().collect()}
     for s in ("count", "mean", "stddev", "min", "max"):
-        assert math.isclose(long[("x", s)], float(ref[s]["x"]), rel_tol=1e-9)
-        assert math.isclose(long[("y", s)], float(ref[s]["y"]), rel_tol=1e-9)
+        assert math.isclose(float(long[("x", s)]), float(ref[s]["x"]), rel_tol=1e-9)
+        assert math.isclose(float(long[("y", s)]), float(ref[s]["y"]), rel_tol=1e-9)
+
+
+def test_describe_long_texts_and_exact_bounds(spark):
+    df = spark.createDataFrame([("pear", 2 ** 53 + 1), ("apple", 3), (None, None)], "t string, n long")
+    got = {(r.column, r.summary): r.value for r in profile.describe_long(df).collect()}
+    assert [got["t", s] for s in ("count", "mean", "stddev", "min", "max")] == ["2", None, None, "apple", "pear"]
+    assert (got["n", "min"], got["n", "max"]) == ("3", str(2 ** 53 + 1))
 
 
 def test_null_counts(spark):

@@ -83,3 +83,32 @@ def test_streaming_status_counts(spark, tmpdir_path):
     finally:
         q.stop()
     assert got == {200: 3, 404: 1}
+
+
+def test_unreadable_cells_give_null_vectors_and_are_counted(spark):
+    points = rd.labeled_points(spark.createDataFrame([("1,2,3",), ("1,x,3",), ("y,2,3",), ("4",)], "value string"))
+    rows = points.collect()
+    assert list(rows[0].features) == [2.0, 3.0] and rows[1].features is None and rows[2].label is None
+    assert tuple(rd.unreadable_points(points).first()) == (1, 1)
+
+
+def test_text_scan_rows_and_slices(spark, tmpdir_path):
+    with open(f"{tmpdir_path}/a.txt", "w") as f:
+        f.write("one\n\ntwo\n")
+    assert [r.value for r in rd.read_lines(spark, f"{tmpdir_path}/a.txt").collect()] == ["one", "", "two"]
+    df = rd.from_rows(spark, [(1, "a"), (2, "b"), (3, "c")], "id int, t string", partitions=3)
+    assert df.rdd.getNumPartitions() == 3 and df.count() == 3
+
+
+def test_named_tables_expressions_and_sql(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 5.0)], "id int, x double")
+    rd.register(df, "pairs_for_test")
+    assert rd.named_table(spark, "pairs_for_test").count() == 2
+    assert [r.y for r in rd.select_text(df, "id", "x * 2 AS y").orderBy("id").collect()] == [4.0, 10.0]
+    assert rd.sql_over(spark, "SELECT sum(x) AS s FROM t_for_test", t_for_test=df).first().s == 7.0
+
+
+def test_release(spark):
+    df = spark.range(10).cache()
+    df.count()
+    assert rd.cached(df) and not rd.cached(rd.release(df))

@@ -97,3 +97,19 @@ def test_log_time_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert t == "2023-03-12 02:30:00"
+
+
+def test_log_sizes_past_32_bits_and_broken_lines(spark):
+    big = 'h.net - - [01/Aug/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 3000000000'
+    cut = 'h.net - - [01/Aug/1995:00:00:01 -0400] "GET /a'
+    odd = 'h.net - - [01/Aug/1995:00:00:01 -0400] "GET /a "b" HTTP/1.0" 200 5'
+    rows = logs.split_fields(spark.createDataFrame([(big,), (cut,), (odd,), ("",), ("justonehost",)], "value string")).collect()
+    assert rows[0].content_size == 3_000_000_000 and rows[0].path == "/a" and rows[0].status == 200
+    assert (rows[1].host, rows[1].timestamp, rows[1].path, rows[1].content_size) == ("h.net", "01/Aug/1995:00:00:01 -0400", None, None)
+    assert (rows[2].path, rows[2].status, rows[2].content_size) == (None, 200, 5)
+    assert all(v is None for r in rows[3:] for v in r)
+
+
+def test_bad_lines_are_marked(spark):
+    lines = spark.createDataFrame([(GOOD,), (DASH,), ("",)], "value string")
+    assert {r.line for r in logs.bad_lines(lines).collect()} == {DASH + "*", "*"}
