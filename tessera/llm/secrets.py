@@ -101,9 +101,11 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
 def _coverage(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(candidate, covered): the share of characters that stand in a word of the dictionary."""
-    parts = [F.transform(F.sequence(F.lit(1), F.length("candidate") - (k - 1)),
-                         lambda i, k=k: F.struct(i.alias("at"), F.substr(F.lower("candidate"), i, F.lit(k)).alias("word")))
-             for k in WORD_SIZES]
+    def runs(k):
+        return F.transform(F.sequence(F.lit(1), F.length("candidate") - (k - 1)),
+                           lambda i: F.struct(i.alias("at"), F.substr(F.lower("candidate"), i, F.lit(k)).alias("word")))
+
+    parts = [runs(k) for k in WORD_SIZES]
     spans = values.select("candidate", F.inline(F.concat(*parts))).filter(F.col("word").rlike("^[a-z]+$"))
     inside = spans.join(dictionary, "word").select(
         "candidate", F.explode(F.sequence("at", F.col("at") + F.length("word") - 1)).alias("at"))
