@@ -16,6 +16,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tessera.functions.hashing import md5_bucket
 from tessera.operators.keys import row_index
+from tessera.session import checkpoint_dir
 
 
 def long_features(records: DataFrame, id_col: str = "id", col: str = "features") -> DataFrame:
@@ -55,7 +56,9 @@ def sparse_to_row(records: DataFrame, col: str, width: int, keep: list[str] | No
 
 def ohe_dictionary(records: DataFrame, col: str = "features") -> DataFrame:
     """(pos, value, ohe_id) with dense ids ordered by (pos, value), as a table."""
-    return row_index(_distinct_features(records, col), ["pos", "value"], name="ohe_id")
+    checkpoint_dir(records.sparkSession)
+    # the categories are few beside the records: written once, then indexed
+    return row_index(_distinct_features(records, col).checkpoint(), ["pos", "value"], name="ohe_id")
 
 
 def ohe_encode(records: DataFrame, dictionary: DataFrame, id_col: str = "id", col: str = "features") -> DataFrame:
