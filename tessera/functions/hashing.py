@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 
 def md5_bucket(text: Column, num_buckets: int) -> Column:
-    """int(md5(text), 16) mod num_buckets, for any 1 <= num_buckets <= 2^31.
+    """int(md5(text), 16) mod num_buckets, for any 1 <= num_buckets <= 2^31."""
+    return digest_bucket(F.md5(text), num_buckets)
 
-    The digest is read as four 32-bit digits, most significant first; the
-    remainder is carried from one to the next, below 2^63 throughout.
+
+def digest_bucket(digest: Column, num_buckets: int) -> Column:
+    """The remainder of a 32-digit hexadecimal number.
+
+    A power of two only needs the last eight digits.  Otherwise the number is read as four
+    32-bit digits, most significant first; the remainder is carried from one to the next,
+    below 2^63 throughout.
     """
     if not 1 <= num_buckets <= 1 << 31:
         raise ValueError("num_buckets must be from 1 to 2^31")
-    digest = F.md5(text)
     rest = F.lit(0).cast("bigint")
-    for start in (1, 9, 17, 25):
+    for start in (25,) if num_buckets & (num_buckets - 1) == 0 else (1, 9, 17, 25):
         digit = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
         rest = (rest * F.lit(1 << 32) + digit) % F.lit(num_buckets)
     return rest.cast("int")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tessera.functions.hashing import md5_bucket
+from tessera.functions.hashing import digest_bucket
 from tessera.operators.keys import row_index
 from tessera.session import checkpoint_dir
 
@@ -71,24 +71,22 @@ def ohe_encode(records: DataFrame, dictionary: DataFrame, id_col: str = "id", co
     return long_features(records, id_col, col).join(d, ["pos", "value"]).select(id_col, "index", F.lit(1.0).alias("weight"))
 
 
-def _entries(buckets: Column) -> Column:
-    """(index, weight) of each distinct bucket and its count, from a sorted array: one step over its runs."""
-    starts = F.filter(F.sequence(F.lit(1), F.size(buckets)),
-                      lambda i: (i == 1) | (F.element_at(buckets, i) != F.element_at(buckets, F.greatest(i - 1, F.lit(1)))))
-    held = F.struct(buckets.alias("b"), starts.alias("s"))
-    runs = F.transform(F.array(held), lambda h: F.transform(h["s"], lambda i, k: F.struct(
-        F.element_at(h["b"], i).alias("index"),
-        (F.coalesce(F.try_element_at(h["s"], k + 2), F.size(h["b"]) + 1) - i).cast("double").alias("weight"))))
-    none = F.array().cast("array<struct<index:int,weight:double>>")
-    return F.when(F.size(buckets) > 0, F.element_at(runs, 1)).otherwise(none)
-
-
 def with_hashed(records: DataFrame, num_buckets: int = 1 << 15, col: str = "features", out: str = "entries") -> DataFrame:
-    """``records`` with an array of (index, weight): index = md5('value:pos') mod num_buckets,
-    weight = the record's distinct features in that bucket.  A narrow map: no shuffle."""
-    buckets = F.array_sort(F.transform(F.array_distinct(F.col(col)), lambda f: md5_bucket(
-        F.concat(f["value"], F.lit(":"), f["pos"].cast("string")), num_buckets)))
-    return records.withColumn("__b", buckets).withColumn(out, _entries(F.col("__b"))).drop("__b")
+    """``records`` with a sorted array of (index, weight): index = md5('value:pos') mod num_buckets,
+    weight = the record's distinct features in that bucket.
+
+    A narrow map, no shuffle: a record's buckets are sorted and the lengths of the runs read
+    off, in steps of their own so that none is computed twice.
+    """
+    digests = F.transform(F.array_distinct(F.col(col)), lambda f: F.md5(F.concat(f["value"], F.lit(":"), f["pos"].cast("string"))))
+    rows = records.withColumn("__b", F.array_sort(F.transform(digests, lambda d: digest_bucket(d, num_buckets))))
+    first = F.filter(F.transform("__b", lambda b, i: F.when(
+        (i == 0) | (b != F.element_at("__b", F.greatest(i, F.lit(1)))), i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("__s", first)   # where each run starts, from 0
+    entries = F.transform("__s", lambda i, k: F.struct(
+        F.element_at("__b", i + 1).alias("index"),
+        (F.coalesce(F.try_element_at("__s", k + 2), F.size("__b")) - i).cast("double").alias("weight")))
+    return rows.withColumn(out, entries).drop("__b", "__s")
 
 
 def hash_features(records: DataFrame, num_buckets: int = 1 << 15, id_col: str = "id",
