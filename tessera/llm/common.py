@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,25 +39,38 @@ def fold(id_col: str, mod: int):
     return F.crc32(F.col(id_col).cast("string")) % F.lit(mod)
 
 
+def cut(sizes, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges whose sizes add up to about ``limit``, at least one row each."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts hold about ``limit`` characters together, at least one row each."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > start and size + n > limit:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
+    yield from cut([len(t) if t else 0 for t in texts], limit)
+
+
+def text_slices(batch: pa.RecordBatch, text_col: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of an Arrow batch with about ``limit`` bytes of text each, and their texts (null stays None).
+
+    Only one slice's texts are Python objects at a time.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
+    for a, b in cut(sizes, limit):
+        part = batch.slice(a, b - a)
+        yield part, part.column(text_col).to_pylist()
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = CHUNK_BYTES):
-    """Slices of Arrow batches with their texts as a list (null stays None)."""
+    """``text_slices`` of all batches."""
     for batch in batches:
-        texts = batch.column(text_col).to_pylist()
-        for a, b in chunks(texts, limit):
-            yield batch.slice(a, b - a), texts[a:b]
+        yield from text_slices(batch, text_col, limit)
 
 
 def encoded(text: str | None) -> bytes:
@@ -91,8 +105,8 @@ def by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, offsets[:-1]) if len(offsets) > 1 else np.zeros(0, values.dtype)
 
 
-def ids_of(df: DataFrame, id_col: str, cls: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` rows of each class, the first ones in the order of their ids' hash.
+def ids_of(df: DataFrame, id_col: str, cls: str, per_class: int | dict) -> DataFrame:
+    """At most ``per_class`` rows of each class (a number, or one for each class), the first in the order of their ids' hash.
 
     A cut on the hash, set from each class's row count, leaves about 1.5 * ``per_class`` rows of a
     class, so the ranking doesn't get a whole class in one task.
@@ -100,8 +114,10 @@ def ids_of(df: DataFrame, id_col: str, cls: str, per_class: int) -> DataFrame:
     unit = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
     counts = df.groupBy(cls).agg(F.count("*").alias("__n"))  # one row a class
     order = Window.partitionBy(cls).orderBy(unit, id_col)
-    near = df.join(F.broadcast(counts), cls).filter(unit <= F.lit(1.5 * per_class) / F.col("__n"))
-    return (near.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= per_class)
+    most = F.lit(per_class) if isinstance(per_class, int) else F.coalesce(
+        *[F.when(F.col(cls) == c, n) for c, n in per_class.items()], F.lit(0))
+    near = df.join(F.broadcast(counts), cls).filter(unit <= 1.5 * most / F.col("__n"))
+    return (near.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= most)
             .drop("__rank", "__n"))
 
 
@@ -116,12 +132,11 @@ def scored(df: DataFrame, id_col: str, text_col: str, fields: list[tuple[str, pa
 
     def run(batches):
         for batch in batches:
-            parts = [[] for _ in fields]
-            for a, b in chunks(texts := batch.column("text").to_pylist(), limit):
-                for part, values in zip(parts, kernel(texts[a:b]), strict=True):
-                    part.extend(values)
-            arrays = [pa.array(p, t) for p, (_, t) in zip(parts, fields, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *names])
+            parts = [[pa.array([], t)] for _, t in fields]
+            for _, texts in text_slices(batch, "text", limit):
+                for part, values, (_, t) in zip(parts, kernel(texts), fields, strict=True):
+                    part.append(pa.array(values, t))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.concat_arrays, parts)], ["id", *names])
 
     from pyspark.sql.pandas.types import from_arrow_type
     from pyspark.sql.types import StructField, StructType
@@ -134,15 +149,15 @@ def kept(df: DataFrame, text_col: str, keep, limit: int = CHUNK_BYTES) -> DataFr
     def run(batches):
         for batch in batches:
             mask = []
-            for a, b in chunks(texts := batch.column(text_col).to_pylist(), limit):
-                mask.extend(bool(x) for x in keep(texts[a:b]))
+            for _, texts in text_slices(batch, text_col, limit):
+                mask.extend(bool(x) for x in keep(texts))
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str,
-                  per_class: int) -> DataFrame:
+                  per_class: int | dict) -> DataFrame:
     """(label, text) of a bounded sample: up to ``per_class`` documents of each class, by the hash of the id.
 
     Null ids and labels are left out; an id labelled more than once has its greatest label; of

@@ -169,9 +169,11 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = written(near_duplicates(docs, id_col, text_col, shingle, radius).select(id_col, "component_id"), "groups")
     others = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
-    firsts = docs.join(others, id_col, "left_anti")
-    # only rows of repeated ids are ranked; all others pass without a shuffle of their texts
+    if again.isEmpty():
+        return docs.join(others, id_col, "left_anti").select(docs.columns)
+    # rows of repeated ids are ranked; all others pass by one join on the ids
+    firsts = docs.join(others.union(again), id_col, "left_anti")
     order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
-    ranked = firsts.join(again, id_col, "left_semi").withColumn("__n", F.row_number().over(order))
-    return (firsts.join(again, id_col, "left_anti").select(docs.columns)
-            .unionByName(ranked.filter("__n = 1").select(docs.columns)))
+    ranked = (docs.join(again.join(others, id_col, "left_anti"), id_col, "left_semi")
+              .withColumn("__n", F.row_number().over(order)))
+    return firsts.select(docs.columns).unionByName(ranked.filter("__n = 1").select(docs.columns))
