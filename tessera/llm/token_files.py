@@ -6,9 +6,7 @@ dictionary-coded, ids and counts delta-packed; row groups and pages have set siz
 index lets a reader fetch the tokens of an id range, or ids and counts alone, without the rest.
 Files are numbered in the order of the ids they hold.
 
-Encoding uses the tokenizers library.  A byte-level vocabulary splits a text in front of every
-space that follows a non-space character, whatever stands around, so equal pieces have equal
-ids: each piece is encoded once per worker and looked up afterwards, in a bounded table.
+Encoding uses the tokenizers library and gives the ids of the whole text; see ``Encoder``.
 
 Defined cases: a null or empty text is the end id alone; rows of one id are ordered by the hash
 of their text, then by the text; a null id comes first; an empty table makes files without rows;
@@ -18,54 +16,115 @@ only the id and text columns are read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunks
+from tessera.llm.common import text_slices
 
-#: Pieces up to this length are remembered, up to so many at a time.
-PIECE_CHARS, PIECES = 32, 1 << 20
-_CUT = re.compile(r"(?<=\S)(?= )")
-_INSIDE = re.compile(r"\s (?=.)|\s $", re.S)
+#: Words up to this length are remembered, up to so many at a time.
+WORD_CHARS, WORDS = 32, 3 << 18
+_TAIL = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}']+)")
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut in front of every space that follows a non-space character."""
-    if _INSIDE.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + w for w in rest]
+def _plain(text: str) -> bool:
+    """Whether single spaces and line feeds between other characters are the text's only white space."""
+    return (text.replace("\n", "").isprintable() and text[0] not in " \n" and text[-1] not in " \n"
+            and not any(run in text for run in ("  ", "\n\n", " \n", "\n ")))
 
 
 class Encoder:
+    """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
+
+    In a text without runs of white space the splitter joins a space to the word behind it, never
+    to what stands before, and a line feed to neither; so a text's ids are those of its lines'
+    first words, of its other words with their space, and of its line feeds.  Words of letters
+    are encoded many at a time, as one text whose ids are dealt out again, and so are the letters
+    that begin a word ended by other marks.  Other texts go through the library as they are.
+    """
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spaced: dict[str, bytes] = {}   # a word to the ids of it and the space before it
+        self.bare: dict[str, bytes] = {}     # a word that begins a line to its ids
+        self.marks: dict[str, bytes] = {}    # what stands behind a word's letters
+        self.space = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.space[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
+        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, units: list[str], between: str, into: dict[str, bytes]) -> None:
+        """Ids of units of letters, 512 in one text, after a space each or after a line feed each.
+
+        Such a unit's first id holds its space, and no other id does; a line feed is an id of its own.
+        """
+        parts = [units[a:a + 512] for a in range(0, len(units), 512)]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([between + between.join(p) for p in parts],
+                                                                   add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            first = np.flatnonzero(self.space[ids] if between == " " else ids == self.feed)
+            data, skip = ids.tobytes(), 0 if between == " " else 4
+            cuts = [*(4 * first).tolist(), len(data)]
+            into.update(zip(part, [data[a + skip:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+
+    def _learn(self, new: set[str], into: dict[str, bytes], between: str) -> None:
+        """Ids of words, with their space or (after a line feed) without."""
+        letters, tails, rest = set(), {}, []
+        for w in new:
+            if w.isalpha():
+                letters.add(w)
+            elif m := _TAIL.fullmatch(w):
+                tails[w] = stem, mark = m.groups()
+                if stem not in into:
+                    letters.add(stem)
+            else:
+                rest.append(w)
+        self._letters(sorted(letters), between, into)
+        marks = [m for m in {m for _, m in tails.values()} if m not in self.marks]
+        self.marks.update(zip(marks, self._whole(marks)))
+        for w, (stem, mark) in tails.items():
+            into[w] = into[stem] + self.marks[mark]
+        into.update(zip(rest, self._whole([between.strip("\n") + w for w in rest])))
 
     def encode(self, texts: list, end_id: int) -> list[bytes]:
         """Ids of each text, the end id last, as little-endian unsigned 32-bit bytes."""
-        cut = [pieces(t) if t else [] for t in texts]
-        new = {p for ps in cut for p in ps} - self.known.keys()
-        if len(self.known) + len(new) > PIECES:
-            self.known.clear()
-            new = {p for ps in cut for p in ps}
-        new = sorted(new)
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        end, known = np.array([end_id], "<u4").tobytes(), self.known
-        out = [b"".join([known[p] for p in ps]) + end for ps in cut]
-        for p in new:
-            if len(p) > PIECE_CHARS:
-                del known[p]
+        end, feed = np.array([end_id], "<u4").tobytes(), np.array([self.feed], "<u4").tobytes()
+        cut, odd = [], []
+        for t in texts:
+            plain = bool(t) and _plain(t) and not any(a in t for a in self.added)
+            cut.append([line.split(" ") for line in t.split("\n")] if plain else None)
+            odd.append(bool(t) and not plain)
+        spaced, bare = self.spaced, self.bare
+        every = set().union(*[line for c in cut if c for line in c])
+        if len(spaced) + len(bare) + len(every) > WORDS:
+            spaced.clear()
+            bare.clear()
+            self.marks.clear()
+        firsts = {line[0] for c in cut if c for line in c if line[0] not in bare}
+        self._learn(firsts, bare, "\n")
+        new = {w for w in every if w not in spaced}  # words that only begin lines, a few, are learned with a space too
+        self._learn(new, spaced, " ")
+        wholes = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        out = []
+        for c, o in zip(cut, odd, strict=True):
+            if c:
+                lines = [bare[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in c]
+                out.append(feed.join(lines) + end)
+            else:
+                out.append((next(wholes) if o else b"") + end)
+        for table, words in ((spaced, new), (bare, firsts), (self.marks, list(self.marks))):
+            for w in words:
+                if len(w) > WORD_CHARS:
+                    del table[w]
         return out
 
 
@@ -89,14 +148,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in chunks(texts):
-                ids = encoder(tokenizer_path).encode(texts[a:b], end_id)
+            for part, texts in text_slices(batch, "text"):
+                ids = encoder(tokenizer_path).encode(texts, end_id)
                 counts = np.array([len(i) // 4 for i in ids], np.int32)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(counts), pa.ListArray.from_arrays(offsets, flat)],
+                    [part.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(offsets, flat)],
                     ["doc_id", "n_tokens", "tokens"])
 
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
