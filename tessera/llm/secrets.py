@@ -42,7 +42,10 @@ MASK = "[SECRET]"
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                path_col: str | None = None) -> DataFrame:
-    """(id, path, start, candidate, before, after) of every candidate; start counts characters from 0."""
+    """(id, path, start, candidate, before, after) of every candidate; start counts characters from 0.
+
+    ``before`` and ``after`` reach no further than the neighbouring candidates.
+    """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = (docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).cast("string").alias("text"))
             .filter(F.col("text").rlike(CANDIDATE)))
