@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_slices
 
 #: Words up to this length are remembered, up to so many at a time.
-WORD_CHARS, WORDS = 32, 3 << 18
+WORD_CHARS, WORDS = 32, 5 << 18
 _TAIL = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}']+)")
 
 
