@@ -1,9 +1,11 @@
 """License scan: known license sentences, then ordered rules over their identifiers.
 
-A text is cut into sentences at line ends and after ``. ! ? ;`` with white space behind.  A
-sentence is normalised (ASCII lower case, everything but letters and digits as one space,
-"licence" as "license", "v2" as "version 2", a copyright line as "copyright notice") and looked
-up among the known sentences.  The identifiers found, in the order of the text, form a sequence;
+A text is normalised: ASCII lower case, everything but letters and digits as one space, "licence"
+as "license", "v2" as "version 2", comment marks and list numbers at the start of lines left out.
+Sentences end at blank lines (also ones of marks only) and after ``. ! ? ;`` with white space
+behind.  A line end may end a sentence, or stand inside a wrapped one as a space: a known sentence
+is found wherever it begins and stops at sentence or line ends, the longest first.  A copyright line
+is "copyright notice".  The identifiers found, in the order of the text, form a sequence;
 the rules are tried in their order, and each takes all places where its identifiers stand next
 to one another out of the sequence.  What no rule takes is reported as unmatched.
 
@@ -53,18 +55,69 @@ SENTENCES = {
     "spdx license identifier mit": "MITref",
     "spdx license identifier apache 2 0": "Apache2ref",
     "spdx license identifier gpl 3 0 only": "GPL3ref",
+    "spdx license identifier gpl 2 0 only": "GPL2ref",
+    "spdx license identifier mpl 2 0": "MPL2ref",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "MITliable",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "Apache2copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "Apache2copy",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "BSDasis",
+    "without even the implied warranty of merchantability or fitness for a particular purpose": "GPLeven",
+    "see the gnu lesser general public license for more details": "LGPLsee",
+    "see the gnu affero general public license for more details": "AGPLsee",
+    # "v. 2.0" ends a sentence behind the v
+    "this source code form is subject to the terms of the mozilla public license v": "MPL2ref",
+    "this source code form is subject to the terms of the mozilla public license version 2 0": "MPL2ref",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "MPL2copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "MPL2copy",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "GPL2only",
+    "either version 2 of the license or at your option any later version": "GNU2later",
+    "either version 2 1 of the license or at your option any later version": "GNU2.1later",
+    "either version 3 of the license or at your option any later version": "GNU3later",
 }
+_GNU = {"GPL": "general", "LGPL": "lesser general", "AGPL": "affero general"}
+for _thing in ("program", "library", "software"):
+    SENTENCES[f"this {_thing} is free software"] = "GNUfree"
+    SENTENCES[f"this {_thing} is distributed in the hope that it will be useful but without any warranty"] = "GPLhope"
+for _short, _long in _GNU.items():
+    _terms = f"you can redistribute it and or modify it under the terms of the gnu {_long} public license as published by the free software foundation"
+    SENTENCES[_terms] = f"{_short}terms"       # the older notice, cut at its semicolons
+    for _thing in ("program", "library", "software"):   # the newer one is one sentence
+        SENTENCES[f"this {_thing} is free software {_terms} either version 3 of the license or at your option any later version"] = f"{_short}3later"
+
+
+def _gnu_rules() -> list[tuple[tuple[str, ...], str]]:
+    """The standard notices, with and without the words on warranty behind them."""
+    rules = []
+    for short, versions in (("GPL", ("2", "3")), ("LGPL", ("2.1", "3")), ("AGPL", ("3",))):
+        heads = [((f"{short}3later",), f"{short}-3.0-or-later")]
+        if short == "GPL":
+            heads += [(("GNUfree", "GPL2only"), "GPL-2.0"), (("GPL2only",), "GPL-2.0")]
+        for version in versions:
+            told = f"{short}-{version if '.' in version else version + '.0'}-or-later"
+            heads += [(("GNUfree", f"{short}terms", f"GNU{version}later"), told), ((f"{short}terms", f"GNU{version}later"), told)]
+        rules += [((*head, *tail), told) for head, told in heads for tail in (("GPLhope", "GPLeven", f"{short}see"), ())]
+    return rules
+
 
 #: Ordered rules: identifiers that stand next to one another, and the license they tell.
 RULES = [
+    (("Copyright", "MITgrant", "MITkeep", "MITasis", "MITliable"), "MIT"),
+    (("MITgrant", "MITkeep", "MITasis", "MITliable"), "MIT"),
     (("Copyright", "MITgrant", "MITkeep", "MITasis"), "MIT"),
     (("MITgrant", "MITkeep", "MITasis"), "MIT"),
     (("MITgrant", "MITkeep"), "MIT"),
+    (("BSDgrant", "BSDsource", "BSDbinary", "BSDname", "BSDasis"), "BSD-3-Clause"),
+    (("BSDgrant", "BSDsource", "BSDbinary", "BSDasis"), "BSD-2-Clause"),
     (("BSDgrant", "BSDsource", "BSDbinary", "BSDname"), "BSD-3-Clause"),
     (("BSDgrant", "BSDsource", "BSDbinary"), "BSD-2-Clause"),
     (("Apache2ref", "Apache2use", "Apache2copy", "Apache2see"), "Apache-2.0"),
     (("Apache2ref", "Apache2use"), "Apache-2.0"),
+    (("GPL3ref", "GPLhope", "GPLeven", "GPLsee"), "GPL-3.0"),
     (("GPL3ref", "GPLhope", "GPLsee"), "GPL-3.0"),
+    *_gnu_rules(),
+    (("MPL2ref", "MPL2copy"), "MPL-2.0"),
+    (("MPL2ref",), "MPL-2.0"),
+    (("MPL2copy",), "MPL-2.0"),
     (("ISCgrant",), "ISC"),
     (("MITref",), "MIT"),
     (("Apache2ref",), "Apache-2.0"),
@@ -79,16 +132,39 @@ RULES = [
     (("AllRights",), "Proprietary"),
 ]
 
-#: Every known sentence has one of these; sentences without any are not normalised.
-ANCHOR = "licen[cs]e|copyright|rights reserved|permission|redistribution|warranty"
+NOTICE = "copyright notice"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def normalised(sentence):
-    """Normal form of one sentence that is in ASCII lower case."""
-    s = F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
-    s = F.regexp_replace(F.regexp_replace(s, "licence", "license"), r"\bv ?([0-9])", "version $1")
-    return F.when(s.rlike("^copyright( c)? [0-9]{4}"), "copyright notice").otherwise(s)
+def anchor(sentences) -> str:
+    """A pattern that the lower-case text of each sentence has: few words, long ones where there are any."""
+    left, words = [set(s.split()) for s in sentences], []
+    while left:
+        # "version" may stand as "v" in a text
+        usable = [{w for w in s if w != "version" and w.isalpha()} for s in left]
+        if not all(usable):
+            return ""
+        usable = [{w for w in s if len(w) > 6} or {max(sorted(s), key=len)} for s in usable]
+        best = max(sorted(set().union(*usable)), key=lambda w: (sum(w in s for s in usable), len(w)))
+        words.append(best)
+        left = [s for s in left if best not in s]
+    return "|".join(w.replace("license", "licen[cs]e") for w in words)
+
+
+#: Every known sentence has one of these; texts without any are not normalised.
+ANCHOR = anchor(SENTENCES)
+
+
+def normalised(lower):
+    """Normal form of a whole text in ASCII lower case: a line end for a line end, ``|`` for a sentence end."""
+    # comment marks that are words or would end a sentence, and list numbers
+    s = F.regexp_replace(F.concat(F.lit("\n\n"), lower, F.lit("\n\n")),
+                         r"\n[ \t]*+(?:;++|!++|rem|dnl)[ \t]++", "\n")
+    s = F.regexp_replace(s, r"(\n[^a-z0-9\n(]{0,8})\(?(?:[0-9]{1,2}|[abd])\)[ \t]+", "$1")
+    s = F.regexp_replace(F.regexp_replace(s, "([.!?;])[ \t\r\n]+", "$1\n\n"), "[^a-z0-9\n]+", " ")
+    s = F.regexp_replace(F.regexp_replace(s, " ?\n ?", "\n"), "\n\n+", "|")
+    s = F.regexp_replace(F.regexp_replace(s, "licence", "license"), r"\bv(?=[0-9])", "version ")
+    return F.regexp_replace(s, r"\bv(?=[ \n][0-9])", "version")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None,
@@ -100,18 +176,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
     sentences, rules = sentences or SENTENCES, RULES if rules is None else rules
     known = F.map_from_arrays(F.array(*map(F.lit, sentences)), F.array(*map(F.lit, sentences.values())))
     lower = docs.select(F.col(id_col).alias("id"), F.translate(F.col(text_col).cast("string"), _UPPER, _LOWER).alias("text"))
-    cut = F.split(F.regexp_replace("text", "([.!?;])[ \t\r\n]+", "$1\n"), "\n", -1)
-    found = (lower.filter(F.col("text").rlike(ANCHOR))
-             .select("id", F.filter(cut, lambda s: s.rlike(ANCHOR)).alias("lines"))
-             .select("id", F.array_compact(F.transform("lines", lambda s: F.try_element_at(known, normalised(s)))).alias("ids"))
+    forms = [s.replace(" ", "[ \n]") for s in sorted(sentences, key=lambda s: (-len(s), s))]
+    year = "copyright(?:[ \n]c)?[ \n][0-9]{4}"
+    if NOTICE in sentences:
+        forms.insert(0, year + "[^\n|]*")
+    found = (lower.filter(F.col("text").rlike(anchor(sentences)))
+             .select("id", F.regexp_extract_all(normalised(F.col("text")), F.lit(f"(?<=[\n|])(?:{'|'.join(forms)})(?=[\n|])"), F.lit(0)).alias("hits"))
+             .select("id", F.array_compact(F.transform("hits", lambda s: F.try_element_at(known, F.when(
+                 s.rlike("^" + year) & F.lit(NOTICE in sentences), F.lit(NOTICE)).otherwise(F.replace(s, F.lit("\n"), F.lit(" ")))))).alias("ids"))
              .filter(F.size("ids") > 0)
-             .select("id", "ids", F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">")).alias("rest"),
-                     F.array().cast("array<string>").alias("hits")))
-    for sequence, license_ in rules:
-        # a place that a rule has taken stays marked, so that no later rule reaches across it
-        mark = "".join(f"<{s}>" for s in sequence)
-        hit = F.when(F.contains("rest", F.lit(mark)), F.array_append("hits", F.lit(license_))).otherwise(F.col("hits"))
-        found = found.select("id", "ids", F.replace("rest", F.lit(mark), F.lit("|")).alias("rest"), hit.alias("hits"))
+             .select("id", "ids", F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">")).alias("rest")))
+    # a place that a rule has taken stays marked, so that no later rule reaches across it
+    steps = F.array(*[F.struct(F.lit("".join(f"<{s}>" for s in sequence)).alias("mark"), F.lit(license_).alias("told"))
+                      for sequence, license_ in rules or [((" ",), "")]])  # a mark that no text has
+    first = F.struct(F.col("rest"), F.array().cast("array<string>").alias("hits"))
+    found = found.select("id", "ids", F.aggregate(steps, first, lambda acc, r: F.when(
+        F.contains(acc["rest"], r["mark"]), F.struct(F.replace(acc["rest"], r["mark"], F.lit("|")).alias("rest"),
+                                                     F.array_append(acc["hits"], r["told"]).alias("hits"))).otherwise(acc)).alias("z"))
+    found = found.select("id", "ids", "z.rest", "z.hits")
     return found.select(
         F.col("id").alias(id_col), F.array_join(F.array_distinct("hits"), ",").alias("licenses"),
         F.array_join("ids", ",").alias("sentence_ids"),

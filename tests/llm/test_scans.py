@@ -111,3 +111,90 @@ def test_licenses_match_brute_force(spark, documents, empty):
 def test_every_known_sentence_has_an_anchor():
     assert all(re.search(L.ANCHOR, s) for s in L.SENTENCES if s != "copyright notice")
     assert {i for sequence, _ in L.RULES for i in sequence} <= set(L.SENTENCES.values())
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Ann Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+(1) Redistributions of source code must retain the above copyright notice,
+    this list of conditions and the following disclaimer.
+(2) Redistributions in binary form must reproduce the above copyright notice,
+    this list of conditions and the following disclaimer in the documentation
+    and/or other materials provided with the distribution."""
+GPL2_TEXT = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+LGPL3_TEXT = """This library is free software: you can redistribute it and/or modify it
+under the terms of the GNU Lesser General Public License as published by the
+Free Software Foundation, either version 3 of the License, or (at your option)
+any later version."""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_licenses(spark):
+    def marked(text, mark):
+        return "\n".join((mark + line).rstrip() for line in text.split("\n"))
+
+    mit, apache = "Copyright,MITgrant,MITkeep,MITasis,MITliable", "Apache2ref,Apache2use,Apache2copy,Apache2see"
+    gpl = "GNUfree,GPLterms,GNU2later,GPLhope,GPLeven,GPLsee"
+    cases = [(MIT_TEXT, "MIT", mit), (MIT_TEXT.replace("\n", "\r\n"), "MIT", mit), (marked(MIT_TEXT, ";; "), "MIT", mit),
+             ("/*\n" + marked(MIT_TEXT, " * ") + "\n */\nint x;", "MIT", mit),
+             (marked(APACHE_TEXT, "# "), "Apache-2.0", apache), (marked(APACHE_TEXT, "rem "), "Apache-2.0", apache),
+             (marked(BSD_TEXT, "// "), "BSD-2-Clause", "BSDgrant,BSDsource,BSDbinary"),
+             (marked(GPL2_TEXT, "dnl "), "GPL-2.0-or-later", gpl), (LGPL3_TEXT, "LGPL-3.0-or-later", "LGPL3later"),
+             (LGPL3_TEXT.replace("Lesser", "Affero").replace("library", "program"), "AGPL-3.0-or-later", "AGPL3later"),
+             (MPL_TEXT, "MPL-2.0", "MPL2ref,MPL2copy"),
+             # a blank line, or a line of marks, ends a sentence
+             ("Licensed under the\n\nMIT License. All rights reserved", "Proprietary", "AllRights"),
+             ("# Licensed under the\n#\n# MIT License. All rights reserved", "Proprietary", "AllRights"),
+             ("Licensed under the Apache\nLicense, v\n2.0", "Apache-2.0", "Apache2ref")]
+    frame = spark.createDataFrame([(n, t) for n, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.sentence_ids, r.unmatched) for r in L.scan(frame).collect()}
+    assert got == {n: (told, ids, "") for n, (_, told, ids) in enumerate(cases)}
+
+
+def test_sentences_given_need_no_known_anchor(spark):
+    frame = spark.createDataFrame([(1, "Do what\nyou like. v2"), (2, "nothing")], "doc_id long, text string")
+    got = L.scan(frame, sentences={"do what you like": "Like", "version 2": "Two"}, rules=[(("Like",), "WTF")]).collect()
+    assert [(r.doc_id, r.licenses, r.sentence_ids) for r in got] == [(1, "WTF", "Like,Two")]
