@@ -198,3 +198,19 @@ def test_sentences_given_need_no_known_anchor(spark):
     frame = spark.createDataFrame([(1, "Do what\nyou like. v2"), (2, "nothing")], "doc_id long, text string")
     got = L.scan(frame, sentences={"do what you like": "Like", "version 2": "Two"}, rules=[(("Like",), "WTF")]).collect()
     assert [(r.doc_id, r.licenses, r.sentence_ids) for r in got] == [(1, "WTF", "Like,Two")]
+
+
+def test_assigned_secrets_are_candidates_and_found(spark, model):
+    cases = [('password = "Summer2024!"', "Summer2024!", "password = \""), ("db_password: hunter2hunter2", "hunter2hunter2", "db_password: "),
+             (f"export API_KEY={KEY}", KEY, "export API_KEY="), (f"export COUNT_OF_ROWS={KEY}", KEY, "export COUNT_OF_ROWS="),
+             ("pwd = 'Horse7!'", "Horse7!", "pwd = '"), ("auth_token=QWxhZGRpbjpvcGVuMTIzNA==", "QWxhZGRpbjpvcGVuMTIzNA==", "auth_token="),
+             ("say QWxhZGRpbjpvcGVuMTIzNA== now", "QWxhZGRpbjpvcGVuMTIzNA==", "say ")]
+    frame = spark.createDataFrame([(n, t) for n, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.id: (r.candidate, r.before) for r in S.candidates(frame).collect()}
+    assert got == {n: c[1:] for n, c in enumerate(cases)}
+    judged = {r.doc_id: r.secret for r in model.findings(frame).collect()}
+    assert [judged[n] for n in (0, 1, 2)] == [1, 1, 1]
+    plain = spark.createDataFrame([(0, 'password: "changeme"'), (1, "the secret: remember the milk"), (2, "short password: abc")], "doc_id long, text string")
+    assert not any(r.secret for r in model.findings(plain).collect())
+    out = {r.text for r in S.redacted(frame.filter("doc_id < 3"), model).collect()}
+    assert out == {f'password = "{S.MASK}"', f"db_password: {S.MASK}", f"export API_KEY={S.MASK}"}
