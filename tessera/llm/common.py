@@ -39,11 +39,11 @@ def fold(id_col: str, mod: int):
     return F.crc32(F.col(id_col).cast("string")) % F.lit(mod)
 
 
-def cut(sizes, limit: int) -> Iterator[tuple[int, int]]:
-    """Row ranges whose sizes add up to about ``limit``, at least one row each."""
+def cut(sizes, limit: int, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges whose sizes add up to about ``limit``, at least one row each and at most ``rows``."""
     start, total = 0, 0
     for i, n in enumerate(sizes):
-        if i > start and total + n > limit:
+        if i > start and (total + n > limit or i - start == rows):
             yield start, i
             start, total = i, 0
         total += n
@@ -56,21 +56,22 @@ def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     yield from cut([len(t) if t else 0 for t in texts], limit)
 
 
-def text_slices(batch: pa.RecordBatch, text_col: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of an Arrow batch with about ``limit`` bytes of text each, and their texts (null stays None).
+def text_slices(batch: pa.RecordBatch, text_col: str, limit: int = CHUNK_BYTES,
+                rows: int | None = None) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of an Arrow batch with about ``limit`` bytes of text and at most ``rows`` rows each, and their texts (null stays None).
 
     Only one slice's texts are Python objects at a time.
     """
     sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
-    for a, b in cut(sizes, limit):
+    for a, b in cut(sizes, limit, rows):
         part = batch.slice(a, b - a)
         yield part, part.column(text_col).to_pylist()
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = CHUNK_BYTES):
+def text_chunks(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = CHUNK_BYTES, rows: int | None = None):
     """``text_slices`` of all batches."""
     for batch in batches:
-        yield from text_slices(batch, text_col, limit)
+        yield from text_slices(batch, text_col, limit, rows)
 
 
 def encoded(text: str | None) -> bytes:
@@ -122,7 +123,7 @@ def ids_of(df: DataFrame, id_col: str, cls: str, per_class: int | dict) -> DataF
 
 
 def scored(df: DataFrame, id_col: str, text_col: str, fields: list[tuple[str, pa.DataType]], kernel,
-           limit: int = CHUNK_BYTES) -> DataFrame:
+           limit: int = CHUNK_BYTES, rows: int | None = None) -> DataFrame:
     """One row for each row of ``df``: its id and what ``kernel(texts)`` returns, a list per field.
 
     Only the id and the text are read; other columns, whatever their names, are left out.
@@ -133,7 +134,7 @@ def scored(df: DataFrame, id_col: str, text_col: str, fields: list[tuple[str, pa
     def run(batches):
         for batch in batches:
             parts = [[pa.array([], t)] for _, t in fields]
-            for _, texts in text_slices(batch, "text", limit):
+            for _, texts in text_slices(batch, "text", limit, rows):
                 for part, values, (_, t) in zip(parts, kernel(texts), fields, strict=True):
                     part.append(pa.array(values, t))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.concat_arrays, parts)], ["id", *names])

@@ -28,6 +28,8 @@ DIMS = 1 << 14
 SIZES = (1, 2, 3)
 UNKNOWN = "und"
 CACHED = 1 << 15
+#: Most rows in one dense table of counts: 8 MB of 64-bit numbers.
+ROWS = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,7 +150,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = training_rows(docs, docs.select(id_col, lang_col), id_col, text_col, lang_col, per_class)
 
     def sparse(batches):
-        for batch, texts in text_chunks(batches, "text", CACHED):
+        for batch, texts in text_chunks(batches, "text", CACHED, ROWS):
             table, _ = counts(texts)
             cols = [np.flatnonzero(r).astype(np.int32) for r in table]
             yield pa.RecordBatch.from_arrays(
@@ -182,4 +184,4 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """(id, lang_pred, score) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS rows, one column a language
     return scored(docs, id_col, text_col, [("lang_pred", pa.string()), ("score", pa.float64())],
-                  lambda texts: shared.value.predict(texts), CACHED)
+                  lambda texts: shared.value.predict(texts), CACHED, ROWS)

@@ -97,3 +97,17 @@ def test_edge_cases(spark, documents, empty):
     got = {(r.doc_id, r.lang_pred) for r in language.identify(documents, language.fit(known)).collect()}
     assert {(3, "und"), (4, "und"), (5, "und")} <= got and all(p in ("aa", "bb", "und") for _, p in got)
     assert language.identify(empty, language.fit(empty)).count() == 0
+
+
+def test_many_short_texts_come_in_small_slices(spark):
+    import pyarrow as pa
+
+    from tessera.llm.common import text_slices
+    texts = ["", "a"] * 5000
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = [t for _, t in text_slices(batch, "text", language.CACHED, language.ROWS)]
+    assert max(map(len, parts)) == language.ROWS and sum(parts, []) == texts
+    model = language.LanguageModel(["x"], np.ones(language.DIMS, np.float32), np.zeros((language.DIMS, 1), np.float32), np.zeros(1, np.float32), 1.0)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = language.identify(frame, model).groupBy("lang_pred").count().collect()
+    assert {(r["lang_pred"], r["count"]) for r in got} == {("und", 5000), ("x", 5000)}
