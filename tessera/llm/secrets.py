@@ -20,7 +20,8 @@ Everything runs in the JVM: regular expressions, higher-order functions, joins a
 Defined cases: a null or empty text has no candidates; a null path counts as empty; repeated
 rows each have their findings; two equal candidates in a text are two findings; a table without
 candidates gives no rows; only the id, text and path columns are read (``redacted`` keeps the
-others); rows without an id are redacted together, by the values found in any of them.
+others); a row is redacted by the values found in it alone, wherever they stand in it, so that rows
+without an id and rows that share one don't touch each other.
 """
 
 from __future__ import annotations
@@ -254,13 +255,19 @@ def seed_findings(spark: SparkSession, dictionary: DataFrame, n: int = 4096) ->
 def redacted(docs: DataFrame, model: SecretModel, id_col: str = "doc_id", text_col: str = "text",
              path_col: str | None = None, length_col: str | None = None) -> DataFrame:
     """``docs`` with every secret replaced by ``MASK``; other columns stay, ``length_col`` is counted anew."""
-    found = model.findings(docs, id_col, text_col, path_col).filter("secret = 1")
-    by_id = found.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("candidate").alias("__found"))
+    path = F.col(path_col).cast("string") if path_col else F.lit("")
+    # rows with equal keys have equal ids, texts and paths, and so equal findings
+    key = F.sha2(F.to_json(F.struct(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), path.alias("p"))), 256)
+    keyed = docs.withColumn("__key", key)
+    found = model.findings(keyed, "__key", text_col, path_col).filter("secret = 1")
+    by_row = found.groupBy(F.col("__key").alias("__row")).agg(F.collect_set("candidate").alias("__found"))
     longest = F.array_sort("__found", lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)),
                                                                F.when(a < b, -1).when(a > b, 1).otherwise(0)))
-    text = F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(
-        F.aggregate(longest, F.col(text_col), lambda t, s: F.replace(t, s, F.lit(MASK))))
-    out = docs.join(by_id, docs[id_col].eqNullSafe(F.col("__id")), "left").withColumn(text_col, text)
+    # one pass, so that nothing is replaced inside a mask
+    any_of = F.array_join(F.transform(longest, lambda s: F.concat(
+        F.lit("\\Q"), F.replace(s, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))), "|")
+    text = F.when(F.col("__found").isNull(), F.col(text_col)).otherwise(F.regexp_replace(F.col(text_col), any_of, F.lit(MASK)))
+    out = keyed.join(by_row, F.col("__key") == F.col("__row"), "left").withColumn(text_col, text)
     if length_col:
         out = out.withColumn(length_col, F.when(F.col("__found").isNull(), F.col(length_col))
                              .otherwise(F.length(text_col).cast(docs.schema[length_col].dataType)))

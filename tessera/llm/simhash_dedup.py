@@ -148,15 +148,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     radius: int = 2) -> DataFrame:
     """(id, fingerprint, component_id) of every row; component_id is the smallest id reachable by links."""
     prints = written(with_fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    # of copies, only (fp, component_id) is joined back: one row for each fingerprint
+    return prints.join(_owners(prints, id_col, radius).drop("root"), "fp").select(
+        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _owners(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint; component_id is null where no row of the component has an id."""
     groups = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
     roots = components(links(groups.select("fp"), radius))
     named = (groups.join(roots, groups.fp == roots.node, "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    # of copies, only (fp, component_id) is joined back: one row for each fingerprint
-    owner = named.join(smallest, "root").select("fp", "component_id")
-    return prints.join(owner, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return named.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -164,9 +168,25 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Rows of ``docs``, all columns: of each component the one with the smallest id.
 
     Of rows that share that id one stays, the first by the hash of its columns.  Rows without an
-    id all stay: nothing tells which of them a decision is about.
+    id stay only in a component where no row has one: of these the first by fingerprint and the
+    hashes of its text and columns.
     """
-    found = written(near_duplicates(docs, id_col, text_col, shingle, radius).select(id_col, "component_id"), "groups")
+    prints = written(with_fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    owners = written(_owners(prints, id_col, radius), "owners")
+    found = prints.join(owners, "fp").select(id_col, "component_id")
+    nameless = docs.filter(F.col(id_col).isNull())
+    if not nameless.isEmpty():
+        whole = with_fingerprints(nameless.select(F.struct(*docs.columns).alias("__row"), text_col), "__row", text_col, shingle)
+        least = F.min_by("__row", F.struct("fp", F.xxhash64(F.col("__row")[text_col]), F.xxhash64("__row")))
+        one = whole.join(owners.filter("component_id IS NULL"), "fp").groupBy("root").agg(least.alias("__row")).select("__row.*")
+        named = first_of_each_id(docs.filter(F.col(id_col).isNotNull()), found, id_col)
+        return named.unionByName(one)
+    return first_of_each_id(docs, found, id_col)
+
+
+def first_of_each_id(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id is their component's in ``found`` (id, component_id), one for each id."""
+    found = written(found, "groups")
     others = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
     if again.isEmpty():

@@ -214,3 +214,12 @@ def test_assigned_secrets_are_candidates_and_found(spark, model):
     assert not any(r.secret for r in model.findings(plain).collect())
     out = {r.text for r in S.redacted(frame.filter("doc_id < 3"), model).collect()}
     assert out == {f'password = "{S.MASK}"', f"db_password: {S.MASK}", f"export API_KEY={S.MASK}"}
+
+
+def test_rows_without_an_id_are_redacted_alone(spark, model):
+    rows = [(None, f'token = "{KEY}"'), (None, f"commit {KEY} done"), (4, f'token = "{KEY}"'), (4, f"commit {KEY} done")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.candidate, r.secret) for r in model.findings(frame).collect()}
+    assert found == {(KEY, 1), (KEY, 0)}
+    got = sorted(((r.doc_id, r.text) for r in S.redacted(frame, model).collect()), key=str)
+    assert got == sorted([(i, t.replace(KEY, S.MASK) if "token" in t else t) for i, t in rows], key=str)

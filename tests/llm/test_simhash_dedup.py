@@ -74,3 +74,10 @@ def test_first_of_each_keeps_columns_and_one_row_a_group(documents, empty):
     ids = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
     assert ids == sorted(set(ids)) and {1, 3, 6, 8, 9} <= set(ids) and not {2, 4, 5} & set(ids)
     assert S.first_of_each(empty).count() == 0 and S.near_duplicates(empty).count() == 0
+
+
+def test_rows_without_an_id_are_decided_by_text(spark):
+    lines = ["one two three four five six seven eight", "red green blue black white brown grey pink", "a b c d e f g h"]
+    rows = [(None, lines[0]), (None, lines[0]), (7, lines[0]), (None, lines[1]), (None, lines[1]), (9, lines[2])]
+    out = S.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(7, lines[0]), (None, lines[1]), (9, lines[2])], key=str)
