@@ -1,4 +1,4 @@
-"""The ten operators bound to the given tables: ``QUERIES`` and, where SQL can tell the rows, ``ORACLES``."""
+"""The operators bound to the given tables: ``QUERIES`` and, where SQL can tell the rows, ``ORACLES``."""
 
 from __future__ import annotations
 
@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, language, licenses, quality, secrets, sentencepiece_stream, simhash_dedup, token_files, topk, toxicity
+from tessera.llm import (byte_bpe, decontaminate, language, licenses, quality, runs, secrets, sentencepiece_stream, simhash_dedup,
+                         token_files, topk, toxicity)
 from tessera.llm.common import fold, shared_path, table, written
 
 #: Files of public tokenizers; the operators take any path.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +111,37 @@ def op10_toxicity(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = toxicity.fit(docs, labels.filter(fold("doc_id", 3) != 1))
     return decided(toxicity.score(docs, model), 0.7, 3, 1)
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark, sf):
+    encoded = byte_bpe.encode(table(spark, sf, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS))
+
+
+def planted_words(docs: DataFrame) -> DataFrame:
+    """doc_id and words; of documents whose id's crc32 divides by 10, the words from some place on repeat the first of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.floor(h / 10) % n
+        p = F.floor((n - a) / (3 + F.floor(h / 10) % 8)) + 1
+        again = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+        return F.when((h % 10 == 0) & (n > 0), again).otherwise(words)
+
+    # the words are worked out once, as the one element of an array
+    return docs.select("doc_id", F.transform(F.array(runs.words_of("text")), repeated)[0].alias("words"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf):
+    found = runs.find_runs(planted_words(table(spark, sf, "documents")))
+    number = lambda c: c.cast("string")
+    listed = F.transform("runs", lambda x: F.concat(number(x["start"]), F.lit(","), number(x["length"]), F.lit(","),
+                                                    number(x["period"]), F.lit("\n")))
+    best = found.withColumn("best", runs.strongest("runs"))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.floor(F.try_divide(F.col("best.length") * 1000, F.col("best.period"))).alias("exponent_milli"),
+                       F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
