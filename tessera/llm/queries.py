@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (byte_bpe, decontaminate, language, licenses, quality, runs, secrets, sentencepiece_stream, simhash_dedup,
+from tessera.llm import (alignment, byte_bpe, decontaminate, language, licenses, quality, runs, secrets, sentencepiece_stream, simhash_dedup,
                          token_files, topk, toxicity)
 from tessera.llm.common import fold, shared_path, table, written
 
@@ -113,6 +113,11 @@ def op10_toxicity(spark, sf):
     return decided(toxicity.score(docs, model), 0.7, 3, 1)
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), BYTE_BPE, PIECES)
+
+
 @query("op12_byte_bpe")
 def op12_byte_bpe(spark, sf):
     encoded = byte_bpe.encode(table(spark, sf, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
