@@ -102,16 +102,23 @@ def blank_lines(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 def pair_relation(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """M9: slope, intercept, R2 and correlation of target on each feature, one pass."""
-    aggs = []
-    for f in features:
-        aggs += [F.regr_slope(target, f).alias(f"{f}__slope"), F.regr_intercept(target, f).alias(f"{f}__intercept"),
-                 F.regr_r2(target, f).alias(f"{f}__r2"), F.corr(f, target).alias(f"{f}__corr")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}__slope").alias("slope"),
-                     F.col(f"{f}__intercept").alias("intercept"), F.col(f"{f}__r2").alias("r2"),
-                     F.col(f"{f}__corr").alias("corr")) for f in features]
-    return wide.select(F.inline(F.array(*rows)))
+    """M9: slope, intercept, R2 and correlation of target on each feature, one pass.
+
+    Each row is unpivoted to its (feature, x, y) and one set of co-moments is kept for a feature; the four
+    statistics are derived from it.  The aggregate stays small however many features there are.  Pairs with a null are left
+    out; slope and intercept are null for a constant feature, R2 is then null too, and 1 for a constant target.
+    """
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"),
+                                                  F.col(target).cast("double").alias("y")) for f in features])))
+    whole = F.col("x").isNotNull() & F.col("y").isNotNull()
+    m = (pairs.select("feature", F.when(whole, F.col("x")).alias("x"), F.when(whole, F.col("y")).alias("y")).groupBy("feature")
+         .agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"),
+              F.covar_pop("x", "y").alias("c")))
+    slope = F.when(F.col("vx") != 0, F.col("c") / F.col("vx"))
+    r2 = F.when(F.col("vx") != 0, F.when(F.col("vy") == 0, 1.0).otherwise(F.col("c") * F.col("c") / (F.col("vx") * F.col("vy"))))
+    corr = F.when((F.col("vx") != 0) & (F.col("vy") != 0), F.col("c") / F.sqrt("vx") / F.sqrt("vy"))
+    return m.select("feature", slope.alias("slope"), (F.col("my") - slope * F.col("mx")).alias("intercept"),
+                    r2.alias("r2"), corr.alias("corr"))
 
 
 def histogram(df: DataFrame, col: str, width: float, origin: float = 0.0) -> DataFrame:

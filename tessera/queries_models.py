@@ -15,6 +15,7 @@ from tessera.operators import features as feat
 from tessera.operators import keys, linalg, models, profile
 from tessera.queries import _duck_md5_unit, query, r
 from tessera.plans.joins import one_row
+from tessera.session import checkpoint_dir
 from tessera.sources.fixtures import Views, duck_with
 from tessera.sources.readers import positional_fields
 
@@ -296,10 +297,62 @@ def _cv(spark, sf, name, made, grid):
     return report(spark, s, "target", [(name, best)])
 
 
-@query("linreg_cv", _PLANT_SPLIT_SQL + _report_sql(["ridge_cv"], "test"))
+_CV_F = ["f1", "f4"]
+
+
+def _cv_sql(values: list[float], best: bool) -> str:
+    """Ridge fits of two features by their normal equations, each on all folds but one, and their error on that fold."""
+    grid = ", ".join(map(str, values))
+    u, cv = _duck_md5_unit("id", 31), _duck_md5_unit("id", 7)
+    out = duck_with("plant") + f""",
+t AS (SELECT f1, f4, target AS y, CAST({cv} % 3 AS INTEGER) AS fold FROM plant WHERE {u} < 3435973836),
+m AS (SELECT k, avg(f1) AS m1, avg(f4) AS m4, avg(y) AS my, var_pop(f1) AS v1, var_pop(f4) AS v4, covar_pop(f1, f4) AS c14,
+             covar_pop(f1, y) AS c1, covar_pop(f4, y) AS c4, stddev_pop(y) AS s
+      FROM t JOIN (SELECT DISTINCT fold AS k FROM t) ON fold <> k GROUP BY k),
+g AS (SELECT *, v1 * (1 + reg / s) AS a, v4 * (1 + reg / s) AS d FROM m, (SELECT unnest([{grid}])::DOUBLE AS reg)),
+w AS (SELECT k, reg, (c1 * d - c4 * c14) / (a * d - c14 * c14) AS w1, (c4 * a - c1 * c14) / (a * d - c14 * c14) AS w4, m1, m4, my FROM g),
+e AS (SELECT k AS fold, reg, sqrt(avg((y - my - w1 * (f1 - m1) - w4 * (f4 - m4)) ** 2)) AS rmse FROM w JOIN t ON fold = k GROUP BY k, reg)
+"""
+    if not best:
+        return out + "SELECT fold, reg, round(rmse, 4) AS rmse FROM e"
+    return out + """, c AS (SELECT reg FROM e GROUP BY reg ORDER BY avg(rmse), reg LIMIT 1)
+SELECT fold, reg, round(rmse, 4) AS rmse, reg = (SELECT reg FROM c) AS chosen FROM e"""
+
+
+def _cv_rows(spark, sf, values):
+    train = models.fold_column(_plant_split(spark, sf).filter("split = 'train'"), "id", 3)
+    return models.ridge_grid_search(train, _CV_F, "target", values)
+
+
+_RIDGES = [i / 100 for i in range(1, 11)]
+
+
+@query("linreg_cv", _cv_sql(_RIDGES, False))
 def linreg_cv(spark, sf):
-    """M6: regParam 0.01..0.10."""
-    return _cv(spark, sf, "ridge_cv", models.linreg_estimator(_PLANT_F, "target"), models.ridge_grid)
+    """M6: the error of each fold and regParam 0.01..0.10 on the training split; 30 fits from one pass."""
+    errors, _, _, _ = _cv_rows(spark, sf, _RIDGES)
+    return spark.createDataFrame([(k, v, round(e, 4)) for k, v, e in errors], "fold int, reg double, rmse double")
+
+
+# penalties of the size of the label, so that the errors differ and one is chosen
+_WIDE_RIDGES = [100.0, 1000.0, 5000.0, 20000.0]
+
+
+@query("ridge_choice", _cv_sql(_WIDE_RIDGES, True))
+def ridge_choice(spark, sf):
+    """M6: as linreg_cv over a wide grid, with the value of least mean error marked."""
+    errors, best, _, _ = _cv_rows(spark, sf, _WIDE_RIDGES)
+    return spark.createDataFrame([(k, v, round(e, 4), v == best) for k, v, e in errors],
+                                 "fold int, reg double, rmse double, chosen boolean")
+
+
+def _cv(spark, sf, name, made, grid):
+    """A 3-fold grid search (folds by key hash) on the training split, reported on the test split."""
+    s = _plant_split(spark, sf)
+    pipe, last = made
+    train = models.fold_column(s.filter("split = 'train'"), "id", 3)
+    best = models.cross_validate(pipe, grid(last), train, "target", "prediction").bestModel
+    return report(spark, s, "target", [(name, best)])
 
 
 def _depths(*depths):
@@ -313,6 +366,40 @@ def tree_cv(spark, sf):
     return _cv(spark, sf, "tree_cv", models.tree_estimator(_PLANT_F, "target"), _depths(2, 3))
 
 
+_TREE_F = ["f1", "f2", "f3"]       # few distinct values: every place between two of them is a threshold
+
+
+def _split_sql(name: str, rows: str) -> str:
+    """The split of a node's rows that lowers the variance most: one row (feature, threshold, gain, n, m, v)."""
+    every = " UNION ALL ".join(f"SELECT {i} AS feature, {f} AS x, y FROM {rows}" for i, f in enumerate(_TREE_F))
+    return f"""
+{name}_t AS (SELECT count(*) AS n, sum(y) AS s, avg(y) AS m, var_pop(y) AS v FROM {rows}),
+{name}_c AS (SELECT feature, x, lead(x) OVER w AS nx, sum(k) OVER w AS nl, sum(s) OVER w AS sl
+             FROM (SELECT feature, x, count(*) AS k, sum(y) AS s FROM ({every}) GROUP BY feature, x)
+             WINDOW w AS (PARTITION BY feature ORDER BY x)),
+{name} AS (SELECT feature, (x + nx) / 2 AS threshold, (sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n) / n AS gain, n, m, v
+           FROM {name}_c, {name}_t WHERE nx IS NOT NULL ORDER BY 3 DESC LIMIT 1)"""
+
+
+_CHOSEN = "CASE root.feature WHEN 0 THEN f1 WHEN 1 THEN f2 ELSE f3 END"
+
+
+@query("tree_nodes", duck_with("plant") + f""",
+t AS (SELECT f1, f2, f3, target AS y FROM plant WHERE {_duck_md5_unit("id", 31)} < 3435973836),{_split_sql("root", "t")},
+tl AS (SELECT t.* FROM t, root WHERE {_CHOSEN} <= threshold), tr AS (SELECT t.* FROM t, root WHERE {_CHOSEN} > threshold),
+{_split_sql("l", "tl")},{_split_sql("r", "tr")}
+SELECT path, feature, round(threshold, 6) AS threshold, round(gain / v, 6) AS gain_share, n AS rows, round(m, 4) AS prediction
+FROM (SELECT '' AS path, * FROM root UNION ALL SELECT 'L', * FROM l UNION ALL SELECT 'R', * FROM r)""")
+def tree_nodes(spark, sf):
+    """M7: the inner nodes of a tree of depth 2 as rows: place, feature, threshold, share of the variance taken away, rows, mean."""
+    train = _plant_split(spark, sf).filter("split = 'train'")
+    pipe, tree = models.tree_estimator(_TREE_F, "target")
+    tree.setMaxDepth(2)
+    nodes = models.tree_nodes(pipe.fit(train).stages[-1]).filter(F.col("feature").isNotNull())
+    return nodes.select("path", "feature", r(F.col("threshold")).alias("threshold"),
+                        r(F.col("gain") / F.col("impurity")).alias("gain_share"), "rows", r(F.col("prediction"), 4).alias("prediction"))
+
+
 @query("forest", _PLANT_SPLIT_SQL + _report_sql(["forest"], "test"))
 def forest(spark, sf):
     """M8: random forest (30 trees, seeded), over its own grid (Q22)."""
@@ -349,18 +436,39 @@ def _mean_report(model, split):
     return per.select("split", "rows", r(F.col("mean")).alias("label_mean"), fits.alias("fits_mean"))
 
 
-@query("gd_linreg", _YEARS_SPLIT_SQL + """
-SELECT 30 AS steps, round(sqrt(avg(y * y)), 6) AS first_rmse, TRUE AS falls FROM parts WHERE split = 'train'""")
+_ELASTIC = (5000.0, 0.2)           # penalty (of the size of the label) and the share of it that is absolute
+
+
+@query("elastic_exact", duck_with("plant") + f""",
+m AS (SELECT avg(f1) AS mx, avg(target) AS my, stddev_pop(f1) AS sx, stddev_pop(target) AS sy, corr(f1, target) AS rho FROM plant),
+w AS (SELECT *, sign(rho) * greatest(abs(rho) - {_ELASTIC[0]} / sy * {_ELASTIC[1]}, 0) / (1 + {_ELASTIC[0]} / sy * {1 - _ELASTIC[1]}) * sy / sx AS slope FROM m)
+SELECT round(slope, 3) AS slope, round(my - slope * mx, 2) AS intercept FROM w""")
+def elastic_exact(spark, sf):
+    """One feature has a closed form, the correlation moved towards 0 by the absolute part and shrunk by the square one."""
+    pipe, _ = models.linreg_estimator(["f1"], "target", reg=_ELASTIC[0], elastic=_ELASTIC[1])
+    fit = pipe.fit(Views(spark, sf).plant.select("f1", "target")).stages[-1]
+    return spark.createDataFrame([(round(float(fit.coefficients[0]), 3), round(float(fit.intercept), 2))], "slope double, intercept double")
+
+
+@query("gd_linreg", "WITH " + f"""e AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, embedding FROM embeddings
+      WHERE {_duck_md5_unit("vec_id", 42)} < 3435973836),
+x AS (SELECT vec_id, y, pos, CAST(embedding[pos] AS DOUBLE) AS v
+      FROM (SELECT vec_id, y, embedding, unnest(range(1, len(embedding) + 1)) AS pos FROM e)),
+g AS (SELECT pos, avg(y * v) AS w FROM x GROUP BY pos),
+p AS (SELECT vec_id, any_value(y) AS y, sum(v * w) AS guess FROM x JOIN g USING (pos) GROUP BY vec_id)
+SELECT 30 AS steps, round(sqrt(avg(y * y)), 6) AS first_rmse, round(sqrt(avg((guess - y) * (guess - y))), 6) AS second_rmse,
+       TRUE AS falls FROM p""")
 def gd_linreg(spark, sf):
-    """30 full-batch gradient steps from zero weights; the error of step 0 is the labels' root mean square."""
+    """30 full-batch gradient steps from zero weights: the error before the first step (the labels' root mean
+    square) and after it (weights: the mean of label times feature)."""
     _, errors = models.gradient_descent(_years_split(spark, sf).filter("split = 'train'"), iters=30)
-    return spark.createDataFrame([(len(errors), round(errors[0], 6), errors[-1] < errors[0])],
-                                 "steps int, first_rmse double, falls boolean")
+    return spark.createDataFrame([(len(errors), round(errors[0], 6), round(errors[1], 6), errors[-1] < errors[0])],
+                                 "steps int, first_rmse double, second_rmse double, falls boolean")
 
 
 # ======================================================== recommendation
 def _ratings_split(spark, sf):
-    rt = models.int_ids(models.mean_pairs(Views(spark, sf).ratings), ["userId", "movieId"])
+    rt = models.mean_pairs(Views(spark, sf).ratings)
     key = F.concat_ws("|", F.col("userId").cast("string"), F.col("movieId").cast("string"))
     return keys.hash_split(rt, key, [0.6, 0.2, 0.2], 59, ["train", "validation", "test"])
 
@@ -394,17 +502,24 @@ SELECT unnest([4, 8, 12]) AS rank, (SELECT count(*) FROM s WHERE split = 'train'
        (SELECT count(*) FROM s v WHERE split = 'validation'
           AND EXISTS (SELECT 1 FROM s t WHERE t.split = 'train' AND t.userId = v.userId)
           AND EXISTS (SELECT 1 FROM s t WHERE t.split = 'train' AND t.movieId = v.movieId)) AS n_scored,
-       1 AS n_chosen, TRUE AS chosen_is_least""")
+       1 AS n_chosen, TRUE AS chosen_is_least, TRUE AS error_bounded""")
 def als_rank(spark, sf):
-    """Ranks by validation RMSE; pairs of an unseen user or item are not scored (cold start)."""
-    s = _ratings_split(spark, sf).persist()
-    train, valid = (s.filter(f"split = '{x}'").drop("split") for x in ("train", "validation"))
+    """Ranks by validation RMSE, over dense ids; pairs of an unseen user or item are not scored (cold start).
+
+    Bounded: no rank errs by more than twice what the training mean does on the same rows.
+    """
+    checkpoint_dir(spark)
+    s = _ratings_split(spark, sf).checkpoint()        # the split is read by every fit and score
+    ids = {c: models.dense_ids(s, c) for c in ("userId", "movieId")}
+    coded = models.with_dense(s, ids).select("split", F.col("userId_dense").alias("userId"), F.col("movieId_dense").alias("movieId"), "rating").persist()
+    train, valid = (coded.filter(f"split = '{x}'").drop("split") for x in ("train", "validation"))
     best, results = models.choose_rank(train, valid, _RANKS)
-    n_train = train.count()
-    rows = [(k, n_train, model.transform(valid).count(), sum(k2 == best[0] for k2, _, _ in results),
-             best[1] == min(e for _, e, _ in results)) for k, _, model in results]
-    s.unpersist()
-    return spark.createDataFrame(rows, "rank int, n_train long, n_scored long, n_chosen int, chosen_is_least boolean")
+    known = one_row(train.agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("mean")))
+    base = one_row(valid.agg(F.sqrt(F.avg((F.col("rating") - F.lit(known["mean"])) ** 2)).alias("rmse")))["rmse"]
+    rows = [(k, known["n"], n, sum(k2 == best[0] for k2, _, _, _ in results), best[1] == min(e for _, e, _, _ in results),
+             e is not None and e <= 2 * base) for k, e, n, _ in results]
+    coded.unpersist()
+    return spark.createDataFrame(rows, "rank int, n_train long, n_scored long, n_chosen int, chosen_is_least boolean, error_bounded boolean")
 
 
 # The new user's own ratings (item id, rating).
@@ -426,15 +541,42 @@ def als_recommend(spark, sf):
 
 
 def recommend_items(spark, sf):
-    """(movieId, title, prediction, count) of the recommended items, best first."""
+    """(movieId, title, prediction, count) of the recommended items, best first: the new user is folded into the fitted factors."""
+    v = Views(spark, sf)
+    pairs = models.mean_pairs(v.ratings)
+    ids = {c: models.dense_ids(pairs, c) for c in ("userId", "movieId")}
+    fitted = models.als(rank=8, user="userId_dense", item="movieId_dense").fit(models.with_dense(pairs, ids))
+    named = ids["movieId"].withColumnRenamed("dense", "id")
+    factors = fitted.itemFactors.join(named, "id").select("movieId", "features")
+    mine = spark.createDataFrame(_MY_RATINGS, "movieId long, rating double")
+    stats = profile.count_and_mean(v.ratings, "movieId", "rating").select("movieId", "count")
+    top = models.recommend_folded(factors, models.fold_in(factors, mine, item="movieId"), mine, stats, _MIN_RATINGS, 20, "movieId")
+    return top.join(v.items.select(F.col("ID").alias("movieId"), "title"), "movieId").orderBy(F.desc("prediction"), "movieId") \
+        .select("movieId", "title", "prediction", "count")
+
+
+_FOLD_REG = 0.1
+
+
+@query("fold_in_scores", duck_with("ratings") + f""",
+f AS (SELECT movieId, count(rating) AS n, avg(rating) / 50 AS a, max(p_retailprice) / 2000 AS b
+      FROM ratings JOIN part ON p_partkey = movieId GROUP BY movieId),
+mine AS (SELECT unnest([{", ".join(str(m) for m, _ in _MY_RATINGS)}]) AS movieId, unnest([{", ".join(str(x) for _, x in _MY_RATINGS)}])::DOUBLE AS r),
+s AS (SELECT sum(a * a) + {_FOLD_REG} * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + {_FOLD_REG} * count(*) AS bb, sum(a * r) AS ar, sum(b * r) AS br
+      FROM mine JOIN f USING (movieId)),
+u AS (SELECT (ar * bb - br * ab) / (aa * bb - ab * ab) AS ua, (br * aa - ar * ab) / (aa * bb - ab * ab) AS ub FROM s)
+SELECT movieId, round(a * ua + b * ub, 6) AS prediction, n AS count FROM f, u
+WHERE n > {_MIN_RATINGS} AND movieId NOT IN (SELECT movieId FROM mine) ORDER BY a * ua + b * ub DESC, movieId LIMIT 20""")
+def fold_in_scores(spark, sf):
+    """Fold-in and top 20 over two-dimensional item factors that SQL can make too (mean rating, price)."""
     v = Views(spark, sf)
-    pairs = models.int_ids(models.mean_pairs(v.ratings), ["userId", "movieId"])
-    new_id = int(one_row(v.ratings.agg(F.max("userId").alias("u")))["u"]) + 1
-    mine = spark.createDataFrame([(new_id, m, x) for m, x in _MY_RATINGS], "userId int, movieId int, rating double")
-    items = models.int_ids(v.items.select(F.col("ID").alias("movieId"), "title"), ["movieId"])
-    stats = models.int_ids(profile.count_and_mean(v.ratings, "movieId", "rating"), ["movieId"])
-    return models.recommend_new_user(lambda: models.als(rank=8), pairs, mine, items, stats, new_id,
-                                     min_count=_MIN_RATINGS).select("movieId", "title", "prediction", "count")
+    per = v.ratings.groupBy("movieId").agg(F.count("rating").alias("count"), (F.avg("rating") / 50).alias("a"))
+    price = v.part.select(F.col("p_partkey").alias("movieId"), (F.col("p_retailprice") / 2000).alias("b"))
+    factors = per.join(price, "movieId").select("movieId", "count", F.array("a", "b").alias("features"))
+    mine = spark.createDataFrame(_MY_RATINGS, "movieId long, rating double")
+    user = models.fold_in(factors.select("movieId", "features"), mine, _FOLD_REG, "movieId")
+    top = models.recommend_folded(factors.select("movieId", "features"), user, mine, factors.select("movieId", "count"), _MIN_RATINGS, 20, "movieId")
+    return top.select("movieId", r(F.col("prediction")).alias("prediction"), "count")
 
 
 # ========================================================= click-rate study
