@@ -30,6 +30,7 @@ its Unicode tables count as neither.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -233,35 +234,44 @@ def split_pattern(pattern: str) -> str:
     return pattern.replace(r"\s", r"\p{IsWhite_Space}").replace(r"\S", r"\P{IsWhite_Space}")
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           ids_col: str = "ids") -> DataFrame:
-    """(id, ids array<int>) of every row, each match of ``pattern`` encoded by the ranks in ``path``."""
+def _folded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
+    """Slices of documents: ids, texts as word numbers, distinct words, and their boundaries."""
     found = F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(split_pattern(pattern)), F.lit(0))
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(found, F.array().cast("array<string>")).alias("words"))
     slices = source.mapInArrow(_numbered, StructType([
         StructField("id", ArrayType(source.schema["id"].dataType)), StructField("texts", ArrayType(ArrayType(IntegerType()))),
         StructField("words", ArrayType(BinaryType()))]))
-    rank_map = tables(path)
-    folded = slices.select("id", "texts", "words", boundaries("words", rank_map).alias("digits"))
+    return slices.select("id", "texts", "words", boundaries("words", tables(path)).alias("digits"))
 
-    def placed(batches):
-        ranks = read_ranks(path)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids, starts = _word_ids(batch.column("words")[row].values, batch.column("digits")[row].values, ranks)
-                texts = batch.column("texts")[row].values
-                at = np.concatenate([[0], np.cumsum(pc.list_value_length(texts).to_numpy())])
-                for a, b in cut(np.diff(at).tolist(), 1 << 18):
-                    words = texts.slice(a, b - a).flatten().to_numpy()
-                    sizes = starts[words + 1] - starts[words]
-                    ends = np.cumsum(sizes)
-                    places = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts[words], sizes)
-                    offsets = np.concatenate([[0], ends])[at[a:b + 1] - at[a]].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([batch.column("id")[row].values.slice(a, b - a),
-                                                      pa.ListArray.from_arrays(offsets, pa.array(ids[places]))], ["id", "ids"])
-
-    schema = StructType([source.schema["id"], StructField("ids", ArrayType(IntegerType()))])
-    return folded.mapInArrow(placed, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})
+
+def _placed(batches: Iterator[pa.RecordBatch], path: str):
+    """(ids, ids of all words, starts of each word's, texts as word numbers) of each slice, some documents at a time."""
+    ranks = read_ranks(path)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            ids, starts = _word_ids(batch.column("words")[row].values, batch.column("digits")[row].values, ranks)
+            texts = batch.column("texts")[row].values
+            for a, b in cut(pc.list_value_length(texts).to_pylist(), 1 << 18):
+                yield batch.column("id")[row].values.slice(a, b - a), ids, starts, texts.slice(a, b - a)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           ids_col: str = "ids") -> DataFrame:
+    """(id, ids array<int>) of every row, each match of ``pattern`` encoded by the ranks in ``path``."""
+    folded = _folded(docs, path, pattern, id_col, text_col)
+
+    def run(batches):
+        for doc, ids, starts, texts in _placed(batches, path):
+            words = texts.flatten().to_numpy()
+            sizes = starts[words + 1] - starts[words]
+            ends = np.cumsum(sizes)
+            places = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts[words], sizes)
+            at = np.concatenate([[0], np.cumsum(pc.list_value_length(texts).to_numpy())])
+            offsets = np.concatenate([[0], ends])[at].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([doc, pa.ListArray.from_arrays(offsets, pa.array(ids[places]))], ["id", "ids"])
+
+    schema = StructType([StructField("id", folded.schema["id"].dataType.elementType), StructField("ids", ArrayType(IntegerType()))])
+    return folded.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, "ids": ids_col})
 
 
 def _pieces(path: str) -> list[bytes]:
@@ -298,24 +308,35 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return source.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, "ids": ids_col, "decoded": out})
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of rows of ``decode``: hex digests of the ids as text, and of the bytes."""
-    import hashlib
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row: its ids as decimal text, and the bytes they decode to.
+
+    As ``encode`` and ``decode``, but the ids' text and bytes are put together word by word, so no
+    row of ids leaves the step that finds them.
+    """
+    folded = _folded(docs, path, pattern, id_col, text_col)
 
     def run(batches):
-        texts: list[str] = []
-        for batch in batches:
-            ids, n = batch.column("ids"), pc.list_value_length(batch.column("ids"))
-            sums = []
-            for row in ids:
-                values = row.values.to_pylist()
-                if values and max(values) >= len(texts):
-                    texts.extend(map(str, range(len(texts), max(values) + 1)))
-                sums.append(hashlib.sha256(" ".join([texts[i] for i in values]).encode()).hexdigest())
-            plain = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column("decoded")]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), n.cast(pa.int64()), pa.array(sums, pa.string()),
-                                              pa.array(plain, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    schema = StructType([decoded.schema[id_col], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
-                         StructField("decoded_sha256", StringType())])
-    return decoded.select(id_col, "ids", "decoded").mapInArrow(run, schema)
+        pieces = _pieces(path)
+        numbers = [f"{i} " for i in range(len(pieces))]
+        last = None
+        for doc, ids, starts, texts in _placed(batches, path):
+            if last is not ids:
+                flat, cuts, last = ids.tolist(), starts.tolist(), ids
+                shown = ["".join([numbers[i] for i in flat[a:b]]) for a, b in zip(cuts, cuts[1:])]
+                spelled = [b"".join([pieces[i] for i in flat[a:b]]) for a, b in zip(cuts, cuts[1:])]
+                sizes = np.diff(starts)
+                flat = None
+            n, ids_sums, sums = [], [], []
+            for text in texts:
+                words = text.values.to_numpy()
+                n.append(int(sizes[words].sum()))
+                listed = words.tolist()
+                ids_sums.append(hashlib.sha256("".join([shown[w] for w in listed])[:-1].encode()).hexdigest())
+                sums.append(hashlib.sha256(b"".join([spelled[w] for w in listed])).hexdigest())
+            yield pa.RecordBatch.from_arrays([doc, pa.array(n, pa.int64()), pa.array(ids_sums, pa.string()), pa.array(sums, pa.string())],
+                                             ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = StructType([StructField("id", folded.schema["id"].dataType.elementType), StructField("n_tokens", LongType()),
+                         StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
+    return folded.mapInArrow(run, schema).withColumnRenamed("id", id_col)

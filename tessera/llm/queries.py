@@ -120,8 +120,7 @@ def op11_token_alignment(spark, sf):
 
 @query("op12_byte_bpe")
 def op12_byte_bpe(spark, sf):
-    encoded = byte_bpe.encode(table(spark, sf, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_RANKS))
+    return byte_bpe.digests(table(spark, sf, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
 def planted_words(docs: DataFrame) -> DataFrame:
