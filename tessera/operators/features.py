@@ -9,10 +9,9 @@ entries, in the JVM; labels and other columns travel with the record.
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from tessera.functions.hashing import digest_bucket
 from tessera.operators.keys import row_index
@@ -121,18 +120,13 @@ def sparsity(encoded: DataFrame, width: int | F.Column, id_col: str = "id") -> D
     return per.agg(F.avg(F.col("__nnz") / w).alias("sparsity"))
 
 
-def sparse_vector(entries: Column, width: int) -> Column:
-    """Sorted (index, weight) entries to an ml sparse vector, without Python.
+def to_vectors(records: DataFrame, width: int, col: str = "entries", out: str = "features") -> DataFrame:
+    """``records`` with the sparse vector of their (index, weight) entries; weights are whole counts.
 
-    Spark has no expression from arrays to a sparse vector; the JSON reader makes one from
-    the vector type's own fields (type 0: sparse; size, indices, values).
+    A count vectoriser over the numbers 0 .. width - 1 as words makes the vectors in the JVM: each entry gives
+    its index as often as it counts.  Records without entries get an all-zero vector.
     """
-    fields = F.struct(F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"),
-                               F.transform(entries, lambda e: e["index"]).alias("indices"),
-                               F.transform(entries, lambda e: e["weight"]).alias("values")).alias("v"))
-    return F.from_json(F.to_json(fields), StructType([StructField("v", VectorUDT())]))["v"]
-
-
-def to_vectors(records: DataFrame, width: int, col: str = "entries", out: str = "features") -> DataFrame:
-    """``records`` with the vector of their entries; records without entries get an all-zero vector."""
-    return records.withColumn(out, sparse_vector(F.col(col), width))
+    words = F.flatten(F.transform(F.coalesce(F.col(col), F.array().cast("array<struct<index:int,weight:double>>")),
+                                  lambda e: F.array_repeat(e["index"].cast("string"), e["weight"].cast("int"))))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(width)], inputCol="__words", outputCol="__vector")
+    return counter.transform(records.withColumn("__words", words)).drop("__words", out).withColumnRenamed("__vector", out)

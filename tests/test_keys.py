@@ -1,6 +1,7 @@
 """Global order without one partition; stable splits and samples."""
 
 import datetime
+import hashlib
 
 import duckdb
 import pytest
@@ -122,3 +123,31 @@ def test_row_index_more_buckets_than_rows(spark):
 def test_running_sums_empty_input(spark):
     df = spark.createDataFrame([], "k long, v long")
     assert keys.running_sums(df, "k", {"cum": "v"}).count() == 0
+
+
+def test_two_levels_of_buckets_give_the_same_order(spark):
+    rows = [(None if i % 29 == 0 else i * 7919 % 501, f"t{i % 17}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k long, t string, i long")
+    for order in (["k", "-t", "i"], ["-k", "i"]):
+        want = df.orderBy(*[F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in order]).collect()
+        got = sorted(keys.row_index(df, order, buckets=120, coarse=8).collect(), key=lambda r: r.idx)
+        assert [r.idx for r in got] == list(range(6000)) and [r.i for r in got] == [r.i for r in want]
+    sums = keys.running_sums(df, ["i"], {"cum": "i"}, buckets=200, coarse=10).orderBy("i").collect()
+    assert [r["cum"] for r in sums] == [i * (i + 1) // 2 for i in range(6000)]
+
+
+def test_the_sample_is_its_share_and_buckets_are_even(spark):
+    df = spark.range(0, 40_000).select((F.col("id") * 7919 % 40_009).alias("k"))
+    assert 300 < keys._sampled(df, [("k", True)], 40_000, 400).count() < 520
+    cuts = keys._cut_points(df, [("k", True)], 10, 40_000)
+    sizes = [r["count"] for r in df.groupBy(keys._bucket(df, [("k", True)], cuts).alias("b")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 4000
+    fine = keys._fine_cuts(df, [("k", True)], 100, 40_000, cuts).collect()
+    assert len(fine) == 10 and all(len(g) <= keys._FAN for r in fine for g in r["__cuts"])
+
+
+def test_sample_exact_takes_the_least_hashes(spark):
+    df = spark.range(0, 3000).withColumnRenamed("id", "key")
+    for n in (0, 1, 37, 3000, 5000):
+        want = sorted(range(3000), key=lambda i: (int(hashlib.md5(f"11:{i}".encode()).hexdigest()[:8], 16), i))[:n]
+        assert sorted(r.key for r in keys.sample_exact(df, "key", n, 11).collect()) == sorted(want)
