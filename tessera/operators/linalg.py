@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -88,7 +89,7 @@ def covariance_matrix(df: DataFrame, col: str, max_dims: int = 4096) -> np.ndarr
 
 
 def pca(df: DataFrame, col: str, k: int = 2):
-    """(components d x k, eigenvalues descending).
+    """(components d x k, all eigenvalues descending), for at most 4,096 dimensions; ``pca_wide`` takes more.
 
     Eigenvector signs are fixed so that each component's largest-magnitude
     entry is positive.
@@ -96,11 +97,67 @@ def pca(df: DataFrame, col: str, k: int = 2):
     cov = covariance_matrix(df, col)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
-    vals, vecs = vals[order], vecs[:, order]
-    for c in range(vecs.shape[1]):
-        if vecs[np.argmax(np.abs(vecs[:, c])), c] < 0:
-            vecs[:, c] = -vecs[:, c]
-    return vecs[:, :k], vals
+    return _fixed_signs(vecs[:, order])[:, :k], vals[order]
+
+
+def _block_product(df: DataFrame, col: str, mu: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, int]:
+    """(sum over rows of x (x . block), rows) of centred rows x: the covariance times a d x l block, times the rows.
+
+    Each partition sends its d x l sum as rows of l numbers; the d x d matrix is never made.
+    """
+    d, width = block.shape
+
+    def partial(batches):
+        total, n = np.zeros((d, width)), 0
+        for batch in batches:
+            x = batch.column(0)
+            x = x.filter(x.is_valid())
+            if len(x):
+                rows = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), d) - mu
+                total += rows.T @ (rows @ block)
+                n += len(x)
+        if n:
+            yield pa.RecordBatch.from_pydict({
+                "j": pa.array(np.arange(d), pa.int32()), "n": pa.array(np.full(d, n), pa.int64()),
+                "v": pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), width).cast(pa.list_(pa.float64()))})
+
+    parts = df.select(as_doubles(df, col).alias("x")).mapInArrow(partial, "j int, n long, v array<double>")
+    summed = parts.groupBy("j").agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[c]).alias(f"v{c}") for c in range(width)]).toArrow()
+    out = np.zeros((d, width))
+    out[np.asarray(summed["j"])] = np.column_stack([np.asarray(summed[f"v{c}"]) for c in range(width)]) if summed.num_rows else 0.0
+    return out, int(summed["n"][0].as_py()) if summed.num_rows else 0
+
+
+def pca_wide(df: DataFrame, col: str, k: int = 2, extra: int = 8, most: int = 60, tol: float = 1e-9, seed: int = 17):
+    """M37 for vectors too wide for a d x d matrix: (components d x k, their eigenvalues), by block power iteration.
+
+    A random block of k + ``extra`` directions is multiplied by the covariance and made orthonormal again, a
+    pass over the rows each, until the k leading eigenvalues and directions stand still (``tol``) or ``most`` passes are
+    done; then the small matrix of the block against itself is diagonalised.  The driver holds d x (k + extra) numbers.
+    """
+    mu = _mean_array(df, col)
+    d = len(mu)
+    width = min(d, k + extra)
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0]
+    last, vals, basis = None, np.zeros(width), q
+    for _ in range(most):
+        y, n = _block_product(df, col, mu, q)
+        y /= max(n, 1)
+        small = q.T @ y
+        vals, turn = np.linalg.eigh((small + small.T) / 2)
+        vals, turn = vals[::-1], turn[:, ::-1]
+        basis = q @ turn
+        lead = basis[:, :k]
+        if width == d or last is not None and np.linalg.norm(lead - last @ (last.T @ lead)) < tol:
+            break
+        last, q = lead, np.linalg.qr(y)[0]
+    return _fixed_signs(basis[:, :k]), vals[:k]
+
+
+def _fixed_signs(vecs: np.ndarray) -> np.ndarray:
+    """Eigenvectors with the largest-magnitude entry of each positive."""
+    peak = vecs[np.argmax(np.abs(vecs), axis=0), np.arange(vecs.shape[1])]
+    return vecs * np.where(peak < 0, -1.0, 1.0)
 
 
 def pca_scores(df: DataFrame, col: str, components: np.ndarray, keep: list[str] | None = None,

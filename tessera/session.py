@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which driver and executors share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"

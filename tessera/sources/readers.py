@@ -38,6 +38,33 @@ def read_tsv_doubles(spark: SparkSession, path: str, names: list[str]) -> DataFr
     return read_csv(spark, path, schema, header=False, sep="\t")
 
 
+#: The column that keeps the text of a line that could not be read as its schema says.
+BAD_LINE = "bad_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: str | T.StructType, header: bool = True, sep: str = ",") -> DataFrame:
+    """As ``read_csv``, and the whole text of each line with an unreadable cell, or with too few or too many
+    cells, in the column ``bad_line`` (null for good lines).  A line is a record; lines equal to the header are left out.
+    """
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    kept = T.StructType([*kind.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = spark.read.text(path)
+    if header:
+        lines = lines.filter(F.col("value") != sep.join(kind.names))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    cells = F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE})
+    return lines.select(cells.alias("cells")).select("cells.*")
+
+
+def good_lines(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
+def bad_lines(checked: DataFrame) -> DataFrame:
+    """(line): the lines that could not be read, as they stand in the file."""
+    return checked.filter(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
+
+
 def labeled_points(lines: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
     """S6: 'label,f1,f2,...' lines to (label double, features vector)."""
     nums = F.transform(F.split(F.col(col), sep), lambda x: F.trim(x).try_cast("double"))
