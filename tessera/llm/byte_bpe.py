@@ -117,32 +117,34 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _numbers(text: Column) -> Column:
+def _numbers(text: Column, kind: str = "bigint") -> Column:
     """An array of numbers from a text, null where it has nothing between blanks."""
-    return F.split(text, " ").try_cast("array<bigint>")
+    return F.split(text, " ").try_cast(f"array<{kind}>")
 
 
-def _literal(values) -> Column:
-    return _numbers(F.lit(" ".join(map(str, values))))
+def _literal(values, kind: str = "bigint") -> Column:
+    return _numbers(F.lit(" ".join(map(str, values))), kind)
 
 
-def _rank(h: Column, ranks: Column) -> Column:
+def _rank(h: Column, ranks: tuple[Column, Column]) -> Column:
     """The rank of the byte string with hash ``h``; anything outside 0 .. 2 ** RANK_BITS - 1, or null, if it has none."""
-    place = F.get(ranks["rows"], F.shiftrightunsigned(h, 64 - ROW_BITS)).bitwiseXOR(h).bitwiseAND((1 << RANK_BITS) - 1)
-    return F.get(ranks["entries"], place).bitwiseXOR(h)
+    rows, entries = ranks
+    place = F.get(rows, F.shiftrightunsigned(h, 64 - ROW_BITS)).bitwiseXOR(h).bitwiseAND((1 << RANK_BITS) - 1)
+    return F.get(entries, place).bitwiseXOR(h)
 
 
 def _ranked(rank: Column) -> Column:
     return F.shiftrightunsigned(rank, RANK_BITS) == 0
 
 
-def _short_word(word: Column, ranks: Column) -> Column:
+def _short_word(word: Column, ranks: tuple[Column, Column]) -> Column:
     """Boundaries of a word of at most SHORT bytes, as digits 0 and 1 from its end to its start.
 
-    Spans are numbers start * 64 + end, in the order of their ends, so those of n bytes are the first n (n - 1) / 2.
+    Spans come in the order of their ends, so those of n bytes are the first n (n - 1) / 2; ``cuts`` has each as
+    (start + 1) * 64 + size, ``codes`` as start * 64 + end.
     """
     spans = [(i, j) for j in range(2, SHORT + 1) for i in range(j - 1)]
-    codes = _literal(i * 64 + j for i, j in spans)
+    codes, cuts = _literal(i * 64 + j for i, j in spans), _literal(((i + 1) * 64 + j - i for i, j in spans), "int")
     by_code = [0] * (64 * 64)
     inner = list(by_code)
     for i, j in spans:
@@ -150,9 +152,8 @@ def _short_word(word: Column, ranks: Column) -> Column:
         inner[i * 64 + j] = -1 ^ ((1 << j) - (1 << (i + 1)))
     ends, kept = _literal(by_code), _literal(inner)
     n = F.length(word)
-    inside = F.slice(codes, F.lit(1), F.shiftright(n * (n - 1), 1))
-    hashes = F.transform(inside, lambda c: F.xxhash64(F.substring(word, F.shiftright(c, 6).cast("int") + 1,
-                                                                  (c.bitwiseAND(63) - F.shiftright(c, 6)).cast("int"))))
+    inside = F.slice(cuts, F.lit(1), F.shiftright(n * (n - 1), 1))
+    hashes = F.transform(inside, lambda c: F.xxhash64(F.substring(word, F.shiftright(c, 6), c.bitwiseAND(63))))
     found = F.transform(F.transform(hashes, lambda h: _rank(h, ranks)),
                         lambda r, i: F.when(_ranked(r), F.shiftleft(r, 12).bitwiseOR(F.get(codes, i))))
 
@@ -164,7 +165,7 @@ def _short_word(word: Column, ranks: Column) -> Column:
     return F.bin(F.aggregate(F.array_sort(F.array_compact(found)), every, join))
 
 
-def _long_word(word: Column, ranks: Column, longest: int) -> Column:
+def _long_word(word: Column, ranks: tuple[Column, Column], longest: int) -> Column:
     """The same for words of any length: the state is the digits themselves."""
     n = F.length(word)
     spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(
@@ -189,11 +190,12 @@ def boundaries(words: str, ranks: RankMap) -> Column:
     def text(numbers):
         return _numbers(F.when(F.col(words).isNotNull(), F.lit(numbers)))
 
-    def of(tables):
-        return F.transform(words, lambda w: F.when(F.length(w) <= SHORT, _short_word(w, tables))
-                           .otherwise(_long_word(w, tables, ranks.longest)))
+    def of(rows, entries):
+        pair = (rows, entries)
+        return F.transform(words, lambda w: F.when(F.length(w) <= SHORT, _short_word(w, pair))
+                           .otherwise(_long_word(w, pair, ranks.longest)))
 
-    return _let(F.struct(text(ranks.rows).alias("rows"), text(ranks.entries).alias("entries")), of)
+    return _let(text(ranks.rows), lambda rows: _let(text(ranks.entries), lambda entries: of(rows, entries)))
 
 
 def _one(values: pa.Array) -> pa.Array:
