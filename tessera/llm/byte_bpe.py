@@ -47,7 +47,7 @@ from tessera.llm.common import cut
 
 #: Words of one slice of documents.
 SLICE_WORDS = 1 << 22
-#: Bits of a rank, of a place in the table, and of a table row; seed of the hash.
+#: Bits of a rank and of a table row; seed of the hash.
 RANK_BITS, ROW_BITS, SEED = 17, 14, 42
 #: Longest word whose boundaries are the bits of one number.
 SHORT = 62
@@ -55,10 +55,12 @@ SHORT = 62
 
 @dataclass(frozen=True)
 class RankMap:
-    """A rank file as two literal arrays (numbers between blanks), and the longest ranked string."""
+    """A rank file as two literal arrays (numbers between blanks), the places of the second (a power of two), and the
+    longest ranked string."""
 
     rows: str
     entries: str
+    places: int
     longest: int
 
 
@@ -79,6 +81,22 @@ def _merged(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def _table(rows: dict[int, list[tuple[int, int]]], size: int) -> tuple[list[int], list[int | None]] | None:
+    """Each row's number and the entries by place, or None if some row finds no number."""
+    moved, entries = [0] * (1 << ROW_BITS), [None] * size
+    for row, keys in sorted(rows.items(), key=lambda r: (-len(r[1]), r[0])):
+        for move in range(size):
+            places = [(h ^ move) & (size - 1) for h, _ in keys]
+            if len(set(places)) == len(places) and all(entries[p] is None for p in places):
+                break
+        else:
+            return None
+        moved[row] = move
+        for p, (h, rank) in zip(places, keys):
+            entries[p] = h ^ rank
+    return moved, entries
+
+
 @lru_cache(maxsize=4)
 def tables(path: str) -> RankMap:
     """The literal map of a rank file's strings of two bytes and more.
@@ -97,19 +115,12 @@ def tables(path: str) -> RankMap:
                 raise ValueError(f"{path}: {token!r} is ranked but its bytes don't merge to it")
             h = xxhash.xxh64_intdigest(token, seed=SEED)
             rows.setdefault(h >> (64 - ROW_BITS), []).append((h, rank))
-    moved, entries = [0] * (1 << ROW_BITS), [None] * size
-    for row, keys in sorted(rows.items(), key=lambda r: (-len(r[1]), r[0])):
-        for move in range(size):
-            places = [(h ^ move) & (size - 1) for h, _ in keys]
-            if len(set(places)) == len(places) and all(entries[p] is None for p in places):
-                break
-        else:
-            raise ValueError(f"{path}: no place for all ranks")
-        moved[row] = move
-        for p, (h, rank) in zip(places, keys):
-            entries[p] = h ^ rank
+    size = 1 << (len(ranks) * 5 // 4).bit_length()
+    while (found := _table(rows, size)) is None:
+        size *= 2
+    moved, entries = found
     texts = ["" if e is None else str((e ^ (1 << 63)) - (1 << 63)) for e in entries]     # signed; nothing for an empty place
-    return RankMap(" ".join(map(str, moved)), " ".join(texts), max(map(len, ranks)))
+    return RankMap(" ".join(map(str, moved)), " ".join(texts), size, max(map(len, ranks)))
 
 
 def _let(value: Column, body) -> Column:
@@ -126,25 +137,34 @@ def _literal(values, kind: str = "bigint") -> Column:
     return _numbers(F.lit(" ".join(map(str, values))), kind)
 
 
-def _rank(h: Column, ranks: tuple[Column, Column]) -> Column:
+@dataclass(frozen=True)
+class _Tables:
+    """What a fold looks things up in, as arrays that are made once for a slice."""
+
+    rows: Column
+    entries: Column
+    cuts: Column      # the spans of a word of n bytes, by n: (start + 1) * 64 + size, in the order of their ends
+    places: int
+    longest: int
+
+
+def _rank(h: Column, t: _Tables) -> Column:
     """The rank of the byte string with hash ``h``; anything outside 0 .. 2 ** RANK_BITS - 1, or null, if it has none."""
-    rows, entries = ranks
-    place = F.get(rows, F.shiftrightunsigned(h, 64 - ROW_BITS)).bitwiseXOR(h).bitwiseAND((1 << RANK_BITS) - 1)
-    return F.get(entries, place).bitwiseXOR(h)
+    place = F.get(t.rows, F.shiftrightunsigned(h, 64 - ROW_BITS)).bitwiseXOR(h).bitwiseAND(t.places - 1)
+    return F.get(t.entries, place).bitwiseXOR(h)
 
 
 def _ranked(rank: Column) -> Column:
     return F.shiftrightunsigned(rank, RANK_BITS) == 0
 
 
-def _short_word(word: Column, ranks: tuple[Column, Column]) -> Column:
+def _short_word(word: Column, ranks: _Tables) -> Column:
     """Boundaries of a word of at most SHORT bytes, as digits 0 and 1 from its end to its start.
 
-    Spans come in the order of their ends, so those of n bytes are the first n (n - 1) / 2; ``cuts`` has each as
-    (start + 1) * 64 + size, ``codes`` as start * 64 + end.
+    Spans come in the order of their ends, so those of a word are the first of all; ``codes`` has each as start * 64 + end.
     """
     spans = [(i, j) for j in range(2, SHORT + 1) for i in range(j - 1)]
-    codes, cuts = _literal(i * 64 + j for i, j in spans), _literal(((i + 1) * 64 + j - i for i, j in spans), "int")
+    codes = _literal(i * 64 + j for i, j in spans)
     by_code = [0] * (64 * 64)
     inner = list(by_code)
     for i, j in spans:
@@ -152,8 +172,7 @@ def _short_word(word: Column, ranks: tuple[Column, Column]) -> Column:
         inner[i * 64 + j] = -1 ^ ((1 << j) - (1 << (i + 1)))
     ends, kept = _literal(by_code), _literal(inner)
     n = F.length(word)
-    inside = F.slice(cuts, F.lit(1), F.shiftright(n * (n - 1), 1))
-    hashes = F.transform(inside, lambda c: F.xxhash64(F.substring(word, F.shiftright(c, 6), c.bitwiseAND(63))))
+    hashes = F.transform(F.get(ranks.cuts, n), lambda c: F.xxhash64(F.substring(word, F.shiftright(c, 6), c.bitwiseAND(63))))
     found = F.transform(F.transform(hashes, lambda h: _rank(h, ranks)),
                         lambda r, i: F.when(_ranked(r), F.shiftleft(r, 12).bitwiseOR(F.get(codes, i))))
 
@@ -165,11 +184,11 @@ def _short_word(word: Column, ranks: tuple[Column, Column]) -> Column:
     return F.bin(F.aggregate(F.array_sort(F.array_compact(found)), every, join))
 
 
-def _long_word(word: Column, ranks: tuple[Column, Column], longest: int) -> Column:
+def _long_word(word: Column, ranks: _Tables) -> Column:
     """The same for words of any length: the state is the digits themselves."""
     n = F.length(word)
     spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(
-        F.sequence(F.lit(2), F.least(F.lit(longest), n - i)), lambda size: F.struct(i.alias("i"), size.alias("n")))))
+        F.sequence(F.lit(2), F.least(F.lit(ranks.longest), n - i)), lambda size: F.struct(i.alias("i"), size.alias("n")))))
     hashed = F.transform(spans, lambda s: F.struct(F.xxhash64(F.substring(word, s["i"] + 1, s["n"])).alias("h"), s["i"].alias("i"), s["n"].alias("n")))
     ranked = F.filter(F.transform(hashed, lambda x: F.struct(_rank(x["h"], ranks).alias("rank"), x["i"].alias("i"), x["n"].alias("n"))),
                       lambda x: _ranked(x["rank"]))
@@ -187,15 +206,17 @@ def boundaries(words: str, ranks: RankMap) -> Column:
     Digits 0 and 1, from the word's end to its start.  The literal texts of the map become arrays
     once for each array of words, so the plan carries two texts and not their many numbers.
     """
-    def text(numbers):
-        return _numbers(F.when(F.col(words).isNotNull(), F.lit(numbers)))
+    def text(literal):
+        return F.when(F.col(words).isNotNull(), F.lit(literal))
+
+    spans = ";".join(" ".join(str((i + 1) * 64 + j - i) for j in range(2, n + 1) for i in range(j - 1)) for n in range(SHORT + 1))
 
-    def of(rows, entries):
-        pair = (rows, entries)
-        return F.transform(words, lambda w: F.when(F.length(w) <= SHORT, _short_word(w, pair))
-                           .otherwise(_long_word(w, pair, ranks.longest)))
+    def of(tables):
+        return F.transform(words, lambda w: F.when(F.length(w) <= SHORT, _short_word(w, tables)).otherwise(_long_word(w, tables)))
 
-    return _let(text(ranks.rows), lambda rows: _let(text(ranks.entries), lambda entries: of(rows, entries)))
+    return _let(_numbers(text(ranks.rows)), lambda rows: _let(_numbers(text(ranks.entries)), lambda entries: _let(
+        F.transform(F.split(text(spans), ";"), lambda of_size: F.array_compact(_numbers(of_size, "int"))),
+        lambda cuts: of(_Tables(rows, entries, cuts, ranks.places, ranks.longest)))))
 
 
 def _one(values: pa.Array) -> pa.Array:
