@@ -4,8 +4,8 @@ Both tokenizers encode space + text.  Byte offsets where tokens of both end cut
 groups; in a group every token of the one (A) is linked with every token of the other (B).  A pair
 of ids counts as often as there are documents that hold it linked.
 
-Method.  Documents get places in containers of at most CONTAINER_DOCS (and about CONTAINER_CHARS
-characters; a longer text has one of its own).  Each slice of texts gives its linked pairs with the places that hold
+Method.  Documents get places in containers of bounded size (``Sizes``; a longer
+text has one of its own).  Each slice of texts gives its linked pairs with the places that hold
 them; slices of one container are OR-merged and every pair's places are kept as a compressed bitmap:
 sorted 16-bit places, or the bits themselves where those are shorter.  How often a place links a
 pair is kept in multiplicity planes: plane k is the bitmap of the places whose multiplicity less 1
@@ -31,6 +31,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,22 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from tessera.llm.common import written
 
-#: Documents and characters of one container, characters of one slice.
-CONTAINER_DOCS, CONTAINER_CHARS, SLICE_CHARS = 4096, 8 << 20, 2 << 20
-_BITMAP = CONTAINER_DOCS // 8
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Documents (a multiple of 8, at most 2^16) and characters of one container, characters of one slice."""
+
+    docs: int = 4096
+    chars: int = 8 << 20
+    slice_chars: int = 2 << 20
+
+    @property
+    def bitmap(self) -> int:
+        """Bytes of a container's places as bits."""
+        return self.docs // 8
+
+
 _STARTS = re.compile(r"(?<=\S)(?= [\s\S])")
 _INNER = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -157,7 +171,7 @@ class Units:
         return ["".join(words[s:e]) for s, e in zip([0, *ends[:-1]], ends)]
 
 
-def _links(units: Units, place: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _links(units: Units, place: np.ndarray, unit: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pair, place, links) for units found at places, by pair and place, each once."""
     n = len(units.n_links)
     held, times = np.unique(place * n + unit, return_counts=True)
@@ -165,20 +179,20 @@ def _links(units: Units, place: np.ndarray, unit: np.ndarray) -> tuple[np.ndarra
     each = units.n_links[unit]
     at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each - units.link_start[unit], each)
     known, number = np.unique(units.pairs, return_inverse=True)             # pairs by their numbers: short keys
-    keys = number[at] * CONTAINER_DOCS + np.repeat(place, each)
+    keys = number[at] * docs + np.repeat(place, each)
     order = np.argsort(keys, kind="stable")
     keys, times = keys[order], np.repeat(times, each)[order]
     first = np.flatnonzero(np.diff(keys, prepend=-1))
     links = np.add.reduceat(times, first) if len(first) else times
     keys = keys[first]
-    return known[keys // CONTAINER_DOCS], (keys % CONTAINER_DOCS).astype(np.int32), links.astype(np.int32)
+    return known[keys // docs], (keys % docs).astype(np.int32), links.astype(np.int32)
 
 
-def _bitmaps(place: np.ndarray, counts: np.ndarray) -> pa.Array:
+def _bitmaps(place: np.ndarray, counts: np.ndarray, bitmap: int) -> pa.Array:
     """Compressed bitmaps of consecutive runs of ascending places, ``counts`` of them each."""
     ends = np.cumsum(counts)
     data, sizes = place.astype("<u2").tobytes(), 2 * counts
-    dense = np.flatnonzero(sizes >= _BITMAP).tolist()   # of equal length the bits, so the length tells which it is
+    dense = np.flatnonzero(sizes >= bitmap).tolist()   # of equal length the bits, so the length tells which it is
     if not dense:
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
@@ -186,23 +200,23 @@ def _bitmaps(place: np.ndarray, counts: np.ndarray) -> pa.Array:
     for k in dense:
         e = int(ends[k])
         s = e - int(counts[k])
-        bits = np.zeros(CONTAINER_DOCS, bool)
+        bits = np.zeros(8 * bitmap, bool)
         bits[place[s:e]] = True
         parts += [data[2 * at:2 * s], np.packbits(bits, bitorder="little").tobytes()]
         at = e
     parts.append(data[2 * at:])
-    offsets = np.concatenate([[0], np.cumsum(np.minimum(sizes, _BITMAP))]).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(np.minimum(sizes, bitmap))]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(parts))])
 
 
-def _places(bitmaps: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _places(bitmaps: pa.Array, bitmap: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of all bitmaps, one behind the other, and each one's popcount."""
     size = pc.binary_length(bitmaps).to_numpy(zero_copy_only=False).astype(np.int64)
     data = np.frombuffer(b"".join(bitmaps.to_pylist()), np.uint8)
-    dense = size == _BITMAP
+    dense = size == bitmap
     counts = size // 2
     ends = np.cumsum(size)
-    for_dense = data[np.repeat(dense, size)].reshape(-1, _BITMAP) if dense.any() else np.zeros((0, _BITMAP), np.uint8)
+    for_dense = data[np.repeat(dense, size)].reshape(-1, bitmap) if dense.any() else np.zeros((0, bitmap), np.uint8)
     counts[dense] = np.bitwise_count(for_dense).sum(axis=1, dtype=np.int64)
     out = np.empty(int(counts.sum()), np.int64)
     is_dense = np.repeat(dense, counts)
@@ -224,16 +238,16 @@ def _or_merged(slices: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple
 class _Container:
     """Documents and linked pairs gathered until the container is full."""
 
-    def __init__(self, number: int):
-        self.number, self.chars = number, 0
+    def __init__(self, number: int, limits: Sizes):
+        self.number, self.chars, self.limits = number, 0, limits
         self.ids: list = []
         self.slices: list[tuple] = []
-        self.counts = np.zeros((CONTAINER_DOCS, len(_COUNTS)), np.int64)
-        self.bad = np.zeros(CONTAINER_DOCS, bool)
+        self.counts = np.zeros((limits.docs, len(_COUNTS)), np.int64)
+        self.bad = np.zeros(limits.docs, bool)
         self.digests: list = []                    # a running sha256 of the groups, None before the first
 
     def full(self, chars: int) -> bool:
-        return len(self.ids) == CONTAINER_DOCS or bool(self.ids) and self.chars + chars > CONTAINER_CHARS
+        return len(self.ids) == self.limits.docs or bool(self.ids) and self.chars + chars > self.limits.chars
 
     def add(self, parts: list[tuple[int, str]], a: TokenizerA, b: TokenizerB) -> None:
         """One slice: parts of texts and the places of their documents."""
@@ -255,7 +269,7 @@ class _Container:
                     self.digests[p].update(b";")
                 self.digests[p].update(text[:-1].encode())
         good = ~self.bad[place]
-        self.slices.append(_links(units, place[good], unit[good]))
+        self.slices.append(_links(units, place[good], unit[good], self.limits.docs))
 
     def batches(self, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         """Rows of documents (plane -1) and of postings (plane 0: places; plane k + 1: bit k of the multiplicity less 1)."""
@@ -279,7 +293,7 @@ class _Container:
         first = np.flatnonzero(np.diff(pair, prepend=-1))
         held = np.diff(first, append=len(pair))
         return self._batch(id_type, np.full(len(first), plane), pair=pa.array(pair[first]), n=pa.array(held.astype(np.int64)),
-                           places=_bitmaps(place, held))
+                           places=_bitmaps(place, held, self.limits.bitmap))
 
     def _batch(self, id_type: pa.DataType, plane: np.ndarray, **columns: pa.Array) -> pa.RecordBatch:
         n = len(plane)
@@ -289,7 +303,8 @@ class _Container:
         return pa.RecordBatch.from_pydict(fixed | {c: columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()})
 
 
-def postings(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def postings(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
+             limits: Sizes = Sizes()) -> DataFrame:
     """Containers as rows: documents (plane -1) with their counts, and each pair's bitmaps, planes 0 and up.
 
     Containers are numbered by partition and order, so write the rows once and read them from there.
@@ -300,7 +315,7 @@ def postings(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
         from pyspark import TaskContext
         a, b = TokenizerA(path_a), TokenizerB(path_b)
         number = TaskContext.get().partitionId() << 32
-        container, waiting, chars = _Container(number), [], 0
+        container, waiting, chars = _Container(number, limits), [], 0
         for batch in batches:
             id_type = batch.schema.field("id").type
             for id_, text in zip(batch.column("id").to_pylist(), batch.column("text")):
@@ -310,13 +325,13 @@ def postings(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
                         container.add(waiting, a, b)
                     yield from container.batches(id_type)
                     number, waiting, chars = number + 1, [], 0
-                    container = _Container(number)
+                    container = _Container(number, limits)
                 place = len(container.ids)
                 container.ids.append(id_)
                 container.digests.append(None)
                 container.chars += len(text)
-                for part in parts_of(text, SLICE_CHARS) if text else ():
-                    if waiting and chars + len(part) > SLICE_CHARS:
+                for part in parts_of(text, limits.slice_chars) if text else ():
+                    if waiting and chars + len(part) > limits.slice_chars:
                         container.add(waiting, a, b)
                         waiting, chars = [], 0
                     waiting.append((place, part))
@@ -348,13 +363,14 @@ def pair_counts(rows: DataFrame) -> DataFrame:
     return ids.withColumn("best", F.col("documents") == F.max("documents").over(Window.partitionBy("id_a")))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
+          limits: Sizes = Sizes()) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row.
 
     ``count_sum`` adds up, over a document's links, how many documents hold the link's pair; ``n_best``
     counts the links whose pair is the most frequent of its A id.
     """
-    rows = written(postings(docs, path_a, path_b, id_col, text_col), "postings")
+    rows = written(postings(docs, path_a, path_b, id_col, text_col, limits), "postings")
     counts = pair_counts(rows).select("pair", "documents", "best")
     held_by = rows.filter(F.col("plane") == 0).select(F.col("container").alias("to"), F.col("pair").alias("p"))
     back = held_by.join(counts, held_by["p"] == counts["pair"]).select("to", "p", "documents", "best")
@@ -365,12 +381,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         mine = held.filter(pa.array(plane == -1)).sort_by("place")
         found = found.sort_by("p")
         pairs, documents, best = (found.column(c).to_numpy() for c in ("p", "documents", "best"))
-        sums = np.zeros((2, CONTAINER_DOCS), np.int64)
+        sums = np.zeros((2, limits.docs), np.int64)
         for k in range(int(plane.max()) + 1):
             maps = held.filter(pa.array(plane == k))
             weight = 1 << max(k - 1, 0)
             for part in maps.to_batches(max_chunksize=1 << 16):
-                places, n = _places(part.column("places"))
+                places, n = _places(part.column("places"), limits.bitmap)
                 at = np.repeat(np.searchsorted(pairs, part.column("pair").to_numpy()), n)
                 np.add.at(sums[0], places, weight * best[at].astype(np.int64))
                 np.add.at(sums[1], places, weight * documents[at])

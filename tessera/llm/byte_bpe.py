@@ -223,10 +223,10 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _numbered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """One row for each slice of documents: their ids, their words as numbers, and the distinct words' bytes."""
     for batch in batches:
-        for a, b in cut(pc.list_value_length(batch.column("words")).to_pylist(), SLICE_WORDS):
+        for a, b in cut(pc.list_value_length(batch.column("words")).to_pylist(), size):
             part = batch.slice(a, b - a)
             lists = part.column("words")
             flat = lists.flatten().dictionary_encode()
@@ -257,11 +257,11 @@ def split_pattern(pattern: str) -> str:
     return pattern.replace(r"\s", r"\p{IsWhite_Space}").replace(r"\S", r"\P{IsWhite_Space}")
 
 
-def _folded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
+def _folded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, slice_words: int) -> DataFrame:
     """Slices of documents: ids, texts as word numbers, distinct words, and their boundaries."""
     found = F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(split_pattern(pattern)), F.lit(0))
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(found, F.array().cast("array<string>")).alias("words"))
-    slices = source.mapInArrow(_numbered, StructType([
+    slices = source.mapInArrow(lambda batches: _numbered(batches, slice_words), StructType([
         StructField("id", ArrayType(source.schema["id"].dataType)), StructField("texts", ArrayType(ArrayType(IntegerType()))),
         StructField("words", ArrayType(BinaryType()))]))
     return slices.select("id", "texts", "words", boundaries("words", tables(path)).alias("digits"))
@@ -279,9 +279,9 @@ def _placed(batches: Iterator[pa.RecordBatch], path: str):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           ids_col: str = "ids") -> DataFrame:
+           ids_col: str = "ids", slice_words: int = SLICE_WORDS) -> DataFrame:
     """(id, ids array<int>) of every row, each match of ``pattern`` encoded by the ranks in ``path``."""
-    folded = _folded(docs, path, pattern, id_col, text_col)
+    folded = _folded(docs, path, pattern, id_col, text_col, slice_words)
 
     def run(batches):
         for doc, ids, starts, texts in _placed(batches, path):
@@ -331,13 +331,14 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return source.mapInArrow(run, schema).withColumnsRenamed({"id": id_col, "ids": ids_col, "decoded": out})
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+            slice_words: int = SLICE_WORDS) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row: its ids as decimal text, and the bytes they decode to.
 
     As ``encode`` and ``decode``, but the ids' text and bytes are put together word by word, so no
     row of ids leaves the step that finds them.
     """
-    folded = _folded(docs, path, pattern, id_col, text_col)
+    folded = _folded(docs, path, pattern, id_col, text_col, slice_words)
 
     def run(batches):
         pieces = _pieces(path)

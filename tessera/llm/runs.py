@@ -102,15 +102,15 @@ def _kept(n: int, start: np.ndarray, length: np.ndarray, period: np.ndarray) ->
     return np.cumsum(edges[:-1]) == 0
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.list_value_length(batch.column("words")).to_pylist()
-        for a, b in cut(sizes, SLICE_WORDS):
+        for a, b in cut(sizes, words):
             yield batch.slice(a, b - a)
 
 
 def find_runs(docs: DataFrame, id_col: str = "doc_id", words_col: str = "words", least_periods: int = 4,
-              least_words: int = 6) -> DataFrame:
+              least_words: int = 6, slice_words: int = SLICE_WORDS) -> DataFrame:
     """(id, n_words, runs, collapsed) of every row: its runs by start, then period, and its words without their repeats.
 
     ``words_col`` is an array of words (``words_of`` a text).  ``collapsed`` joins by one space the
@@ -122,7 +122,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", words_col: str = "words",
     source = docs.select(F.col(id_col).alias("id"), no_nulls.alias("words"))
 
     def run(batches):
-        for part in _slices(batches):
+        for part in _slices(batches, slice_words):
             lists = part.column("words")
             flat = lists.flatten()
             starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
