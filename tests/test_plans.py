@@ -54,6 +54,7 @@ def test_click_fields_are_split_once_and_vectors_stay_in_jvm(spark):
     plan = pi.physical_plan(feat.category_counts(rec))
     assert plan.count("split(") == 1
     vectors = feat.to_vectors(feat.with_hashed(rec, 1 << 15), 1 << 15)
+    assert "from_json" not in pi.physical_plan(vectors)
     assert not pi.runs_python(vectors) and "Exchange" not in pi.physical_plan(vectors.select("features")).split("Join")[0]
 
 
