@@ -7,7 +7,8 @@ behind.  A line end may end a sentence, or stand inside a wrapped one as a space
 is found wherever it begins and stops at sentence or line ends, the longest first.  A copyright line
 is "copyright notice".  The identifiers found, in the order of the text, form a sequence;
 the rules are tried in their order, and each takes all places where its identifiers stand next
-to one another out of the sequence.  What no rule takes is reported as unmatched.
+to one another out of the sequence.  What no rule takes is reported as unmatched.  "All rights reserved" beside
+sentences that a license rule took is the header of that license; only elsewhere does it tell a proprietary text.
 
 The whole scan is one projection per document, without a shuffle, join or Python.
 
@@ -74,6 +75,26 @@ SENTENCES = {
     "either version 2 1 of the license or at your option any later version": "GNU2.1later",
     "either version 3 of the license or at your option any later version": "GNU3later",
 }
+# Identifiers of the SPDX list that a tag line may name, besides those above.
+SPDX = ["GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+        "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "EPL-2.0", "Unlicense",
+        "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Artistic-2.0", "WTFPL", "MIT-0", "Python-2.0", "PostgreSQL"]
+for _id in SPDX:
+    SENTENCES["spdx license identifier " + "".join(c if c.isalnum() else " " for c in _id.lower())] = f"SPDX:{_id}"
+# Sentences of more public licenses, normalised.
+SENTENCES |= {
+    "this is free and unencumbered software released into the public domain": "Unlicense",
+    "distributed under the boost software license version 1 0": "BSL1ref",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0": "EPL2ref",
+    "this software is provided as is without any express or implied warranty": "Zlibasis",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "Zlibgrant",
+    "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "CC0ref",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "CCBYSA4ref",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "CCBYNC4ref",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0BSDgrant",
+    "licensed under the gnu lesser general public license version 2 1": "LGPL2.1ref",
+    "use of this source code is governed by a bsd style license that can be found in the license file": "BSDref",
+}
 _GNU = {"GPL": "general", "LGPL": "lesser general", "AGPL": "affero general"}
 for _thing in ("program", "library", "software"):
     SENTENCES[f"this {_thing} is free software"] = "GNUfree"
@@ -119,6 +140,16 @@ RULES = [
     (("MPL2ref",), "MPL-2.0"),
     (("MPL2copy",), "MPL-2.0"),
     (("ISCgrant",), "ISC"),
+    (("Zlibasis", "Zlibgrant"), "Zlib"),
+    (("Zlibgrant",), "Zlib"),
+    (("Unlicense",), "Unlicense"),
+    (("BSL1ref",), "BSL-1.0"),
+    (("EPL2ref",), "EPL-2.0"),
+    (("CC0ref",), "CC0-1.0"),
+    (("0BSDgrant",), "0BSD"),
+    (("LGPL2.1ref",), "LGPL-2.1"),
+    (("BSDref",), "BSD"),
+    *[((f"SPDX:{i}",), i) for i in SPDX],
     (("MITref",), "MIT"),
     (("Apache2ref",), "Apache-2.0"),
     (("GPL3ref",), "GPL-3.0"),
@@ -132,6 +163,20 @@ RULES = [
     (("AllRights",), "Proprietary"),
 ]
 
+#: What is a license's header where it stands beside sentences that a rule took.
+HEADERS = [("Copyright", "AllRights"), ("AllRights",)]
+
+
+def _steps(rules: list[tuple[tuple[str, ...], str]]) -> list[tuple[str, str]]:
+    """(mark, license) in order; headers go, without a license, before the first rule that takes a header by itself."""
+    def mark(sequence):
+        return "".join(f"<{s}>" for s in sequence)
+
+    own = next((k for k, (sequence, _) in enumerate(rules) if sequence in HEADERS), len(rules))
+    beside = [(m, "") for h in HEADERS for m in (mark(h) + "|", "|" + mark(h))]
+    return [*((mark(q), told) for q, told in rules[:own]), *beside, *((mark(q), told) for q, told in rules[own:])]
+
+
 NOTICE = "copyright notice"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -187,12 +232,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", senten
              .filter(F.size("ids") > 0)
              .select("id", "ids", F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">")).alias("rest")))
     # a place that a rule has taken stays marked, so that no later rule reaches across it
-    steps = F.array(*[F.struct(F.lit("".join(f"<{s}>" for s in sequence)).alias("mark"), F.lit(license_).alias("told"))
-                      for sequence, license_ in rules or [((" ",), "")]])  # a mark that no text has
+    steps = F.array(*[F.struct(F.lit(mark).alias("mark"), F.lit(told).alias("told")) for mark, told in _steps(rules)])
     first = F.struct(F.col("rest"), F.array().cast("array<string>").alias("hits"))
     found = found.select("id", "ids", F.aggregate(steps, first, lambda acc, r: F.when(
         F.contains(acc["rest"], r["mark"]), F.struct(F.replace(acc["rest"], r["mark"], F.lit("|")).alias("rest"),
-                                                     F.array_append(acc["hits"], r["told"]).alias("hits"))).otherwise(acc)).alias("z"))
+                                                     F.when(r["told"] == "", acc["hits"]).otherwise(F.array_append(acc["hits"], r["told"])).alias("hits"))
+        ).otherwise(acc)).alias("z"))
     found = found.select("id", "ids", "z.rest", "z.hits")
     return found.select(
         F.col("id").alias(id_col), F.array_join(F.array_distinct("hits"), ",").alias("licenses"),
@@ -204,10 +249,10 @@ def _oracle() -> str:
     """DuckDB SQL of the same scan over ``documents``."""
     known = ", ".join(f"'{s}': '{i}'" for s, i in SENTENCES.items())
     steps = ["s0 AS (SELECT doc_id, ids, '<' || array_to_string(ids, '><') || '>' AS rest, CAST([] AS VARCHAR[]) AS hits FROM found)"]
-    for n, (sequence, license_) in enumerate(RULES):
-        mark = "".join(f"<{s}>" for s in sequence)
+    marks = _steps(RULES)
+    for n, (mark, license_) in enumerate(marks):
         steps.append(f"s{n + 1} AS MATERIALIZED (SELECT doc_id, ids, replace(rest, '{mark}', '|') AS rest, CASE WHEN contains(rest, '{mark}') "
-                     f"AND NOT list_contains(hits, '{license_}') THEN list_append(hits, '{license_}') ELSE hits END AS hits FROM s{n})")
+                     f"AND '{license_}' <> '' AND NOT list_contains(hits, '{license_}') THEN list_append(hits, '{license_}') ELSE hits END AS hits FROM s{n})")
     return rf"""
 WITH lines AS (
   SELECT doc_id, pos, unnest(l) AS line, unnest(range(len(l))) AS nr FROM (
@@ -225,7 +270,7 @@ found AS (SELECT doc_id, list(id ORDER BY nr) AS ids FROM told WHERE id IS NOT N
 {", ".join(steps)}
 SELECT doc_id, array_to_string(hits, ',') AS licenses, array_to_string(ids, ',') AS sentence_ids,
        trim(regexp_replace(rest, '[<>|]+', ' ', 'g')) AS unmatched, CAST(len(ids) AS BIGINT) AS n_sentences
-FROM s{len(RULES)}"""
+FROM s{len(marks)}"""
 
 
 ORACLE = _oracle()
