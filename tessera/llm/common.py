@@ -126,7 +126,8 @@ def scored(df: DataFrame, id_col: str, text_col: str, fields: list[tuple[str, pa
            limit: int = CHUNK_BYTES, rows: int | None = None) -> DataFrame:
     """One row for each row of ``df``: its id and what ``kernel(texts)`` returns, a list per field.
 
-    Only the id and the text are read; other columns, whatever their names, are left out.
+    Only the id and the text are read; other columns, whatever their names, are left out.  What a task took from
+    the Arrow pool goes back when it ends, so that a worker kept for the next stage holds none of it.
     """
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     names = [n for n, _ in fields]
@@ -138,6 +139,7 @@ def scored(df: DataFrame, id_col: str, text_col: str, fields: list[tuple[str, pa
                 for part, values, (_, t) in zip(parts, kernel(texts), fields, strict=True):
                     part.append(pa.array(values, t))
             yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.concat_arrays, parts)], ["id", *names])
+        pa.default_memory_pool().release_unused()
 
     from pyspark.sql.pandas.types import from_arrow_type
     from pyspark.sql.types import StructField, StructType
@@ -153,6 +155,7 @@ def kept(df: DataFrame, text_col: str, keep, limit: int = CHUNK_BYTES) -> DataFr
             for _, texts in text_slices(batch, text_col, limit):
                 mask.extend(bool(x) for x in keep(texts))
             yield batch.filter(pa.array(mask, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, df.schema)
 
