@@ -1,9 +1,10 @@
 """Evaluation, feature, linear-algebra and model queries.
 
-Registered into ``tessera.queries.QUERIES`` / ``ORACLES``.  SQL can't fit most of the models,
-so those queries return what SQL can tell of them: split sizes, the error of the plain
-mean (or base rate) on the same rows, exact fits where a closed form exists, and whether the
-model does better than the mean.  The models' own figures are held in pytest.
+Registered into ``tessera.queries.QUERIES`` / ``ORACLES``.  Where a model has a closed form for one
+or two features, or its choice can be searched for in SQL (ridge grids, elastic net, polynomials, tree
+splits, fold-in, unpenalised logits, eigenvalues' sums), a query returns the model's own numbers.
+The wider fits return what SQL can tell of them: split sizes, the error of the plain mean (or base rate) on the
+same rows, and whether the model does better.  Their figures are held in pytest.
 """
 
 from __future__ import annotations
@@ -280,7 +281,9 @@ _YEARS_SPLIT_SQL = "WITH " + _duck_split("embeddings", "vec_id", "CAST(label AS
 
 
 def _plant_split(spark, sf):
-    return keys.hash_split(Views(spark, sf).plant, "id", [0.8, 0.2], 31, ["train", "test"])
+    """Written once: fits and reports read it several times."""
+    checkpoint_dir(spark)
+    return keys.hash_split(Views(spark, sf).plant, "id", [0.8, 0.2], 31, ["train", "test"]).checkpoint()
 
 
 def report(spark, split, label: str, fits: list[tuple[str, object]], test: str = "test"):
@@ -434,6 +437,20 @@ def tree_nodes(spark, sf):
                         r(F.col("gain") / F.col("impurity")).alias("gain_share"), "rows", r(F.col("prediction"), 4).alias("prediction"))
 
 
+@query("forest_nodes", duck_with("plant") + f""",
+t AS (SELECT f1, f2, f3, target AS y FROM plant WHERE {_duck_md5_unit("id", 31)} < 3435973836),{_split_sql("root", "t")}
+SELECT tree, feature, round(threshold, 6) AS threshold, round(gain / v, 6) AS gain_share, n AS rows, round(m, 4) AS prediction
+FROM root, (SELECT unnest([0, 1]) AS tree)""")
+def forest_nodes(spark, sf):
+    """M8: the roots of a forest that neither draws rows nor features, so that every tree has the best split."""
+    train = _plant_split(spark, sf).filter("split = 'train'")
+    pipe, wood = models.forest_estimator(_TREE_F, "target", trees=2, depth=2)
+    wood.setFeatureSubsetStrategy("all").setBootstrap(False).setMaxBins(100)
+    nodes = models.tree_nodes(pipe.fit(train).stages[-1]).filter("path = ''")
+    return nodes.select("tree", "feature", r(F.col("threshold")).alias("threshold"),
+                        r(F.col("gain") / F.col("impurity")).alias("gain_share"), "rows", r(F.col("prediction"), 4).alias("prediction"))
+
+
 @query("forest", _PLANT_SPLIT_SQL + _report_sql(["forest"], "test"))
 def forest(spark, sf):
     """M8: random forest (30 trees, seeded), over its own grid (Q22)."""
@@ -470,6 +487,22 @@ def _mean_report(model, split):
     return per.select("split", "rows", r(F.col("mean")).alias("label_mean"), fits.alias("fits_mean"))
 
 
+@query("poly_exact", duck_with("plant") + """,
+p AS (SELECT f1 AS x, f1 * f1 AS z, target AS y FROM plant),
+m AS (SELECT avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) AS vx, var_pop(z) AS vz, covar_pop(x, z) AS c,
+             covar_pop(x, y) AS cx, covar_pop(z, y) AS cz FROM p),
+w AS (SELECT *, (cx * vz - cz * c) / (vx * vz - c * c) AS wx, (cz * vx - cx * c) / (vx * vz - c * c) AS wz FROM m)
+SELECT round(wx, 2) AS linear, round(wz, 4) AS square, round(my - wx * mx - wz * mz, 1) AS intercept FROM w""")
+def poly_exact(spark, sf):
+    """A degree-2 expansion of one feature without a penalty has the closed form of two features."""
+    pipe = models.poly_estimator("target", degree=2, reg=0.0, elastic=0.0)
+    rows = models.assembler(["f1"]).transform(Views(spark, sf).plant.select("f1", "target"))
+    fit = pipe.fit(rows).stages[-1]
+    linear, square = (float(c) for c in fit.coefficients)
+    return spark.createDataFrame([(round(linear, 2), round(square, 4), round(float(fit.intercept), 1))],
+                                 "linear double, square double, intercept double")
+
+
 _ELASTIC = (5000.0, 0.2)           # penalty (of the size of the label) and the share of it that is absolute
 
 
