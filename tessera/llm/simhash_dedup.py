@@ -185,14 +185,17 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def first_of_each_id(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id is their component's in ``found`` (id, component_id), one for each id."""
+    """Rows of ``docs`` whose id is their component's in ``found`` (id, component_id), one for each id.
+
+    The join with the ids to leave out is a sort-merge join at every size, as it has to be at a large one.
+    """
     found = written(found, "groups")
     others = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
     if again.isEmpty():
-        return docs.join(others, id_col, "left_anti").select(docs.columns)
+        return docs.join(others.hint("merge"), id_col, "left_anti").select(docs.columns)
     # rows of repeated ids are ranked; all others pass by one join on the ids
-    firsts = docs.join(others.union(again), id_col, "left_anti")
+    firsts = docs.join(others.union(again).hint("merge"), id_col, "left_anti")
     order = Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns))
     ranked = (docs.join(again.join(others, id_col, "left_anti"), id_col, "left_semi")
               .withColumn("__n", F.row_number().over(order)))
