@@ -37,7 +37,7 @@ def test_stages(spark):
         elif n < 4:
             assert all(after[i] == before[i] for i in after)
         else:
-            codec = sentencepiece_stream.codec(P.PIECES)
+            codec = sentencepiece_stream.Codec(P.PIECES)
             assert all(codec.decode(list(after[i].ids)) == before[i].text for i in after)
             assert all(np.frombuffer(codec.encode(before[i].text), "<u4").tolist() == list(after[i].ids) for i in after)
         docs = out
