@@ -366,6 +366,11 @@ class Codec:
         return self.decode_bytes(np.array(ids, np.int64)).decode("utf-8", "replace")
 
 
+def plain(text: str | None) -> str:
+    """A text as decoding gives it back: null is empty, the escape character a space, what UTF-8 can't hold a question mark."""
+    return (text or "").replace(SPACE, " ").encode("utf-8", "replace").decode("utf-8")
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary for each model and Python worker: its size is the model's."""
@@ -396,7 +401,6 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def kernel(texts):
         c = task.codec
-        c.learn(texts)
         return [[np.frombuffer(c.encode(t), "<u4").astype(np.int32) for t in texts]]
 
     return scored(docs, id_col, text_col, [(ids_col, pa.list_(pa.int32()))], kernel)
@@ -419,19 +423,20 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_crc32, same) of every row: its ids counted and summed, and whether they decode to its text."""
+    """(id, n_tokens, ids_crc32, same, ids, decoded) of every row: its ids, the text they decode to, the count and checksum
+    of those ids, and whether that text is the row's own.
+
+    Every text goes through the stream, which searches each word where it first meets it in a task.
+    """
     task = _Task(model_path)
 
     def kernel(texts):
         c = task.codec
-        c.learn(texts)
-        n, crc, same = [], [], []
-        for t in texts:
-            ids = c.encode(t)
-            n.append(len(ids) // 4)
-            crc.append(zlib.crc32(ids))
-            same.append(c.decode_bytes(np.frombuffer(ids, "<u4").astype(np.int64)) == (t or "").replace(SPACE, " ").encode("utf-8", "replace"))
-        return [n, crc, same]
-
-    return scored(docs, id_col, text_col, [("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("same", pa.bool_())],
-                  kernel, CHUNK_BYTES)
+        codes = [c.encode(t) for t in texts]
+        ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in codes]
+        decoded = [c.decode(i) for i in ids]
+        same = [d == plain(t) for d, t in zip(decoded, texts)]
+        return [[len(i) for i in ids], [zlib.crc32(x) for x in codes], same, ids, decoded]
+
+    return scored(docs, id_col, text_col, [("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("same", pa.bool_()),
+                                           ("ids", pa.list_(pa.int32())), ("decoded", pa.string())], kernel, CHUNK_BYTES)

@@ -1,5 +1,6 @@
 import random
 import struct
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -138,3 +139,26 @@ def test_rows_and_edge_cases(spark, documents, empty, library):
     assert S.encode(empty, MODEL).count() == 0 and S.round_trip(empty, MODEL).count() == 0
     odd = spark.createDataFrame([(1, None), (2, [-5, 999_999, None]), (3, [3 + 0xFF, 3 + 0xC3])], "doc_id long, ids array<int>")
     assert [r.text for r in S.decode(odd, MODEL).orderBy("doc_id").collect()] == ["", "", "��"]
+
+
+def test_round_trip_gives_the_ids_and_the_text_they_decode_to(spark, library):
+    texts = {1: "  The annual report, the report", 2: None, 3: "", 4: "日本 😀 x\x00y", 5: "a▁b", 6: "same same", 7: "same same"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in S.round_trip(docs, MODEL).collect()}
+    for i, t in texts.items():
+        want = library.encode((t or "").replace("▁", " "))
+        assert rows[i].ids == want and rows[i].n_tokens == len(want)
+        assert rows[i].ids_crc32 == zlib.crc32(struct.pack(f"<{len(want)}I", *want))
+        assert rows[i].decoded == (t or "").replace("▁", " ") and rows[i].same
+
+
+def test_words_of_a_table_are_searched_by_the_stream(monkeypatch):
+    searched = []
+    search = S.StreamingViterbi._search
+    monkeypatch.setattr(S.StreamingViterbi, "_search", lambda self, part: searched.append(part) or search(self, part))
+    monkeypatch.setattr(S, "scored", lambda docs, i, t, fields, kernel, limit=0: kernel(["one two one", "two three"]))
+    S.round_trip(None, MODEL)
+    assert searched == ["▁one", "▁two", "▁three"]
+    searched.clear()
+    S.encode(None, MODEL)
+    assert searched == ["▁one", "▁two", "▁three"]
