@@ -14,17 +14,22 @@ def md5_bucket(text: Column, num_buckets: int) -> Column:
 def digest_bucket(digest: Column, num_buckets: int) -> Column:
     """The remainder of a 32-digit hexadecimal number.
 
-    A power of two only needs the last eight digits.  Otherwise the number is read as four
-    32-bit digits, most significant first; the remainder is carried from one to the next,
-    below 2^63 throughout.
+    A power of two only needs the last eight digits.  Otherwise the number is read as two signed
+    64-bit halves; each half's own remainder is taken (2^64 more for a negative one), and the sum of
+    first * 2^64 + second stays below 2^63 in remainders.
     """
     if not 1 <= num_buckets <= 1 << 31:
         raise ValueError("num_buckets must be from 1 to 2^31")
-    rest = F.lit(0).cast("bigint")
-    for start in (25,) if num_buckets & (num_buckets - 1) == 0 else (1, 9, 17, 25):
-        digit = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-        rest = (rest * F.lit(1 << 32) + digit) % F.lit(num_buckets)
-    return rest.cast("int")
+    if num_buckets & (num_buckets - 1) == 0:
+        return (F.conv(F.substring(digest, 25, 8), 16, 10).cast("bigint") % F.lit(num_buckets)).cast("int")
+    span = (1 << 64) % num_buckets
+
+    def half(start: int) -> Column:
+        """A half's remainder, not yet brought below num_buckets: from 1 - num_buckets to 2 * num_buckets."""
+        signed = F.conv(F.substring(digest, start, 16), 16, -10).cast("bigint")
+        return signed % F.lit(num_buckets) + F.when(F.substring(digest, start, 1) >= F.lit("8"), F.lit(span)).otherwise(F.lit(0))
+
+    return F.pmod(half(1) % F.lit(num_buckets) * F.lit(span) + half(17), F.lit(num_buckets)).cast("int")
 
 
 def md5_unit(key: Column, seed: int | str) -> Column:

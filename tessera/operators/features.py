@@ -75,15 +75,16 @@ def with_hashed(records: DataFrame, num_buckets: int = 1 << 15, col: str = "feat
     weight = the record's distinct features in that bucket.
 
     A narrow map, no shuffle: a record's buckets are sorted and the lengths of the runs read
-    off, in steps of their own so that none is computed twice.
+    off, in steps of their own so that none is computed twice.  They are sorted as negative numbers
+    from the greatest down: no comparison is a lambda then, and nulls still come last.
     """
     digests = F.transform(F.array_distinct(F.col(col)), lambda f: F.md5(F.concat(f["value"], F.lit(":"), f["pos"].cast("string"))))
-    rows = records.withColumn("__b", F.array_sort(F.transform(digests, lambda d: digest_bucket(d, num_buckets))))
+    rows = records.withColumn("__b", F.sort_array(F.transform(digests, lambda d: -digest_bucket(d, num_buckets)), asc=False))
     first = F.filter(F.transform("__b", lambda b, i: F.when(
         (i == 0) | (b != F.element_at("__b", F.greatest(i, F.lit(1)))), i)), lambda i: i.isNotNull())
     rows = rows.withColumn("__s", first)   # where each run starts, from 0
     entries = F.transform("__s", lambda i, k: F.struct(
-        F.element_at("__b", i + 1).alias("index"),
+        (-F.element_at("__b", i + 1)).alias("index"),
         (F.coalesce(F.try_element_at("__s", k + 2), F.size("__b")) - i).cast("double").alias("weight")))
     return rows.withColumn(out, entries).drop("__b", "__s")
 

@@ -356,11 +356,11 @@ def recommend_folded(factors: DataFrame, user: np.ndarray, mine: DataFrame, stat
 
 # ---------------------------------------------------------- classification
 
-def logistic_fit(train: DataFrame, reg: float = 0.01, elastic: float = 0.0, iters: int = 20):
-    """M22/M23."""
+def logistic_fit(train: DataFrame, reg: float = 0.01, elastic: float = 0.0, iters: int = 20, weight: str | None = None):
+    """M22/M23.  ``weight``: a column that says how many equal records a row stands for."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=iters, regParam=reg,
                             elasticNetParam=elastic, standardization=False)
-    return lr.fit(train)
+    return (lr.setWeightCol(weight) if weight else lr).fit(train)
 
 
 def add_probability(df: DataFrame, model, bound: float = 20.0) -> DataFrame:

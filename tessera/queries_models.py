@@ -719,12 +719,18 @@ s AS (SELECT string_split(value, chr(9)) AS parts, CAST(string_split(value, chr(
       FROM clicks WHERE {_duck_md5_unit("id", 42)} < 3435973836)
 SELECT parts[{_RATE_POS + 2}] AS value, count(*) AS rows, round(avg(label), 3) AS p FROM s GROUP BY 1""")
 def logit_rates(spark, sf):
-    """One field, no penalty: the fitted probability of a category is its rate among the training rows."""
+    """One field, no penalty: the fitted probability of a category is its rate among the training rows.
+
+    Records that are equal in field and label are one row with their number as its weight, so the fit is the same.  There are at
+    most two such rows for each weight of the model: whatever follows is as large as the model, not as the records.
+    """
     rec = _click_sets(spark, sf).filter("split = 'train'")
     one = rec.withColumn("features", F.filter("features", lambda f: f["pos"] == _RATE_POS))
+    checkpoint_dir(spark)
+    one = one.groupBy("label", "features").agg(F.count(F.lit(1)).alias("records")).checkpoint()
     d = feat.ohe_dictionary(one)
     width = d.count()
     encoded = feat.with_one_hot(one.withColumn("value", F.col("features")[0]["value"]), d, [_RATE_POS]).drop("features")
-    vecs = feat.to_vectors(encoded, width).select("value", "label", "features")
-    fitted = models.add_probability(vecs, models.logistic_fit(vecs, reg=0.0, iters=200))
-    return fitted.groupBy("value").agg(F.count(F.lit(1)).alias("rows"), r(F.avg("p"), 3).alias("p"))
+    vecs = feat.to_vectors(encoded, width).select("value", "label", "records", "features")
+    fitted = models.add_probability(vecs, models.logistic_fit(vecs, reg=0.0, iters=200, weight="records"))
+    return fitted.groupBy("value").agg(F.sum("records").alias("rows"), r(F.sum(F.col("p") * F.col("records")) / F.sum("records"), 3).alias("p"))

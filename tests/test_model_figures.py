@@ -160,3 +160,18 @@ def test_bad_lines_keep_their_text(spark, tmpdir_path):
     assert sorted(r.line for r in readers.bad_lines(checked).collect()) == ["3,cat", "4,dan,1,9", "two,bob,3"]
     assert readers.bad_lines(checked).count() == 3
     assert sorted((r.id, r.name, r.x) for r in readers.good_lines(checked).collect()) == [(1, "ann", 2.5), (5, None, 7.0)]
+
+
+def test_logit_rates_fits_equal_records_as_one_row(spark, monkeypatch):
+    from tessera import queries_models as q
+    seen, fit = [], models.logistic_fit
+    monkeypatch.setattr(models, "logistic_fit", lambda train, **kw: seen.append(train.count()) or fit(train, **kw))
+    records = [(i, f"{int(i % (2 + i % 3) == 0)}\tO\tP{i % 3}\tb\tt\tm") for i in range(600)]
+    frame = spark.createDataFrame(records, "id long, value string")
+    monkeypatch.setattr(q, "_click_records", lambda s, sf: q.positional_fields(frame, keep=["id"]))
+    train = {r.id for r in q._click_sets(spark, "").filter("split = 'train'").select("id").collect()}
+    got = {r.value: (r.rows, r.p) for r in q.logit_rates(spark, "").collect()}
+    for k in range(3):
+        labels = [float(v[0]) for i, v in records if i in train and i % 3 == k]
+        assert got[f"P{k}"][0] == len(labels) and abs(got[f"P{k}"][1] - sum(labels) / len(labels)) < 2e-3
+    assert len(got) == 3 and 3 <= seen[0] <= 6
