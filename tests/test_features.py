@@ -97,3 +97,13 @@ def test_hash_features_counts(spark):
 def test_sparsity(spark):
     enc = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "id long, index int")
     assert feat.sparsity(enc, 4).collect()[0][0] == (2 / 4 + 1 / 4) / 2
+
+
+def test_digest_bucket_reads_two_signed_halves(spark):
+    from tessera.functions.hashing import digest_bucket
+    digests = ["f" * 32, "0" * 32, "8" + "0" * 31, "7" + "f" * 31, "0" * 16 + "8" + "0" * 15, "f" * 16 + "0" * 16, "0" * 16 + "f" * 16]
+    df = spark.createDataFrame([(d,) for d in digests], "d string")
+    for buckets in (3, 1_000_003, (1 << 31) - 1):
+        bucket = digest_bucket(F.col("d"), buckets)
+        assert [r[0] for r in df.select(bucket).collect()] == [int(d, 16) % buckets for d in digests]
+        assert str(bucket).count("conv(") == 2
