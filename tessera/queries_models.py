@@ -17,7 +17,7 @@ from tessera.operators import features as feat
 from tessera.operators import keys, linalg, models, profile
 from tessera.queries import _duck_md5_unit, query, r
 from tessera.plans.joins import one_row
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, written
 from tessera.sources.fixtures import Views, duck_with
 from tessera.sources.readers import positional_fields
 
@@ -609,13 +609,14 @@ def als_recommend(spark, sf):
 def recommend_items(spark, sf):
     """(movieId, title, prediction, count) of the recommended items, best first: the new user is folded into the fitted factors."""
     v = Views(spark, sf)
-    pairs = models.mean_pairs(v.ratings)
+    ratings = written(v.ratings, "ratings")              # read by the pairs and the counts
+    pairs = written(models.mean_pairs(ratings), "pairs")  # read by both tables of ids and the fit
     ids = {c: models.dense_ids(pairs, c) for c in ("userId", "movieId")}
     fitted = models.als(rank=8, user="userId_dense", item="movieId_dense").fit(models.with_dense(pairs, ids))
     named = ids["movieId"].withColumnRenamed("dense", "id")
     factors = fitted.itemFactors.join(named, "id").select("movieId", "features")
     mine = spark.createDataFrame(_MY_RATINGS, "movieId long, rating double")
-    stats = profile.count_and_mean(v.ratings, "movieId", "rating").select("movieId", "count")
+    stats = profile.count_and_mean(ratings, "movieId", "rating").select("movieId", "count")
     top = models.recommend_folded(factors, models.fold_in(factors, mine, item="movieId"), mine, stats, _MIN_RATINGS, 20, "movieId")
     return top.join(v.items.select(F.col("ID").alias("movieId"), "title"), "movieId").orderBy(F.desc("prediction"), "movieId") \
         .select("movieId", "title", "prediction", "count")

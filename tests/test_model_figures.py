@@ -175,3 +175,10 @@ def test_logit_rates_fits_equal_records_as_one_row(spark, monkeypatch):
         labels = [float(v[0]) for i, v in records if i in train and i % 3 == k]
         assert got[f"P{k}"][0] == len(labels) and abs(got[f"P{k}"][1] - sum(labels) / len(labels)) < 2e-3
     assert len(got) == 3 and 3 <= seen[0] <= 6
+
+
+def test_recommended_items_read_the_ratings_once(spark):
+    from conftest import SF0001
+    from tessera import queries_models as q
+    top = q.recommend_items(spark, SF0001)
+    assert "lineitem" not in top._jdf.queryExecution().toString() and top.count() <= 20
