@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +36,23 @@ def digest_bucket(digest: Column, num_buckets: int) -> Column:
     return F.pmod(half(1) % F.lit(num_buckets) * F.lit(span) + half(17), F.lit(num_buckets)).cast("int")
 
 
+def md5_buckets(num_buckets: int) -> Callable[[list[bytes]], np.ndarray]:
+    """``md5_bucket`` for many words within a task: each digest is read as two unsigned 64-bit halves.
+
+    The function returned needs no module of this library where it runs.
+    """
+    if not 1 <= num_buckets <= 1 << 31:
+        raise ValueError("num_buckets must be from 1 to 2^31")
+    span = (1 << 64) % num_buckets
+
+    def buckets(words):
+        digests = b"".join([hashlib.md5(w).digest() for w in words])
+        halves = np.frombuffer(digests, ">u8").astype(np.uint64).reshape(-1, 2) % num_buckets
+        return ((halves[:, 0] * span + halves[:, 1]) % num_buckets).astype(np.int64)
+
+    return buckets
+
+
 def md5_unit(key: Column, seed: int | str) -> Column:
     """A stable pseudo-random integer in [0, 2^32) from seed and key (for splits and samples)."""
     s = F.concat(F.lit(f"{seed}:"), key.cast("string"))

@@ -4,16 +4,19 @@ Records carry ``features: array<struct<pos bigint, value string>>`` (see
 ``sources.readers.positional_fields``).  The one-hot dictionary stays a table
 and encoding is a join: nothing proportional to the vocabulary goes through
 the driver.  Vectors are assembled per record from that record's own few
-entries, in the JVM; labels and other columns travel with the record.
+entries; labels and other columns travel with the record.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import digest_bucket
+from tessera.functions.hashing import md5_buckets
 from tessera.operators.keys import row_index
 from tessera.session import checkpoint_dir
 
@@ -74,19 +77,41 @@ def with_hashed(records: DataFrame, num_buckets: int = 1 << 15, col: str = "feat
     """``records`` with a sorted array of (index, weight): index = md5('value:pos') mod num_buckets,
     weight = the record's distinct features in that bucket.
 
-    A narrow map, no shuffle: a record's buckets are sorted and the lengths of the runs read
-    off, in steps of their own so that none is computed twice.  They are sorted as negative numbers
-    from the greatest down: no comparison is a lambda then, and nulls still come last.
+    A narrow map, no shuffle: Arrow batches of the records' features, each feature of a batch hashed once.
     """
-    digests = F.transform(F.array_distinct(F.col(col)), lambda f: F.md5(F.concat(f["value"], F.lit(":"), f["pos"].cast("string"))))
-    rows = records.withColumn("__b", F.sort_array(F.transform(digests, lambda d: -digest_bucket(d, num_buckets)), asc=False))
-    first = F.filter(F.transform("__b", lambda b, i: F.when(
-        (i == 0) | (b != F.element_at("__b", F.greatest(i, F.lit(1)))), i)), lambda i: i.isNotNull())
-    rows = rows.withColumn("__s", first)   # where each run starts, from 0
-    entries = F.transform("__s", lambda i, k: F.struct(
-        (-F.element_at("__b", i + 1)).alias("index"),
-        (F.coalesce(F.try_element_at("__s", k + 2), F.size("__b")) - i).cast("double").alias("weight")))
-    return rows.withColumn(out, entries).drop("__b", "__s")
+    return records.withColumn(out, _bucket_counts(num_buckets)(F.col(col)))
+
+
+def _bucket_counts(num_buckets: int):
+    """An Arrow function from arrays of (pos, value) to sorted arrays of (index, weight)."""
+    buckets_of = md5_buckets(num_buckets)
+
+    @F.arrow_udf("array<struct<index:int,weight:double>>")
+    def count(records: pa.Array) -> pa.Array:
+        features = records.flatten()
+        value, pos = pc.struct_field(features, "value"), pc.struct_field(features, "pos")
+        digits = pos.cast(value.type)
+        key = pc.binary_join_element_wise(value, digits, ":")
+        # features that lack a part have no bucket; names that no key has keep them apart
+        name = pc.coalesce(key, pc.binary_join_element_wise(value, "", ":"), digits, pc.if_else(features.is_valid(), "f", "n"))
+        coded = name.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        bucket = buckets_of(coded.dictionary.cast(pa.binary()).to_pylist())
+        bucket[codes[pc.is_null(key).to_numpy(zero_copy_only=False)]] = num_buckets
+        # distinct (record, feature) in the order of the buckets, those without one last
+        order = np.argsort(bucket, kind="stable")
+        bucket, place = bucket[order], np.argsort(order)
+        n = max(len(order), 1)
+        held = np.unique(pc.list_parent_indices(records).to_numpy().astype(np.int64) * n + place[codes])
+        row, bucket = held // n, bucket[held % n]
+        first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0) & (bucket < num_buckets))
+        index, weight = bucket[first], np.diff(first, append=len(held)).astype(np.float64)
+        entries = pa.StructArray.from_arrays([pa.array(index.astype(np.int32), mask=index == num_buckets), pa.array(weight)],
+                                             ["index", "weight"])
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(records)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), entries, mask=records.is_null())
+
+    return count
 
 
 def hash_features(records: DataFrame, num_buckets: int = 1 << 15, id_col: str = "id",

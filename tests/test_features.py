@@ -107,3 +107,22 @@ def test_digest_bucket_reads_two_signed_halves(spark):
         bucket = digest_bucket(F.col("d"), buckets)
         assert [r[0] for r in df.select(bucket).collect()] == [int(d, 16) % buckets for d in digests]
         assert str(bucket).count("conv(") == 2
+
+
+def test_hashed_features_by_arrow_batches(spark):
+    from tessera.functions.hashing import md5_buckets
+
+    words = ["", "a:0", "日本:1", *(f"w:{i}" for i in range(50))]
+    for n in (1, 3, 1 << 20, 1_000_003, 1 << 31):
+        want = [int(hashlib.md5(w.encode()).hexdigest(), 16) % n for w in words]
+        assert md5_buckets(n)([w.encode() for w in words]).tolist() == want
+    with pytest.raises(ValueError, match="num_buckets"):
+        feat.with_hashed(spark.createDataFrame(SAMPLES, SCHEMA), 0)
+    rows = [(1, None), (1, [(1, "a:1"), (1, "a"), (1, "a"), (11, "")]), (2, [None, (None, "a"), (3, None), (4, "x")]), (3, [None]), (4, [])]
+    hashed = feat.with_hashed(spark.createDataFrame(rows, SCHEMA), 1 << 31).coalesce(1)
+    plan = hashed._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "Exchange" not in plan
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest(), 16) % (1 << 31)
+    got = [None if r.entries is None else [tuple(e) for e in r.entries] for r in hashed.collect()]
+    # features without a position or value have no bucket and come behind the record's last one
+    assert got == [None, sorted((bucket(w), 1.0) for w in ("a:1:1", "a:1", ":11")), [(bucket("x:4"), 4.0)], [(None, 1.0)], []]
