@@ -40,8 +40,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import CHUNK_BYTES, scored
 
 SPACE = "▁"
-#: Words up to this length are remembered, up to so many bytes of them; joined pairs of pieces that are remembered.
-WORD_CHARS, MEMORY_BYTES, PAIRS = 32, 96 << 20, 1 << 17
+#: Words up to this length are remembered, up to so many bytes of them; joined pairs of pieces that are remembered; steps.
+WORD_CHARS, MEMORY_BYTES, PAIRS, STEPS = 32, 96 << 20, 1 << 17, 1 << 18
+#: The score of a merge that there is not.
+NONE = float("-inf")
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -89,6 +91,27 @@ def _described(model: bytes) -> bool:
     return kind == 1
 
 
+class Place(dict):
+    """What the end of a text says of the pieces there: the longest beginning of a piece that the text ends in.
+
+    By the next character it gives the place behind that; steps are worked out when first taken.
+    """
+
+    __slots__ = ("v", "text", "found")
+
+    def __init__(self, v: Vocabulary, text: str):
+        self.v, self.text = v, text
+        #: (length, piece, its ids, what is known of the pieces before it) of the pieces that end here, the longest first
+        ends = [text[k:] for k in range(len(text)) if text[k:] in v.whole]
+        self.found = tuple((len(p), p, v.code[p], v.joined.setdefault(p, {})) for p in ends)
+
+    def __missing__(self, char: str) -> Place:
+        text = self.text + char
+        while text and text not in self.v.prefixes:
+            text = text[1:]
+        return self.v.step(self, char, text)
+
+
 class Vocabulary:
     """Pieces of a model file: ids, scores and what the search asks of them."""
 
@@ -108,27 +131,59 @@ class Vocabulary:
         self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
         #: No piece holds a space after another character, so words can't share a piece.
         self.words_part = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.joined: dict[tuple[str, str], bool] = {}
-        #: Every end of a piece; true for pieces that the merges can make (others are never part of an encoding).
-        self.ends = {p[k:]: False for p in self.ids for k in range(len(p))}
-        self.ends |= {p: True for p in self.ids if self.unigram or self.merged(p) == [p]}
+        self.joined: dict[str, dict[str, bool]] = {}     # piece to whether it may stand behind another
+        self.pairs = 0
+        self.made: dict[str, list] = {}
+        #: Pieces that the merges can make (others are never part of an encoding).
+        self.whole = {p for p in self.ids if self.unigram or self.merges(p)[0] == [p]}
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         self.code = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
+        self.places: dict[str, Place] = {}
+        self.steps = 0
         self.spelling = [b"" if i in self.control else bytes([self.byte_of[i]]) if i in self.byte_of
                          else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
 
-    def merged(self, text: str) -> list[str]:
-        """Merge neighbours of a short text, best score first, leftmost first."""
-        parts, score = list(text), self.score.get
-        while True:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                s = score(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                return parts
+    def merges(self, text: str) -> tuple[list[str], list[tuple[str, str, float]]]:
+        """Merge neighbours of a short text, best score first, leftmost first.
+
+        Returns the parts at the end and, before each merge, the first part, the last part and the merge's score.
+        """
+        parts, score, steps = list(text), self.score.get, []
+        scores = [score(x + y, NONE) for x, y in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > NONE:
+            at = scores.index(best)
+            steps.append((parts[0], parts[-1], best))
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NONE)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NONE)
+        return parts, steps
+
+    def history(self, piece: str) -> list[tuple[str, str, float]]:
+        """The merges that make a piece, and the piece itself behind them."""
+        if (known := self.made.get(piece)) is None:
+            known = self.made[piece] = [*self.merges(piece)[1], (piece, piece, NONE)]
+        return known
+
+    def apart(self, a: str, b: str) -> bool:
+        """Whether the merges of two pieces' joined text never cross the place between them.
+
+        Until they do, each side merges as it does alone, so the two histories are run through side by side.
+        """
+        left, right, score = iter(self.history(a)), iter(self.history(b)), self.score.get
+        (_, end, next_a), (start, _, next_b) = next(left), next(right)
+        while True:
+            across = score(end + start, NONE)
+            if across > next_a and across >= next_b and across > NONE:      # of equal scores the leftmost merge is done first
+                return False
+            if next_a >= next_b and next_a > NONE:
+                _, end, next_a = next(left)
+            elif next_b > NONE:
+                start, _, next_b = next(right)
+            else:
+                return True
 
     def outside(self, char: str) -> bytes:
         """Ids of a character that the vocabulary lacks."""
@@ -137,13 +192,32 @@ class Vocabulary:
 
     def follows(self, a: str, b: str) -> bool:
         """Whether piece b may stand right after piece a."""
-        key = (a, b)
-        if (known := self.joined.get(key)) is None:
-            if len(self.joined) >= PAIRS:
-                self.joined.clear()
-            known = self.joined[key] = self.merged(a + b) == [a, b]
+        if (known := self.joined.setdefault(b, {}).get(a)) is None:
+            if self.pairs >= PAIRS:
+                self.pairs = 0
+                for before in self.joined.values():      # places hold these tables, so they stay
+                    before.clear()
+            self.pairs += 1
+            known = self.joined[b][a] = self.apart(a, b)
         return known
 
+    def place(self, text: str) -> Place:
+        """The place behind a beginning of a piece."""
+        if (found := self.places.get(text)) is None:
+            found = self.places[text] = Place(self, text)
+        return found
+
+    def step(self, start: Place, char: str, text: str) -> Place:
+        """Remember a step between places, up to STEPS of them."""
+        if self.steps >= STEPS:
+            self.steps = 0
+            for place in self.places.values():           # a place that a stream stands at goes on from there
+                place.clear()
+            self.places.clear()
+        self.steps += 1
+        start[char] = found = self.place(text)
+        return found
+
 
 class Memory(dict):
     """Ids of words (without the space before them), all forgotten when they take more than MEMORY_BYTES."""
@@ -179,61 +253,65 @@ class StreamingViterbi:
     def _start(self) -> None:
         self.before = ""               # the piece that ends at the last committed boundary
         self.text = ""                 # the window: all characters after that boundary
+        self.place = self.v.place("")  # the pieces at its end
         self.last: list[str] = [""]    # the piece that ends at each position of the window on its surviving path
-        self.codes: list[bytes] = [b""]  # the ids of that path, from the boundary on
-        self.best: list[float] = [0.0]   # its score from the boundary on (unigram)
+        self.codes: list[bytes] = [b""]  # the ids of that piece
+        self.best: list[float] = [0.0]   # the path's score from the boundary on (unigram)
+
+    def ids(self, at: int) -> bytes:
+        """The ids of the surviving path from the boundary to a position."""
+        last, codes, out = self.last, self.codes, []
+        while at:
+            out.append(codes[at])
+            at -= len(last[at])
+        return b"".join(out[::-1])
 
     def advance(self) -> None:
         """Find the piece that ends at each position not yet reached."""
         if self.v.unigram:
             return self._advance_by_score()
-        v, text, last, codes = self.v, self.text, self.last, self.codes
-        known, joined, code, longest = v.ends.get, v.joined.get, v.code, v.longest
-        for end in range(len(last), len(text) + 1):
-            found = []  # starts of the pieces that end here, the longest last
-            for start in range(end - 1, max(end - longest, 0) - 1, -1):
-                if (whole := known(text[start:end])) is None:
-                    break
-                if whole:
-                    found.append(start)
-            while found:
-                start = found.pop()
-                piece = text[start:end]
-                left = last[start] if start else self.before
-                fits = joined((left, piece))
-                if fits if fits is not None else left not in code or v.follows(left, piece):
+        v, place, last, codes = self.v, self.place, self.last, self.codes
+        known, follows = v.code, v.follows
+        end = len(last)
+        for char in self.text[end - 1:]:
+            place = place[char]
+            for size, piece, code, before in place.found:
+                left = last[-size] if size < end else self.before
+                fits = before.get(left)
+                if fits if fits is not None else left not in known or follows(left, piece):
                     last.append(piece)
-                    codes.append(codes[start] + code[piece])
+                    codes.append(code)
                     break
             else:
                 self._outside(end)
+            end += 1
+        self.place = place
 
     def _outside(self, end: int) -> None:
         """The last character is in no piece that may stand here."""
         char, left = self.text[end - 1], self.last[end - 1] if end > 1 else self.before
         again = not self.v.bytes and left and left not in self.v.code      # a run of unknown characters has one id
         self.last.append(char)
-        self.codes.append(self.codes[end - 1] + (b"" if again else self.v.outside(char)))
+        self.codes.append(b"" if again else self.v.outside(char))
 
     def _advance_by_score(self) -> None:
-        v, text, last, codes, best = self.v, self.text, self.last, self.codes, self.best
-        known, score = v.ends.get, v.score
+        v, text, place, last, codes, best = self.v, self.text, self.place, self.last, self.codes, self.best
+        score = v.score
         for end in range(len(last), len(text) + 1):
-            top, at = None, end - 1
-            for start in range(end - 1, max(end - v.longest, 0) - 1, -1):
-                piece = text[start:end]
-                if (whole := known(piece)) is None:
-                    break
+            place = place[text[end - 1]]
+            top = at = chosen = None
+            for size, piece, code, _ in place.found:
                 # of equal sums the longer last piece stands
-                if whole and (top is None or best[start] + score[piece] >= top):
-                    top, at = best[start] + score[piece], start
+                if top is None or best[end - size] + score[piece] > top:
+                    top, at, chosen = best[end - size] + score[piece], piece, code
             if text[end - 1] not in score and (top is None or best[end - 1] + v.unknown_score > top):
                 best.append(best[end - 1] + v.unknown_score)
                 self._outside(end)
             else:
                 best.append(top)
-                last.append(text[at:end])
-                codes.append(codes[at] + v.code[text[at:end]])
+                last.append(at)
+                codes.append(chosen)
+        self.place = place
 
     def _commit(self) -> bytes:
         """Commit up to the last boundary that the paths of all alive positions share."""
@@ -247,18 +325,23 @@ class StreamingViterbi:
                 bounds.add(at)
             shared = bounds if shared is None else shared & bounds
         cut = max(shared)
-        done = self.codes[cut]
+        done = self.ids(cut)
         if cut:
             self.commits += 1
             self.before, self.text = self.last[cut], self.text[cut:]
             self.last = [""] + self.last[cut + 1:]
-            self.codes = [b""] + [c[len(done):] for c in self.codes[cut + 1:]]
+            self.codes = [b""] + self.codes[cut + 1:]
             self.best = [0.0] + [x - self.best[cut] for x in self.best[cut + 1:]] if self.v.unigram else self.best
         return done
 
     def _search(self, part: str) -> list[bytes]:
         """Move the window over a part of a text; what becomes certain on the way."""
         out, step = [], 2 * self.v.longest
+        if not self.text and len(part) <= step:          # a short word: nothing can become certain on the way
+            self.text = part
+            self.advance()
+            self.most = max(self.most, len(part))
+            return out
         for at in range(0, len(part), step):
             self.text += part[at:at + step]
             self.advance()
@@ -269,7 +352,8 @@ class StreamingViterbi:
 
     def _word(self, word: str) -> bytes:
         """The ids of a word and the space before it: the paths meet before and behind both."""
-        out = b"".join(self._search(SPACE + word)) + self.codes[-1]
+        sure = self._search(SPACE + word)
+        out = b"".join([*sure, self.ids(len(self.text))])
         self._start()
         self.memory.keep(word, out)
         return out
@@ -282,7 +366,7 @@ class StreamingViterbi:
             if cut < 0:
                 return b"".join(self._search(part))
             out = self._search(part[:cut])
-            out.append(self.codes[-1])
+            out.append(self.ids(len(self.text)))
             self.commits += 1
             self._start()
             return b"".join(out) + self.feed(part[cut:])
@@ -303,7 +387,7 @@ class StreamingViterbi:
     def end(self) -> bytes:
         held, self.held = self.held, ""
         if self.text:
-            out = b"".join(self._search(held)) + self.codes[-1]
+            out = b"".join(self._search(held)) + self.ids(len(self.text))
             self._start()
             return out
         return (self.memory.get(held[1:]) or self._word(held[1:])) if held else b""
@@ -333,7 +417,7 @@ class Codec:
         new = sorted(w for w in every.difference(memory) if 0 < len(w) <= WORD_CHARS)
         memory.taken(400 * len(new))                     # a word and its ids, with room to spare
         stream = StreamingViterbi(self.v, memory)
-        last, codes, best, advance = stream.last, stream.codes, stream.best, stream.advance
+        last, codes, best = stream.last, stream.codes, stream.best
         before = ""
         for word in new:
             shared = 0
@@ -343,8 +427,11 @@ class Codec:
                 shared += 1
             stream.text = SPACE + word
             del last[shared + 2:], codes[shared + 2:], best[shared + 2:]
-            advance()
-            memory[word] = codes[-1]
+            stream.place = self.v.place("")
+            for char in stream.text[:len(last) - 1]:
+                stream.place = stream.place[char]
+            stream.advance()
+            memory[word] = stream.ids(len(stream.text))
             before = word
 
     def encode(self, text: str | None) -> bytes:

@@ -162,3 +162,33 @@ def test_words_of_a_table_are_searched_by_the_stream(monkeypatch):
     searched.clear()
     S.encode(None, MODEL)
     assert searched == ["▁one", "▁two", "▁three"]
+
+
+def test_pieces_apart_by_their_histories():
+    """Two pieces may be neighbours when the merges of their joined text give just the two; each place knows all pieces that end there."""
+    v = S.Vocabulary(MODEL)
+    rng, pieces = random.Random(5), sorted(v.whole)
+    seen = set()
+    for p in rng.sample([p for p in pieces if len(p) > 2], 1500):
+        k = rng.randint(1, len(p) - 1)
+        for a, b in ((p[:k], p[k:]), (p, rng.choice(pieces))):
+            if a in v.whole and b in v.whole:
+                want = v.merges(a + b)[0] == [a, b]
+                assert v.apart(a, b) == want == v.follows(a, b)
+                seen.add(want)
+    assert seen == {False, True}
+    for text in samples(40):
+        place = v.place("")
+        for end, char in enumerate(text, 1):
+            place = place[char]
+            assert [found[1] for found in place.found] == [text[k:end] for k in range(end) if text[k:end] in v.whole]
+
+
+def test_steps_and_pairs_are_forgotten_within_bounds(library, monkeypatch):
+    monkeypatch.setattr(S, "STEPS", 50)
+    monkeypatch.setattr(S, "PAIRS", 20)
+    c = S.Codec.__new__(S.Codec)
+    c.v, c.memory = S.Vocabulary(MODEL), S.Memory()
+    for t in samples(200):
+        assert ids(c.encode(t)) == library.encode(t)
+        assert c.v.steps <= 50 and sum(map(len, c.v.places.values())) <= 50 and sum(map(len, c.v.joined.values())) <= 20
