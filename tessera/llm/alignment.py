@@ -32,6 +32,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,11 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
+def _numbers(n: int, end: str) -> np.ndarray:
+    """Ids from 0 as text with what stands behind them."""
+    return np.array([f"{i}{end}" for i in range(n)], object)
+
+
 class TokenizerA:
     """A byte-level tokenizer file of the tokenizers library; strings of special tokens are plain text."""
 
@@ -82,6 +88,7 @@ class TokenizerA:
         self.spelling = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.spelling[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.within, self.last = _numbers(len(self.spelling), ","), _numbers(len(self.spelling), "|")
 
     def encode(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
@@ -97,6 +104,7 @@ class TokenizerB:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{path}: a piece holds a space after another character")
         self.spelling = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.within, self.last = _numbers(len(pieces), ","), _numbers(len(pieces), ";")
 
     def encode(self, units: list[str]) -> list[list[int]]:
         return self.model.encode([u[1:] for u in units], num_threads=1)
@@ -148,24 +156,22 @@ class Units:
         self.pairs = np.repeat(flat_a, each) << 32 | flat_b[np.repeat(first_b[group_a], each) + at]
         self.n_links = np.bincount(np.repeat(unit_a, each), minlength=n)
         self.link_start = np.concatenate([[0], np.cumsum(self.n_links)])
-        self.texts = self._texts(flat_a, flat_b, group_a, group_b, size_a, size_b)
+        self.texts = self._texts(flat_a, flat_b, group_a, group_b, size_a, size_b, a, b)
 
     @staticmethod
     def _flat(ids: list[list[int]], raw: list[bytes], spelling: list[bytes]):
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
         sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
         return counts, flat, np.cumsum(sizes[flat]), np.repeat(np.arange(len(ids)), counts)
 
-    def _texts(self, flat_a, flat_b, group_a, group_b, size_a, size_b) -> list[str]:
+    def _texts(self, flat_a, flat_b, group_a, group_b, size_a, size_b, a: TokenizerA, b: TokenizerB) -> list[str]:
         """Each unit's groups as text, with ; behind each group."""
         words = np.empty(len(flat_a) + len(flat_b), object)
         last_a = np.diff(group_a, append=-1) != 0
         last_b = np.diff(group_b, append=-1) != 0
-        words[np.arange(len(flat_a)) + (np.cumsum(size_b) - size_b)[group_a]] = [
-            f"{i}|" if last else f"{i}," for i, last in zip(flat_a.tolist(), last_a.tolist())]
-        words[np.arange(len(flat_b)) + np.cumsum(size_a)[group_b]] = [
-            f"{i};" if last else f"{i}," for i, last in zip(flat_b.tolist(), last_b.tolist())]
+        words[np.arange(len(flat_a)) + (np.cumsum(size_b) - size_b)[group_a]] = np.where(last_a, a.last[flat_a], a.within[flat_a])
+        words[np.arange(len(flat_b)) + np.cumsum(size_a)[group_b]] = np.where(last_b, b.last[flat_b], b.within[flat_b])
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         words = words.tolist()
         return ["".join(words[s:e]) for s, e in zip([0, *ends[:-1]], ends)]

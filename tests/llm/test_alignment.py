@@ -108,3 +108,16 @@ def test_query_equals_brute_force(spark, both):
     want, _ = brute([t for _, t in docs], both)
     got = {r.doc_id: values(r) for r in Q.op11_token_alignment(spark, sf).collect()}
     assert [got[i] for i, _ in docs] == want
+
+
+def test_ids_as_text_are_made_once_for_each_tokenizer():
+    a, b = A.TokenizerA(PATH_A), A.TokenizerB(PATH_B)
+    for tokenizer, end in ((a, "|"), (b, ";")):
+        n = len(tokenizer.spelling)
+        assert tokenizer.within.tolist() == [f"{i}," for i in range(n)] and tokenizer.last.tolist() == [f"{i}{end}" for i in range(n)]
+    words = [" the", " annual", " x1"]
+    units = A.Units(words, a, b)
+    for word, text in zip(words, units.texts):
+        groups = [g.split("|") for g in text[:-1].split(";")]
+        assert [int(i) for x, _ in groups for i in x.split(",")] == a.encode([word])[0]
+        assert [int(i) for _, y in groups for i in y.split(",")] == b.encode([word])[0]
