@@ -117,9 +117,9 @@ def test_hashed_features_by_arrow_batches(spark):
         want = [int(hashlib.md5(w.encode()).hexdigest(), 16) % n for w in words]
         assert md5_buckets(n)([w.encode() for w in words]).tolist() == want
     with pytest.raises(ValueError, match="num_buckets"):
-        feat.with_hashed(spark.createDataFrame(SAMPLES, SCHEMA), 0)
+        feat.with_hashed_batches(spark.createDataFrame(SAMPLES, SCHEMA), 0)
     rows = [(1, None), (1, [(1, "a:1"), (1, "a"), (1, "a"), (11, "")]), (2, [None, (None, "a"), (3, None), (4, "x")]), (3, [None]), (4, [])]
-    hashed = feat.with_hashed(spark.createDataFrame(rows, SCHEMA), 1 << 31).coalesce(1)
+    hashed = feat.with_hashed_batches(spark.createDataFrame(rows, SCHEMA), 1 << 31).coalesce(1)
     plan = hashed._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "Exchange" not in plan
     bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest(), 16) % (1 << 31)
