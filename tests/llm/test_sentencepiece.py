@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -192,3 +193,13 @@ def test_steps_and_pairs_are_forgotten_within_bounds(library, monkeypatch):
     for t in samples(200):
         assert ids(c.encode(t)) == library.encode(t)
         assert c.v.steps <= 50 and sum(map(len, c.v.places.values())) <= 50 and sum(map(len, c.v.joined.values())) <= 20
+
+
+def test_results_leave_by_the_slice():
+    from tessera.llm.common import scored_slices
+    texts = [f"{i} " * 2000 if i % 3 else None for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(40)), "text": pa.array(texts, pa.string())})
+    fields = [("n", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    parts = list(scored_slices(iter([batch, batch.slice(0, 0)]), fields, lambda t: [[len(x or "") for x in t], [[len(x or "")] for x in t]], 20_000))
+    assert len(parts) > 5 and max(sum(p.column("n").to_pylist()) for p in parts) <= 20_000
+    assert [r for p in parts for r in p.to_pylist()] == [{"id": i, "n": len(t or ""), "ids": [len(t or "")]} for i, t in enumerate(texts)]
