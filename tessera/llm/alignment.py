@@ -62,6 +62,8 @@ class Sizes:
 _STARTS = re.compile(r"(?<=\S)(?= [\s\S])")
 _INNER = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Units that the byte-level tokenizer encodes as one text.
+JOINED = 512
 
 #: Sums over a document's units.
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -72,6 +74,14 @@ def _numbers(n: int, end: str) -> np.ndarray:
     return np.array([f"{i}{end}" for i in range(n)], object)
 
 
+def _sizes(spelling: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, spelling), np.int64, len(spelling))
+
+
+def _together(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 class TokenizerA:
     """A byte-level tokenizer file of the tokenizers library; strings of special tokens are plain text."""
 
@@ -88,11 +98,37 @@ class TokenizerA:
         self.spelling = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.spelling[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.sizes = _sizes(self.spelling)
         self.within, self.last = _numbers(len(self.spelling), ","), _numbers(len(self.spelling), "|")
 
     def encode(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
+    def flat(self, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, one behind the other, and how many each has; ``raw`` are the units' bytes.
+
+        Units are encoded many at a time as one text, which is cut where they end: the next one begins with a space after a
+        character that is no white space.  Those that end in white space come last in such a text, and a text whose
+        tokens don't end where its units do is encoded again unit by unit.
+        """
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = [k + 1 for k, u in enumerate(units) if u[-1].isspace()]
+        cuts = sorted({*range(0, len(units), JOINED), *ends, len(units)})
+        spans = [*zip(cuts, cuts[1:])]
+        flat, counts = [], []
+        for (s, e), found in zip(spans, self.encode(["".join(units[s:e]) for s, e in spans]), strict=True):
+            ids = np.array(found, np.int64)
+            at, want = np.cumsum(self.sizes[ids]), np.cumsum(sizes[s:e])
+            last = np.searchsorted(at, want)
+            if len(at) and at[-1] == want[-1] and (at[last] == want).all():
+                flat.append(ids)
+                counts.append(np.diff(last, prepend=-1))
+            else:
+                apart = self.encode(units[s:e])
+                flat.append(np.fromiter(chain.from_iterable(apart), np.int64))
+                counts.append(np.fromiter(map(len, apart), np.int64, e - s))
+        return _together(flat), _together(counts)
+
 
 class TokenizerB:
     """A SentencePiece model file; it puts the space before a text itself."""
@@ -104,11 +140,18 @@ class TokenizerB:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{path}: a piece holds a space after another character")
         self.spelling = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sizes = _sizes(self.spelling)
         self.within, self.last = _numbers(len(pieces), ","), _numbers(len(pieces), ";")
 
     def encode(self, units: list[str]) -> list[list[int]]:
         return self.model.encode([u[1:] for u in units], num_threads=1)
 
+    def flat(self, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, one behind the other, and how many each has."""
+        ids = self.encode(units)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+
 
 def units_of(text: str) -> list[str]:
     """Space + text, cut before each space that follows a character other than white space and doesn't end the text."""
@@ -134,15 +177,14 @@ class Units:
 
     def __init__(self, units: list[str], a: TokenizerA, b: TokenizerB):
         raw = [u.encode("utf-8", "replace") for u in units]
-        ids_a, ids_b = a.encode(units), b.encode(units)
-        spell_a, spell_b = a.spelling, b.spelling
-        self.good = np.array([b"".join([spell_a[i] for i in x]) == r and b"".join([spell_b[i] for i in y]) == r
-                              for x, y, r in zip(ids_a, ids_b, raw, strict=True)], bool)
-        for k in np.flatnonzero(~self.good).tolist():
-            ids_a[k], ids_b[k], raw[k] = [], [], b""
+        (flat_a, self.n_a), (flat_b, self.n_b) = a.flat(units, raw), b.flat(units, raw)
+        self.good = self._spelled(flat_a, self.n_a, raw, a) & self._spelled(flat_b, self.n_b, raw, b)
+        if not self.good.all():
+            flat_a, flat_b = flat_a[np.repeat(self.good, self.n_a)], flat_b[np.repeat(self.good, self.n_b)]
+            self.n_a, self.n_b = self.n_a * self.good, self.n_b * self.good
         n = len(units)
-        self.n_a, flat_a, end_a, unit_a = self._flat(ids_a, raw, spell_a)
-        self.n_b, flat_b, end_b, unit_b = self._flat(ids_b, raw, spell_b)
+        end_a, end_b = np.cumsum(a.sizes[flat_a]), np.cumsum(b.sizes[flat_b])
+        unit_a, unit_b = np.repeat(np.arange(n), self.n_a), np.repeat(np.arange(n), self.n_b)
         shared = np.intersect1d(end_a, end_b, assume_unique=True)           # ascending byte ends over all units
         group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
         unit_of_group = np.zeros(len(shared), np.int64)
@@ -159,11 +201,16 @@ class Units:
         self.texts = self._texts(flat_a, flat_b, group_a, group_b, size_a, size_b, a, b)
 
     @staticmethod
-    def _flat(ids: list[list[int]], raw: list[bytes], spelling: list[bytes]):
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
-        sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
-        return counts, flat, np.cumsum(sizes[flat]), np.repeat(np.arange(len(ids)), counts)
+    def _spelled(flat: np.ndarray, counts: np.ndarray, raw: list[bytes], tokenizer: TokenizerA | TokenizerB) -> np.ndarray:
+        """Which units' tokens have the units' own bytes."""
+        spelling = tokenizer.spelling
+        tokens = [spelling[i] for i in flat.tolist()]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(counts)
+        at = np.concatenate([[0], np.cumsum(tokenizer.sizes[flat])])[ends]
+        if (at == np.cumsum(sizes)).all() and b"".join(tokens) == b"".join(raw):     # all together, as is usual
+            return np.ones(len(raw), bool)
+        return np.array([b"".join(tokens[s:e]) == r for s, e, r in zip((ends - counts).tolist(), ends.tolist(), raw)], bool)
 
     def _texts(self, flat_a, flat_b, group_a, group_b, size_a, size_b, a: TokenizerA, b: TokenizerB) -> list[str]:
         """Each unit's groups as text, with ; behind each group."""

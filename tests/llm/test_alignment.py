@@ -121,3 +121,19 @@ def test_ids_as_text_are_made_once_for_each_tokenizer():
         groups = [g.split("|") for g in text[:-1].split(";")]
         assert [int(i) for x, _ in groups for i in x.split(",")] == a.encode([word])[0]
         assert [int(i) for _, y in groups for i in y.split(",")] == b.encode([word])[0]
+
+
+def test_units_are_encoded_many_at_a_time():
+    a = A.TokenizerA(PATH_A)
+    rng = random.Random(12)
+    signs = "ab'st \n\t1.,<é\x1c\x85　日😀"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 30))) for _ in range(800)] + ["it's <|endoftext|> b\n", " ", "x" * 3000]
+    units = [*dict.fromkeys(u for t in texts for u in A.units_of(t))]
+    alone, asked = a.encode(units), []
+    one_by_one, a.encode = a.encode, lambda given: asked.append(len(given)) or one_by_one(given)
+    flat, counts = a.flat(units, [u.encode() for u in units])
+    assert counts.tolist() == [len(x) for x in alone] and flat.tolist() == [i for x in alone for i in x]
+    plain = [f" word{i}" for i in range(3000)]
+    asked.clear()
+    _, counts = a.flat(plain, [u.encode() for u in plain])
+    assert asked == [-(-len(plain) // A.JOINED)] and counts.tolist() == [len(x) for x in one_by_one(plain)]
