@@ -20,6 +20,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from tessera.llm.common import text_slices
 
 #: Words up to this length are remembered, up to so many at a time.
 WORD_CHARS, WORDS = 32, 5 << 18
+#: Bytes of texts that are encoded at a time, words whose ids are gathered at a time.
+SLICE_BYTES, RUNS = 1 << 20, 1 << 17
 _TAIL = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}']+)")
 
 
@@ -37,6 +40,16 @@ def _plain(text: str) -> bool:
             and not any(run in text for run in ("  ", "\n\n", " \n", "\n ")))
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` at some places, one behind the other."""
+    out = [flat[:0]]
+    for a in range(0, len(starts), RUNS):        # short arrays of places, however long a text is
+        first, size = starts[a:a + RUNS], sizes[a:a + RUNS]
+        ends = np.cumsum(size)
+        out.append(flat[np.arange(ends[-1]) + np.repeat(first - ends + size, size)])
+    return np.concatenate(out)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
@@ -45,6 +58,9 @@ class Encoder:
     first words, of its other words with their space, and of its line feeds.  Words of letters
     are encoded many at a time, as one text whose ids are dealt out again, and so are the letters
     that begin a word ended by other marks.  Other texts go through the library as they are.
+
+    Words are numbered: a line's first word with the line feed before it, others without their space.
+    All words' ids lie in one array, from which those of the texts are gathered.
     """
 
     def __init__(self, path: str):
@@ -52,80 +68,123 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced: dict[str, bytes] = {}   # a word to the ids of it and the space before it
-        self.bare: dict[str, bytes] = {}     # a word that begins a line to its ids
-        self.marks: dict[str, bytes] = {}    # what stands behind a word's letters
         self.space = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.space[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _letters(self, units: list[str], between: str, into: dict[str, bytes]) -> None:
-        """Ids of units of letters, 512 in one text, after a space each or after a line feed each.
-
-        Such a unit's first id holds its space, and no other id does; a line feed is an id of its own.
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}    # a word, or a mark behind a word's letters (led by a space), to its number
+        self.long: list[str] = []            # those that are too long to be remembered beyond a slice
+        self.ids = np.zeros(0, np.int32)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember words by their ids, which lie one behind the other."""
+        n = len(self.starts)
+        self.numbers.update(zip(words, range(n, n + len(words))))
+        self.long += [w for w in words if len(w) > WORD_CHARS]
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def _keep_whole(self, words: list[str], texts: list[str]) -> None:
+        found = self._whole(texts)
+        self._keep(words, np.array([i for x in found for i in x], np.int32), np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _letters(self, words: list[str], first: bool) -> None:
+        """Ids of words of letters, 512 in one text, after a space each or (``first``) after a line feed each.
+
+        Such a word's first id holds its space, and no other id does; a line feed is an id of its own.
         """
-        parts = [units[a:a + 512] for a in range(0, len(units), 512)]
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([between + between.join(p) for p in parts],
-                                                                   add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            first = np.flatnonzero(self.space[ids] if between == " " else ids == self.feed)
-            data, skip = ids.tobytes(), 0 if between == " " else 4
-            cuts = [*(4 * first).tolist(), len(data)]
-            into.update(zip(part, [data[a + skip:b] for a, b in zip(cuts, cuts[1:])], strict=True))
-
-    def _learn(self, new: set[str], into: dict[str, bytes], between: str) -> None:
-        """Ids of words, with their space or (after a line feed) without."""
-        letters, tails, rest = set(), {}, []
+        for a in range(0, len(words), 1 << 13):      # the library's own results are large: those of a few texts at a time
+            parts = [words[b:b + 512] for b in range(a, min(a + (1 << 13), len(words)), 512)]
+            kept, sizes = [], []
+            for part, found in zip(parts, self._whole(["".join(p) if first else " " + " ".join(p) for p in parts]), strict=True):
+                ids = np.array(found, np.int32)
+                begins = np.flatnonzero(ids == self.feed if first else self.space[ids])
+                if len(begins) != len(part):
+                    raise ValueError("a word's first id isn't the only one that holds its space")
+                kept.append(ids)
+                sizes.append(np.diff(begins, append=len(ids)))
+            self._keep([w for p in parts for w in p], np.concatenate(kept), np.concatenate(sizes))
+
+    def _learn(self, new: list[str], first: bool) -> None:
+        """Ids of words with their space, or (``first``) of words after a line feed, which lead them."""
+        known, skip = self.numbers, int(first)
+        letters, tails, stems, ends, rest = [], [], [], [], []
         for w in new:
-            if w.isalpha():
-                letters.add(w)
-            elif m := _TAIL.fullmatch(w):
-                tails[w] = stem, mark = m.groups()
-                if stem not in into:
-                    letters.add(stem)
+            bare = w[1:] if first else w
+            if bare.isalpha():
+                letters.append(w)
+                continue
+            stem = bare.rstrip(",.")
+            if not stem.isalpha() and (m := _TAIL.fullmatch(bare)):
+                stem = m[1]
+            if stem.isalpha():
+                tails.append(w)
+                stems.append(w[:skip + len(stem)])
+                ends.append(" " + bare[len(stem):])
             else:
                 rest.append(w)
-        self._letters(sorted(letters), between, into)
-        marks = [m for m in {m for _, m in tails.values()} if m not in self.marks]
-        self.marks.update(zip(marks, self._whole(marks)))
-        for w, (stem, mark) in tails.items():
-            into[w] = into[stem] + self.marks[mark]
-        into.update(zip(rest, self._whole([between.strip("\n") + w for w in rest])))
+        fresh = dict.fromkeys(letters)
+        fresh.update((stem, None) for stem in stems if stem not in known)
+        self._letters([*fresh], first)
+        marks = [m for m in set(ends) if m not in known]
+        self._keep_whole(marks, [m[1:] for m in marks])
+        if tails:
+            both = np.empty((len(tails), 2), np.int64)
+            both[:, 0], both[:, 1] = [known[x] for x in stems], [known[x] for x in ends]
+            ids = _gather(self.ids, self.starts[both.ravel()], self.sizes[both.ravel()])
+            self._keep(tails, ids, self.sizes[both].sum(axis=1))
+        self._keep_whole(rest, rest if first else [" " + w for w in rest])
+
+    def flat(self, texts: list, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, the end id behind each, one text behind the other, and how many each has."""
+        plain = np.array([bool(t) and _plain(t) and not any(a in t for a in self.added) for t in texts], bool)
+        odd = [k for k, t in enumerate(texts) if t and not plain[k]]
+        cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t, p in zip(texts, plain.tolist()) if p], pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()      # faster than to_pylist
+        if len(self.starts) + len(words) > WORDS or len(self.ids) > 8 * WORDS:
+            self._forget()
+        known = self.numbers.get
+        number = np.array([known(w, -1) for w in words], np.int64)
+        unknown = np.flatnonzero(number < 0)
+        new = [words[k] for k in unknown.tolist()]
+        self._learn([w for w in new if w[0] == "\n"], True)
+        self._learn([w for w in new if w[0] != "\n"], False)
+        number[unknown] = [self.numbers[w] for w in new]
+        number = number[coded.indices.to_numpy()]
+        for w in self.long:
+            self.numbers.pop(w, None)
+        self.long.clear()
+        starts, sizes = self.starts[number], self.sizes[number]
+        begins = cut.offsets.to_numpy()
+        starts[begins[:-1]] += 1                 # no line feed before a text's first word
+        sizes[begins[:-1]] -= 1
+        counts = np.ones(len(texts), np.int64)
+        counts[plain] += np.add.reduceat(sizes, begins[:-1]) if len(sizes) else 0
+        others = self._whole([texts[k] for k in odd])
+        for k, ids in zip(odd, others, strict=True):
+            counts[k] += len(ids)
+        ends = np.cumsum(counts)
+        out, free = np.full(ends[-1] if len(ends) else 0, end_id, np.int32), np.ones(ends[-1] if len(ends) else 0, bool)
+        free[ends - 1] = False
+        for k, ids in zip(odd, others, strict=True):
+            at = slice(ends[k] - counts[k], ends[k] - 1)
+            out[at], free[at] = ids, False
+        out[free] = _gather(self.ids, starts, sizes)
+        return out, counts
 
     def encode(self, texts: list, end_id: int) -> list[bytes]:
         """Ids of each text, the end id last, as little-endian unsigned 32-bit bytes."""
-        end, feed = np.array([end_id], "<u4").tobytes(), np.array([self.feed], "<u4").tobytes()
-        cut, odd = [], []
-        for t in texts:
-            plain = bool(t) and _plain(t) and not any(a in t for a in self.added)
-            cut.append([line.split(" ") for line in t.split("\n")] if plain else None)
-            odd.append(bool(t) and not plain)
-        spaced, bare = self.spaced, self.bare
-        every = set().union(*[line for c in cut if c for line in c])
-        if len(spaced) + len(bare) + len(every) > WORDS:
-            spaced.clear()
-            bare.clear()
-            self.marks.clear()
-        firsts = {line[0] for c in cut if c for line in c if line[0] not in bare}
-        self._learn(firsts, bare, "\n")
-        new = {w for w in every if w not in spaced}  # words that only begin lines, a few, are learned with a space too
-        self._learn(new, spaced, " ")
-        wholes = iter(self._whole([t for t, o in zip(texts, odd) if o]))
-        out = []
-        for c, o in zip(cut, odd, strict=True):
-            if c:
-                lines = [bare[line[0]] + b"".join(map(spaced.__getitem__, line[1:])) for line in c]
-                out.append(feed.join(lines) + end)
-            else:
-                out.append((next(wholes) if o else b"") + end)
-        for table, words in ((spaced, new), (bare, firsts), (self.marks, list(self.marks))):
-            for w in words:
-                if len(w) > WORD_CHARS:
-                    del table[w]
-        return out
+        flat, counts = self.flat(texts, end_id)
+        data, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -148,14 +207,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
 
     def run(batches):
         for batch in batches:
-            for part, texts in text_slices(batch, "text"):
-                ids = encoder(tokenizer_path).encode(texts, end_id)
-                counts = np.array([len(i) // 4 for i in ids], np.int32)
+            for part, texts in text_slices(batch, "text", SLICE_BYTES):
+                flat, counts = encoder(tokenizer_path).flat(texts, end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(offsets, flat)],
+                    [part.column("doc_id"), pa.array(counts.astype(np.int32)), pa.ListArray.from_arrays(offsets, flat)],
                     ["doc_id", "n_tokens", "tokens"])
+        pa.default_memory_pool().release_unused()
 
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
     schema = StructType([source.schema["doc_id"], StructField("n_tokens", IntegerType()),

@@ -21,6 +21,31 @@ def test_pieces_give_the_ids_of_the_whole_text():
         assert got == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_ids_of_a_slice_are_gathered_from_one_array():
+    whole, ours = Tokenizer.from_file(VOCABULARY), T.Encoder(VOCABULARY)
+    rng = random.Random(5)
+    words = ["and", "now", "Élan", "naïve", "it's", "x1", "<b>", "日本", "...", "a.b,", "w" * 40, "42", "😀", "»é«"]
+    some = lambda: "".join(rng.choice("  \n") + rng.choice(words) + rng.choice(["", ".", ",", ";", "!?", "'"]) for _ in range(9))
+    texts = [None, "", " led", *(some().strip() for _ in range(2000)), "two  spaces", "feed\n", "end", None]
+    want = [whole.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for _ in range(2):                               # learned, then remembered
+        flat, counts = ours.flat(texts, 2)
+        assert flat.dtype == "int32" and flat.tolist() == [i for x in want for i in x] and counts.tolist() == [len(x) for x in want]
+    assert "w" * 40 not in ours.numbers and "and" in ours.numbers
+    for few in ([], [None], [""], ["  "], ["one"]):
+        flat, counts = ours.flat(few, 2)
+        assert flat.tolist() == [i for t in few for i in whole.encode(t or "", add_special_tokens=False).ids + [2]] and len(counts) == len(few)
+
+
+def test_long_runs_of_words_are_gathered_in_parts(monkeypatch):
+    whole, ours = Tokenizer.from_file(VOCABULARY), T.Encoder(VOCABULARY)
+    monkeypatch.setattr(T, "RUNS", 7)
+    monkeypatch.setattr(T, "WORDS", 50)              # words are forgotten between slices
+    for n in range(5):
+        text = " ".join(f"w{n}x{k}, word{'abcdefghij'[k % 10]}." for k in range(60))
+        assert ours.flat([text], 2)[0].tolist() == whole.encode(text, add_special_tokens=False).ids + [2]
+
+
 def test_files_and_catalogue(spark, documents):
     whole = Tokenizer.from_file(VOCABULARY)
     for encoding in ("dictionary", "delta"):
