@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,18 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.concatenate(out)
 
 
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """The array itself if it has ``size`` places, else a longer one that begins with it.
+
+    It grows by half, so what is added little by little is copied few times.
+    """
+    if size <= len(values):
+        return values
+    out = np.empty(max(size, len(values) * 3 // 2), values.dtype)
+    out[:len(values)] = values
+    return out
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
@@ -76,20 +89,23 @@ class Encoder:
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}    # a word, or a mark behind a word's letters (led by a space), to its number
         self.long: list[str] = []            # those that are too long to be remembered beyond a slice
-        self.ids = np.zeros(0, np.int32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # all words' ids, and where each word's begin and how many they are: longer than what is used, the rest is free
+        self.used, self.ids = 0, np.zeros(1 << 16, np.int32)
+        self.words, self.starts, self.sizes = 0, np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Remember words by their ids, which lie one behind the other."""
-        n = len(self.starts)
-        self.numbers.update(zip(words, range(n, n + len(words))))
+        n, end = self.words + len(words), self.used + len(ids)
+        self.numbers.update(zip(words, range(self.words, n)))
         self.long += [w for w in words if len(w) > WORD_CHARS]
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.starts, self.sizes, self.ids = _room(self.starts, n), _room(self.sizes, n), _room(self.ids, end)
+        self.starts[self.words:n] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[self.words:n] = sizes
+        self.ids[self.used:end] = ids
+        self.words, self.used = n, end
 
     def _keep_whole(self, words: list[str], texts: list[str]) -> None:
         found = self._whole(texts)
@@ -115,12 +131,11 @@ class Encoder:
     def _learn(self, new: list[str], first: bool) -> None:
         """Ids of words with their space, or (``first``) of words after a line feed, which lead them."""
         known, skip = self.numbers, int(first)
-        letters, tails, stems, ends, rest = [], [], [], [], []
-        for w in new:
-            bare = w[1:] if first else w
-            if bare.isalpha():
-                letters.append(w)
-                continue
+        tails, stems, ends, rest = [], [], [], []
+        alpha = (lambda w: w[1:].isalpha()) if first else str.isalpha
+        letters = [*filter(alpha, new)]
+        for w in filterfalse(alpha, new):
+            bare = w[skip:]
             stem = bare.rstrip(",.")
             if not stem.isalpha() and (m := _TAIL.fullmatch(bare)):
                 stem = m[1]
@@ -137,7 +152,8 @@ class Encoder:
         self._keep_whole(marks, [m[1:] for m in marks])
         if tails:
             both = np.empty((len(tails), 2), np.int64)
-            both[:, 0], both[:, 1] = [known[x] for x in stems], [known[x] for x in ends]
+            for k, found in enumerate((stems, ends)):
+                both[:, k] = np.fromiter(map(known.__getitem__, found), np.int64, len(tails))
             ids = _gather(self.ids, self.starts[both.ravel()], self.sizes[both.ravel()])
             self._keep(tails, ids, self.sizes[both].sum(axis=1))
         self._keep_whole(rest, rest if first else [" " + w for w in rest])
@@ -149,15 +165,14 @@ class Encoder:
         cut = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t, p in zip(texts, plain.tolist()) if p], pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()      # faster than to_pylist
-        if len(self.starts) + len(words) > WORDS or len(self.ids) > 8 * WORDS:
+        if self.words + len(words) > WORDS or self.used > 8 * WORDS:
             self._forget()
-        known = self.numbers.get
-        number = np.array([known(w, -1) for w in words], np.int64)
+        number = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(number < 0)
         new = [words[k] for k in unknown.tolist()]
         self._learn([w for w in new if w[0] == "\n"], True)
         self._learn([w for w in new if w[0] != "\n"], False)
-        number[unknown] = [self.numbers[w] for w in new]
+        number[unknown] = np.fromiter(map(self.numbers.__getitem__, new), np.int64, len(new))
         number = number[coded.indices.to_numpy()]
         for w in self.long:
             self.numbers.pop(w, None)

@@ -46,6 +46,16 @@ def test_long_runs_of_words_are_gathered_in_parts(monkeypatch):
         assert ours.flat([text], 2)[0].tolist() == whole.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_words_learned_little_by_little_are_copied_few_times():
+    whole, ours = Tokenizer.from_file(VOCABULARY), T.Encoder(VOCABULARY)
+    copies, before = 0, ours.ids
+    for n in range(300):
+        text = " ".join(f"w{n}x{k}, word{'abcdefghij'[k % 10]}{'abc'[n % 3]}{'xyz'[n // 3 % 3]}." for k in range(100))
+        assert ours.flat([text], 2)[0].tolist() == whole.encode(text, add_special_tokens=False).ids + [2]
+        copies, before = copies + (ours.ids is not before), ours.ids
+    assert copies <= 10                              # the room grows by half, not with each text
+
+
 def test_files_and_catalogue(spark, documents):
     whole = Tokenizer.from_file(VOCABULARY)
     for encoding in ("dictionary", "delta"):
