@@ -9,26 +9,29 @@ per partition cross the shuffle and only the d weights live on the driver.
 
 from __future__ import annotations
 
+import math
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import Bucketizer, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import md5_unit
 from tessera.operators.evaluate import regression_metrics
 from tessera.operators.keys import row_index
 from tessera.operators.linalg import dot, logistic
-from tessera.session import checkpoint_dir, shared_path
+from tessera.session import checkpoint_dir, shared_path, written
 
 
 # ------------------------------------------------------------ regression
@@ -194,6 +197,168 @@ def forest_estimator(features: list[str], label: str, pred: str = "prediction",
     return Pipeline(stages=[assembler(features), rf]), rf
 
 
+def bin_cuts(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
+    """M8: where each feature is cut into at most ``bins`` bins, as Spark's trees do; a value at a cut lies below it.
+
+    A feature with at most ``bins`` different values is cut halfway between neighbours, others at quantiles.
+    """
+    rows = df.select([F.col(c).cast("double").alias(c) for c in features])
+    about = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    out: dict[str, list[float]] = {}
+    for c in features:
+        if about[c] <= 2 * bins:
+            values = sorted(r[0] for r in rows.select(c).distinct().collect() if r[0] is not None and not math.isnan(r[0]))  # about 2 * bins rows
+            if len(values) <= bins:
+                out[c] = [(a + b) / 2 for a, b in zip(values, values[1:])] or values
+    rest = [c for c in features if c not in out]
+    found = rows.approxQuantile(rest, [k / bins for k in range(1, bins)], 0.001) if rest else []
+    out.update((c, sorted(set(cuts))) for c, cuts in zip(rest, found))
+    return [out[c] for c in features]
+
+
+#: Chances that a Poisson number with mean 1 is at most 0, 1, 2 and so on.
+_POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(18)])
+
+
+def poisson_draws(seeds: np.ndarray, trees: int) -> np.ndarray:
+    """How often a bootstrap with a Poisson number for each row (as Spark's) draws each row for each tree, from the rows' random numbers alone."""
+    x = seeds.astype(np.uint64)[:, None] + np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return np.searchsorted(_POISSON, ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0 ** -53, side="right").astype(np.float64)
+
+
+def bootstrap_cells(rows: DataFrame, cell: str, fold: str, label: str, trees: int, seed: int) -> DataFrame:
+    """M8: (cell, fold, n, total, square, w0, s0, w1, s1, ...): rows of one cell and fold as one row.
+
+    ``n``, ``total`` and ``square`` are the rows, the sum and the squares' sum of their labels; ``w`` and ``s`` the rows and the sum
+    that a tree's bootstrap draws of them, each row drawn on its own.  Rows are spread by cell and a random number, so that a cell with many
+    rows lies in several tasks.  A row with a null or NaN is an error, as in ``assembler``.
+    """
+    source = rows.select(F.col(cell).cast("long").alias("cell"), F.col(fold).cast("int").alias("fold"),
+                         F.col(label).cast("double").alias("y"), (F.rand(seed) * float(1 << 53)).cast("long").alias("r"))
+    names = [x for t in range(trees) for x in (f"w{t}", f"s{t}")]
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            where, which, y, r = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if any(c.null_count for c in batch.columns) or np.isnan(y).any():
+                raise ValueError("a feature or label is null or NaN")
+            order = np.lexsort((which, where))
+            where, which, y, drawn = where[order], which[order], y[order], poisson_draws(r[order], trees)
+            begins = np.flatnonzero(np.append(True, (where[1:] != where[:-1]) | (which[1:] != which[:-1])))
+            w, s = np.add.reduceat(drawn, begins), np.add.reduceat(drawn * y[:, None], begins)
+            both = [x[:, t] for t in range(trees) for x in (w, s)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(where[begins]), pa.array(which[begins]), pa.array(np.diff(begins, append=len(y)).astype(np.float64)),
+                 *(pa.array(np.add.reduceat(v, begins)) for v in (y, y * y)), *(pa.array(np.ascontiguousarray(v)) for v in both)],
+                ["cell", "fold", "n", "total", "square", *names])
+
+    sums = ["n", "total", "square", *names]
+    schema = "cell long, fold int, " + ", ".join(f"{c} double" for c in sums)
+    parts = source.repartitionByRange("cell", "r").sortWithinPartitions("cell", "r").mapInArrow(run, schema)
+    return parts.groupBy("cell", "fold").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+class CellForest:
+    """M8: a forest whose trees see rows by their cell alone, so one prediction for each cell that occurs serves all its rows.
+
+    ``place`` gives the cell from the bins' columns ``codes``, which ``binned`` makes; ``trees`` are one-tree forests.
+    """
+
+    def __init__(self, binned: Bucketizer, codes: list[str], place: Column, trees: list, features: str, pred: str):
+        self.binned, self.codes, self.place, self.trees, self.features, self.pred = binned, codes, place, trees, features, pred
+
+    def mean(self, cells: DataFrame) -> DataFrame:
+        """Rows that have the bins' columns, with the mean of the trees' predictions."""
+        names = [t.getPredictionCol() for t in self.trees]
+        out = PipelineModel([assembler(self.codes, self.features), *self.trees]).transform(cells)
+        return out.withColumn(self.pred, sum((F.col(c) for c in names[1:]), F.col(names[0])) / len(names)).drop(self.features, *names)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        rows = self.binned.transform(df).withColumn("__cell", self.place)
+        found = written(self.mean(rows.select("__cell", *self.codes).distinct()).select("__cell", self.pred), "predicted")
+        return rows.join(found, "__cell").drop("__cell", *self.codes)
+
+
+def _grown(cells: DataFrame, size: int, codes: list[str], wood: RandomForestRegressor, depths: list[int], pool: ThreadPool) -> list[list]:
+    """For each depth the trees of a forest, each fitted to the cells as rows weighted by its own draws."""
+    trees, pred, label = wood.getNumTrees(), wood.getPredictionCol(), wood.getLabelCol()
+    subset = "onethird" if wood.getFeatureSubsetStrategy() == "auto" and trees > 1 else wood.getFeatureSubsetStrategy()
+
+    def fit(job):
+        depth, t = job
+        rows = cells.filter(F.col(f"w{t}") > 0).select(*codes, F.col(f"w{t}").alias("weight"), (F.col(f"s{t}") / F.col(f"w{t}")).alias(label))
+        one = wood.copy({wood.numTrees: 1, wood.bootstrap: False, wood.featureSubsetStrategy: subset, wood.weightCol: "weight",
+                         wood.maxDepth: depth, wood.seed: wood.getSeed() + t, wood.predictionCol: f"{pred}_{t}"})
+        return one.fit(assembler(codes, wood.getFeaturesCol()).transform(rows.coalesce(1 + size // 100_000)))  # a task has about so many cells
+
+    found = pool.map(fit, [(d, t) for d in depths for t in range(trees)], chunksize=1)
+    return [found[k * trees:(k + 1) * trees] for k in range(len(depths))]
+
+
+def forest_grid_search(train: DataFrame, features: list[str], wood: RandomForestRegressor, depths: list[int],
+                       fold_col: str = "fold", parallelism: int = 8) -> tuple[list[tuple[int, int, float]], int, CellForest]:
+    """M6/M8: (fold, depth, RMSE on the fold of the forest without it) for every fold and depth, the depth with the
+    least mean error, and the forest of that depth on all rows.
+
+    Trees see a row by the bins of its features, its label and how often they draw it.  So all rows are drawn
+    for all trees in one pass and summed up by cell (the bins of all features) and fold; what the fits then
+    read is bounded by the cells, and a fold's training rows are the cells of the others.  A tree fitted to a cell's mean label, weighted
+    by its draws, has the splits of one fitted to the rows: the gain of a split doesn't depend on how labels vary within a cell.
+    """
+    if wood.getMinInstancesPerNode() != 1 or wood.getSubsamplingRate() != 1.0 or not wood.getBootstrap():
+        raise ValueError("rows of a cell can stand together only with a whole bootstrap and nodes of one row or more")
+    trees, pred = wood.getNumTrees(), wood.getPredictionCol()
+    codes = [f"{c}_bin" for c in features]
+    cuts = bin_cuts(train, features, wood.getMaxBins())
+    if not all(cuts):
+        raise ValueError("a feature has no values")
+    edges = [[-math.inf, *np.nextafter(c, math.inf).tolist(), math.inf] for c in cuts]     # a value at a cut stays below it
+    binned = Bucketizer(splitsArray=edges, inputCols=features, outputCols=codes)
+    strides = [math.prod(len(e) - 1 for e in edges[:k]) for k in range(len(edges))]
+    place = sum((F.col(c).cast("long") * s for c, s in zip(codes, strides)), F.lit(0))
+    parts = written(bootstrap_cells(binned.transform(train).withColumn("cell", place), "cell", fold_col, wood.getLabelCol(), trees, wood.getSeed())
+                    .select("*", *[((F.col("cell") / s).cast("long") % (len(e) - 1)).cast("double").alias(c) for c, s, e in zip(codes, strides, edges)]), "cells")
+    folds = sorted(r["fold"] for r in parts.select("fold").distinct().collect())            # one row a fold
+    if len(folds) < 2:
+        raise ValueError("cross-validation needs rows in two folds or more")
+
+    def without(k):
+        kept = parts if k is None else parts.filter(F.col("fold") != k)
+        cells = written(kept.groupBy("cell", *codes).agg(*[F.sum(f"{x}{t}").alias(f"{x}{t}") for t in range(trees) for x in "ws"]), "training")
+        return cells, cells.count()
+
+    def model(grown):
+        return CellForest(binned, codes, place, grown, wood.getFeaturesCol(), pred)
+
+    errors = []
+    with ThreadPool(parallelism) as pool:
+        for k in folds:
+            for depth, grown in zip(depths, _grown(*without(k), codes, wood, depths, pool), strict=True):
+                held = model(grown).mean(parts.filter(F.col("fold") == k).select(*codes, "n", "total", "square"))
+                e = held.agg(F.sum(F.col("square") - 2 * F.col(pred) * F.col("total") + F.col("n") * F.col(pred) ** 2).alias("sse"), F.sum("n").alias("n")).first()
+                errors.append((k, depth, math.sqrt(max(e["sse"], 0.0) / e["n"])))
+        best = min(depths, key=lambda d: sum(e for _, x, e in errors if x == d))
+        return errors, best, model(_grown(*without(None), codes, wood, [best], pool)[0])
+
+
+def forest_search(made: tuple[Pipeline, RandomForestRegressor], train: DataFrame, features: list[str], depths: list[int],
+                  cells_from: int = 2_000_000):
+    """M6/M8: the forest of the depth with the least error in cross-validation, on all rows.
+
+    Up to ``cells_from`` rows Spark's own forests pass over the rows for each level; more rows are summed up by cell first, whose
+    many small fits would take longer than that on few rows.
+    """
+    pipe, wood = made
+    if train.count() > cells_from:
+        return forest_grid_search(train, features, wood, depths)[2]
+    grid = ParamGridBuilder().addGrid(wood.maxDepth, depths).build()
+    return cross_validate(pipe, grid, train, wood.getLabelCol(), wood.getPredictionCol()).bestModel
+
+
 def tree_nodes(model) -> DataFrame:
     """M7/M8: the nodes of a fitted tree or forest as rows, for queries and checks instead of a text.
 

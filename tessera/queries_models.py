@@ -454,7 +454,10 @@ def forest_nodes(spark, sf):
 @query("forest", _PLANT_SPLIT_SQL + _report_sql(["forest"], "test"))
 def forest(spark, sf):
     """M8: random forest (30 trees, seeded), over its own grid (Q22)."""
-    return _cv(spark, sf, "forest", models.forest_estimator(_PLANT_F, "target"), _depths(6, 8))
+    s = _plant_split(spark, sf)
+    train = models.fold_column(s.filter("split = 'train'"), "id", 3)
+    best = models.forest_search(models.forest_estimator(_PLANT_F, "target"), train, _PLANT_F, [6, 8])
+    return report(spark, s, "target", [("forest", best)])
 
 
 def _years_split(spark, sf):

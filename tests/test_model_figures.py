@@ -182,3 +182,62 @@ def test_recommended_items_read_the_ratings_once(spark):
     from tessera import queries_models as q
     top = q.recommend_items(spark, SF0001)
     assert "lineitem" not in top._jdf.queryExecution().toString() and top.count() <= 20
+
+
+def test_draws_of_a_bootstrap_are_poisson_numbers():
+    drawn = models.poisson_draws(np.random.default_rng(5).integers(0, 1 << 53, 20000), 8)
+    for k in range(5):
+        assert (drawn == k).mean(axis=0) == pytest.approx(np.full(8, np.exp(-1) / [1, 1, 2, 6, 24][k]), abs=0.015)
+    assert np.abs(np.corrcoef(drawn.T) - np.eye(8)).max() < 0.04          # each tree draws on its own
+
+
+def _steps(spark, n):
+    a, b = F.col("id") % 7, (F.col("id") / 7).cast("long") % 40
+    y = 100 * F.pow(a - 3, F.lit(2)) + 5 * b + (F.xxhash64("id") % 50)
+    return spark.range(n).select("id", a.cast("double").alias("a"), (b / 4).alias("b"), y.cast("double").alias("y"),
+                                 (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2))).cast("int").alias("fold"))
+
+
+def test_a_tree_of_cells_is_the_tree_of_their_rows(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+    rows = _steps(spark, 6000).withColumn("b", F.floor("b").cast("double"))
+    _, wood = models.forest_estimator(["a", "b"], "y", trees=1, depth=4)
+    wood.setFeatureSubsetStrategy("all")
+    cells = rows.groupBy("a", "b").agg(F.count("*").cast("double").alias("w0"), F.sum("y").alias("s0"))
+    with models.ThreadPool(1) as pool:
+        tree = models._grown(cells, 70, ["a", "b"], wood, [4], pool)[0][0]
+    whole = RandomForestRegressor(numTrees=1, maxDepth=4, bootstrap=False, featureSubsetStrategy="all", labelCol="y", seed=17)
+    data = models.assembler(["a", "b"]).transform(rows)
+    both = tree.transform(whole.fit(data).transform(data))
+    assert both.filter(F.abs(F.col("prediction") - F.col("prediction_0")) > 1e-6).count() == 0
+
+
+def test_a_forest_of_many_rows_is_fitted_to_cells(spark):
+    rows = _steps(spark, 6000).cache()
+    made = models.forest_estimator(["a", "b"], "y", trees=3)
+    forest = models.forest_search(made, rows, ["a", "b"], [1, 3], cells_from=0)
+    assert isinstance(forest, models.CellForest) and len(forest.trees) == 3
+    scored = forest.transform(rows)
+    assert set(scored.columns) == {*rows.columns, "prediction"} and scored.count() == 6000
+    e = scored.agg(F.sqrt(F.avg((F.col("prediction") - F.col("y")) ** 2)).alias("e"), F.stddev_pop("y").alias("d")).first()
+    assert e.e < 0.5 * e.d
+    far = spark.createDataFrame([(-9.0, 99.0), (6.0, 0.1)], "a double, b double")       # cells without training rows
+    assert [r.prediction is not None for r in forest.transform(far).collect()] == [True, True]
+    with pytest.raises(Exception):
+        forest.transform(spark.createDataFrame([(None, 1.0)], "a double, b double")).collect()
+
+
+def test_cells_hold_every_row_once(spark):
+    rows = _steps(spark, 5000).withColumn("cell", (F.col("a") > 0).cast("long"))         # one cell has most rows
+    got = models.bootstrap_cells(rows, "cell", "fold", "y", 4, 3).collect()
+    want = {(r.cell, r.fold): r for r in rows.groupBy("cell", "fold").agg(
+        F.count("*").alias("n"), F.sum("y").alias("total"), F.sum(F.col("y") ** 2).alias("square")).collect()}
+    assert sorted((r.cell, r.fold) for r in got) == sorted(want)
+    for r in got:
+        w = want[r.cell, r.fold]
+        assert (r.n, r.total, r.square) == pytest.approx((w.n, w.total, w.square))
+    for t in range(4):
+        assert sum(r[f"w{t}"] for r in got) == pytest.approx(5000, rel=0.08)
+        assert sum(r[f"s{t}"] for r in got) / sum(r[f"w{t}"] for r in got) == pytest.approx(sum(w.total for w in want.values()) / 5000, rel=0.08)
+    with pytest.raises(Exception, match="null or NaN"):
+        models.bootstrap_cells(rows.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), "cell", "fold", "y", 4, 3).collect()
