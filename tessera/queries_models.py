@@ -17,7 +17,7 @@ from tessera.operators import features as feat
 from tessera.operators import keys, linalg, models, profile
 from tessera.queries import _duck_md5_unit, query, r
 from tessera.plans.joins import one_row
-from tessera.session import checkpoint_dir, written
+from tessera.session import checkpoint_dir, swept, written
 from tessera.sources.fixtures import Views, duck_with
 from tessera.sources.readers import positional_fields
 
@@ -615,7 +615,13 @@ def recommend_items(spark, sf):
     ratings = written(v.ratings, "ratings")              # read by the pairs and the counts
     pairs = written(models.mean_pairs(ratings), "pairs")  # read by both tables of ids and the fit
     ids = {c: models.dense_ids(pairs, c) for c in ("userId", "movieId")}
-    fitted = models.als(rank=8, user="userId_dense", item="movieId_dense").fit(models.with_dense(pairs, ids))
+    coded = written(models.with_dense(pairs, ids).select("userId_dense", "movieId_dense", "rating"), "coded")   # a fit reads it more than once
+    n = coded.count()
+    swept(spark)
+    fitted = models.als(rank=8, user="userId_dense", item="movieId_dense", ratings=n).fit(coded)
+    if n > models.STORED_RATINGS:
+        fitted = models.stored_model(fitted)
+        swept(spark)
     named = ids["movieId"].withColumnRenamed("dense", "id")
     factors = fitted.itemFactors.join(named, "id").select("movieId", "features")
     mine = spark.createDataFrame(_MY_RATINGS, "movieId long, rating double")

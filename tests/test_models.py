@@ -118,3 +118,30 @@ def test_tree_as_rules(spark):
     rows = spark.createDataFrame([(float(i > 5), float(i)) for i in range(12)], "y double, f double")
     pipe, _ = models.tree_estimator(["f"], "y")
     assert "If (feature 0 <=" in models.model_text(pipe.fit(rows).stages[-1])
+
+
+def _ratings(spark, users=40, items=30):
+    rows = [(u, m, float((u * 7 + m * 3 + u * m) % 5 + 1)) for u in range(users) for m in range(items) if (u + 2 * m) % 4]
+    return spark.createDataFrame(rows, "userId int, movieId int, rating double").repartition(4), len(rows)
+
+
+def test_a_fit_of_many_ratings_has_more_blocks_and_the_same_factors(spark, monkeypatch):
+    assert models.als(ratings=36_000_000).getNumUserBlocks() == models.als().getNumItemBlocks() == 10
+    many = models.als(ratings=216_000_000)
+    assert many.getNumUserBlocks() == many.getNumItemBlocks() == 54          # ten before, 21.6 million ratings each
+    df, n = _ratings(spark)
+    plain = models.als(rank=3).fit(df)
+    monkeypatch.setattr(models, "STORED_RATINGS", 0)
+    large = models.als(rank=3, ratings=n)
+    assert (large.getCheckpointInterval(), large.getIntermediateStorageLevel()) == (models.CHECKPOINT_STEPS, "DISK_ONLY")
+    got = {r.id: r.features for r in models.stored_model(large.fit(df)).itemFactors.collect()}
+    want = {r.id: r.features for r in plain.itemFactors.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-4) for k in want)
+
+
+def test_recommended_items_of_a_large_fit(spark, monkeypatch):
+    import tessera.queries_models as qm
+    want = qm.als_recommend(spark, SF0001).first()
+    monkeypatch.setattr(models, "STORED_RATINGS", 0)
+    monkeypatch.setattr(models, "BLOCK_RATINGS", 500)
+    assert qm.als_recommend(spark, SF0001).first() == want
