@@ -31,7 +31,7 @@ from tessera.functions.hashing import md5_unit
 from tessera.operators.evaluate import regression_metrics
 from tessera.operators.keys import row_index
 from tessera.operators.linalg import dot, logistic
-from tessera.session import checkpoint_dir, shared_path, written
+from tessera.session import checkpoint_dir, shared_path, swept, written
 
 
 # ------------------------------------------------------------ regression
@@ -494,9 +494,14 @@ def mean_pairs(ratings: DataFrame, user: str = "userId", item: str = "movieId",
 
 def choose_rank(train: DataFrame, valid: DataFrame, ranks: list[int], **kw):
     """Fit each rank and score it once: (rank, validation RMSE, rows scored, model) each, and the true argmin (Q5 fixed)."""
-    results = []
+    results, large = [], kw.get("ratings", 0) > STORED_RATINGS
     for k in ranks:
+        if large:
+            swept(train.sparkSession)       # what was left by the scores of the rank before
         model = als(rank=k, **kw).fit(train)
+        if large:
+            model = stored_model(model)
+            swept(train.sparkSession)
         m = regression_metrics(model.transform(valid), "rating", "prediction").first()
         results.append((k, m["rmse"], m["n"], model))
     best = min(results, key=lambda t: (t[1], t[0]))

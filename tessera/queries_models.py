@@ -578,16 +578,15 @@ def als_rank(spark, sf):
 
     Bounded: no rank's error is larger than the range of the ratings.
     """
-    checkpoint_dir(spark)
-    s = _ratings_split(spark, sf).checkpoint()        # the split is read by every fit and score
+    s = written(_ratings_split(spark, sf), "split")        # read by both tables of ids and the codes
     ids = {c: models.dense_ids(s, c) for c in ("userId", "movieId")}
-    coded = models.with_dense(s, ids).select("split", F.col("userId_dense").alias("userId"), F.col("movieId_dense").alias("movieId"), "rating").persist()
+    coded = models.with_dense(s, ids).select("split", F.col("userId_dense").alias("userId"), F.col("movieId_dense").alias("movieId"), "rating")
+    coded = written(coded, "coded")                        # read by every fit and score
     train, valid = (coded.filter(f"split = '{x}'").drop("split") for x in ("train", "validation"))
-    best, results = models.choose_rank(train, valid, _RANKS)
     known = one_row(train.agg(F.count(F.lit(1)).alias("n"), (F.max("rating") - F.min("rating")).alias("range")))
+    best, results = models.choose_rank(train, valid, _RANKS, ratings=known["n"])
     rows = [(k, known["n"], n, sum(k2 == best[0] for k2, _, _, _ in results), best[1] == min(e for _, e, _, _ in results),
              e is not None and e <= known["range"]) for k, e, n, _ in results]
-    coded.unpersist()
     return spark.createDataFrame(rows, "rank int, n_train long, n_scored long, n_chosen int, chosen_is_least boolean, error_bounded boolean")
 
 
